@@ -51,21 +51,29 @@ def watched_seconds(ts: Column, te: Column) -> Column:
     return idiv(te - ts, 1000)
 
 
-def _since_epoch(unit: str, ts_ntz: Column) -> Column:
-    return F.timestamp_diff(unit, F.expr(EPOCH_NTZ), ts_ntz)
+def epoch_millis(ts_ntz: Column) -> Column:
+    """Epoch milliseconds of a TIMESTAMP_NTZ wall clock read as UTC, floored.
+    Built from the date and clock parts, so no session-time-zone (or DST)
+    conversion is involved."""
+    days = F.date_diff(F.to_date(ts_ntz), F.lit("1970-01-01").cast("date")).cast("long")
+    return (days * 86400000 + F.hour(ts_ntz).cast("long") * 3600000
+            + F.minute(ts_ntz).cast("long") * 60000
+            + F.floor(F.date_part(F.lit("SECOND"), ts_ntz) * 1000).cast("long"))
 
 
-def epoch_millis(ts_ntz: Column) -> Column:
-    """Epoch milliseconds of a TIMESTAMP_NTZ wall clock read as UTC; does not
-    depend on the session time zone."""
-    return _since_epoch("MILLISECOND", ts_ntz)
+TIME_TEXT = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$"
+
+
+def parse_time_text(text: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text -> TIMESTAMP_NTZ; null when malformed."""
+    part = [F.regexp_extract(text, TIME_TEXT, i).try_cast("int") for i in range(1, 7)]
+    return F.when(text.rlike(TIME_TEXT), F.try_make_timestamp_ntz(*part))
 
 
 def epoch_seconds_of_text(text: Column) -> Column:
     """Epoch seconds of ``yyyy-MM-dd HH:mm:ss`` text read as a UTC wall
-    clock; null for unparseable text. Session-time-zone independent."""
-    return _since_epoch("SECOND", F.try_to_timestamp(text, F.lit(TIME_FORMAT))
-                        .cast("timestamp_ntz"))
+    clock; null for malformed text. Session-time-zone independent."""
+    return F.floor(epoch_millis(parse_time_text(text)) / 1000).cast("long")
 
 
 def half_even_percent(num: Column, den: Column) -> Column:

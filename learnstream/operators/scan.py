@@ -1,0 +1,99 @@
+"""Skew-safe ordered scans: running max / sum within a key, in a total order.
+
+A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to
+one task; a key holding a third of the data would then be one third of the
+job in a single task. Here the rows are range-partitioned on ``(key, order)``
+instead, so Spark's sampled range bounds cut a hot key into contiguous
+slices. The scan runs in two phases:
+
+1. inside each ``(key, slice)``: a window running aggregate (spill-safe
+   buffer);
+2. across slices: the aggregate of every earlier slice of the same key (the
+   "carry"), from a per-(key, slice) summary.
+
+The sliced rows are checkpointed (reliable storage under
+``spark.checkpoint.dir``) so both phases read the very same slices.
+
+Only keys that span a slice boundary have a carry, and there are at most
+``slices - 1`` boundaries, so the carry table has fewer than ``slices`` rows:
+its size is bounded by construction, which makes broadcasting it safe at any
+data size.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from learnstream.session import ensure_checkpoint_dir
+
+SLICE = "_slice"
+
+
+def _slices(df: DataFrame, slices: int | None) -> int:
+    if slices:
+        return slices
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                specs: dict[str, tuple[str, Column, bool]],
+                slices: int | None = None) -> DataFrame:
+    """Add, per ``name -> (fn, value, inclusive)`` with ``fn`` in
+    ``{"max", "sum"}``, the aggregate of ``value`` over the rows of the same
+    ``keys`` that come before the row in ``order`` (and the row itself when
+    ``inclusive``). ``order`` should be a total order; ties are broken
+    arbitrarily. Nulls are ignored; with no earlier value a max is null and a
+    sum is 0. ``keys`` must not be null.
+    """
+    n = _slices(df, slices)
+    fns = {"max": F.max, "sum": F.sum}
+    vals = {name: f"_v_{name}" for name in specs}
+    staged = df.select("*", *[v.alias(vals[name]) for name, (_, v, _) in specs.items()])
+    # Both phases must see the same slices. Two plans over one range
+    # exchange would sample their bounds separately (the sample seed follows
+    # the RDD id), so the sliced rows are written once to the shared
+    # checkpoint folder; that also cuts the lineage and keeps executor loss
+    # from re-slicing.
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (staged.repartitionByRange(n, *keys, *order)
+              .withColumn(SLICE, F.spark_partition_id())
+              .checkpoint(eager=True))
+
+    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    local = ranged
+    for name, (fn, _, inclusive) in specs.items():
+        frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        local = local.withColumn(f"_l_{name}", fns[fn](vals[name]).over(frame))
+
+    summary = ranged.groupBy(*keys, SLICE).agg(
+        *[fns[fn](vals[name]).alias(f"_s_{name}") for name, (fn, _, _) in specs.items()])
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, SLICE, *[
+        fns[fn](f"_s_{name}").over(before).alias(f"_c_{name}")
+        for name, (fn, _, _) in specs.items()])
+    any_carry = F.lit(False)
+    for name in specs:
+        any_carry = any_carry | F.col(f"_c_{name}").isNotNull()
+    # < `n` rows whatever the data size (see module doc): safe to broadcast.
+    carry = F.broadcast(carry.where(any_carry))
+
+    out = local.join(carry, [*keys, SLICE], "left")
+    for name, (fn, _, _) in specs.items():
+        lc, cc = F.col(f"_l_{name}"), F.col(f"_c_{name}")
+        if fn == "max":
+            out = out.withColumn(name, F.greatest(lc, cc))
+        else:
+            out = out.withColumn(name, F.coalesce(lc, F.lit(0)) + F.coalesce(cc, F.lit(0)))
+    temp = [SLICE] + [c for name in specs for c in (vals[name], f"_l_{name}", f"_c_{name}")]
+    return out.drop(*temp)
+
+
+def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                specs: dict[str, tuple[Column, bool]],
+                slices: int | None = None) -> DataFrame:
+    """``running_agg`` with max for every ``name -> (value, inclusive)``."""
+    return running_agg(df, keys, order,
+                       {k: ("max", v, inc) for k, (v, inc) in specs.items()}, slices)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnstream.operators import registrations as reg
+from learnstream.operators import watch
 from learnstream.sources import adapters, parse
 from learnstream.sources.feeds import replay_frame
 
@@ -69,3 +70,51 @@ def register_channel_total(spark, sf_dir):
 @query("register_channel_window")
 def register_channel_window(spark, sf_dir):
     return reg.channel_window(rows(spark, sf_dir, "register"))
+
+
+# ---- watch time (J5) -------------------------------------------------------
+
+@query("learn_rows")
+def learn_rows(spark, sf_dir):
+    return rows(spark, sf_dir, "course_learn")
+
+
+def _learn_total(dim):
+    def run(spark, sf_dir):
+        return watch.total_by(rows(spark, sf_dir, "course_learn"), dim)
+    return run
+
+
+for _name, _dim in [("learn_by_chapter", "chapterid"), ("learn_by_cware", "cwareid"),
+                    ("learn_by_edutype", "edutypeid"), ("learn_by_source", "sourcetype"),
+                    ("learn_by_subject", "subjectid")]:
+    query(_name)(_learn_total(_dim))
+
+
+@query("learn_rollup")
+def learn_rollup(spark, sf_dir):
+    return watch.rollup(rows(spark, sf_dir, "course_learn"))
+
+
+@query("play_new_coverage")
+def play_new_coverage(spark, sf_dir):
+    return watch.play_new_coverage(rows(spark, sf_dir, "course_learn"))
+
+
+@query("video_watch_detail")
+def video_watch_detail(spark, sf_dir):
+    return watch.watch_detail(rows(spark, sf_dir, "course_learn"))
+
+
+@query("video_intervals")
+def video_intervals(spark, sf_dir):
+    return watch.video_intervals(rows(spark, sf_dir, "course_learn"))
+
+
+@query("video_watch_incremental")
+def video_watch_incremental(spark, sf_dir):
+    hist, batch = halves(spark, sf_dir, "course_learn")
+    state = watch.state_from(parse.parse_learn(hist))
+    merged = watch.incremental(state, parse.parse_learn(batch))
+    return merged.select(*watch.KEY, "totaltime", "effecttime", "completetime",
+                         watch.interval_text(F.col("intervals")).alias("play_interval"))

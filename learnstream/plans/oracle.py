@@ -26,10 +26,10 @@ def q(name: str, body: str) -> None:
     QUERIES[name] = body.strip()
 
 
-def _deps(body: str, seen: list[str]) -> None:
+def _deps(body: str, seen: list[str], visiting: frozenset = frozenset()) -> None:
     for name in CTES:
-        if name not in seen and re.search(rf"\b{name}\b", body):
-            _deps(CTES[name], seen)
+        if name not in seen and name not in visiting and re.search(rf"\b{name}\b", body):
+            _deps(CTES[name], seen, visiting | {name})
             if name not in seen:
                 seen.append(name)
 
@@ -160,3 +160,147 @@ FROM (
   LATERAL (SELECT unnest(range(p.pane - 9, p.pane + 1)) AS w) ws
 GROUP BY w, channel
 """)
+
+# ---- watch time (J5) -------------------------------------------------------
+
+LEARN_COLS = """
+  coalesce(TRY_CAST(json_extract(value, '$.uid') AS INTEGER), 0) AS uid,
+  coalesce(TRY_CAST(json_extract(value, '$.cwareid') AS INTEGER), 0) AS cwareid,
+  coalesce(TRY_CAST(json_extract(value, '$.videoid') AS INTEGER), 0) AS videoid,
+  coalesce(TRY_CAST(json_extract(value, '$.chapterid') AS INTEGER), 0) AS chapterid,
+  coalesce(TRY_CAST(json_extract(value, '$.edutypeid') AS INTEGER), 0) AS edutypeid,
+  coalesce(TRY_CAST(json_extract(value, '$.subjectid') AS INTEGER), 0) AS subjectid,
+  json_extract_string(value, '$.sourceType') AS sourcetype,
+  coalesce(TRY_CAST(json_extract(value, '$.speed') AS INTEGER), 0) AS speed,
+  TRY_CAST(json_extract(value, '$.ts') AS BIGINT) AS ts,
+  TRY_CAST(json_extract(value, '$.te') AS BIGINT) AS te,
+  coalesce(TRY_CAST(json_extract(value, '$.ps') AS INTEGER), 0) AS ps,
+  coalesce(TRY_CAST(json_extract(value, '$.pe') AS INTEGER), 0) AS pe"""
+
+
+def _json_objects(feed: str) -> str:
+    """Rows whose text is a JSON object, as ``value`` (others dropped). The
+    CASE keeps every JSON function off malformed text, whatever the order
+    DuckDB evaluates filter and projection in."""
+    return f"""
+SELECT value FROM (
+  SELECT CASE WHEN json_valid(value) THEN
+              CASE WHEN json_type(value) = 'OBJECT' THEN value END END AS value
+  FROM {feed})
+WHERE value IS NOT NULL"""
+
+
+def _learn_rows_sql(feed: str) -> str:
+    return f"""
+SELECT *, (te - ts) // 1000 AS secs FROM (
+  SELECT {LEARN_COLS}
+  FROM ({_json_objects(feed)}))
+WHERE ts IS NOT NULL AND te IS NOT NULL"""
+
+
+cte("learn_rows", _learn_rows_sql("learn_feed"))
+cte("learn_hist_feed", "SELECT l.* FROM learn_feed l, half WHERE l.pos < half.half")
+cte("learn_batch_feed", "SELECT l.* FROM learn_feed l, half WHERE l.pos >= half.half")
+cte("learn_hist_rows", _learn_rows_sql("learn_hist_feed"))
+cte("learn_batch_rows", _learn_rows_sql("learn_batch_feed"))
+
+WKEY = "userid, cwareid, videoid"
+WORDER = "ORDER BY ps, ts, te, pe"
+
+
+def _scanned_sql(src: str) -> str:
+    return f"""
+SELECT *, greatest(ps, coalesce(m, ps)) AS lo FROM (
+  SELECT uid AS userid, cwareid, videoid, ps, pe, ts, te, secs,
+         max(pe) OVER (PARTITION BY uid, cwareid, videoid {WORDER}
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m
+  FROM {src})"""
+
+
+EFF = ("coalesce(CAST(trunc(CAST(secs AS DOUBLE) / nullif(pe - ps, 0) * new_seconds) AS BIGINT), 0)")
+
+cte("w_scan", _scanned_sql("learn_rows"))
+cte("w_cov", f"""
+SELECT *, {EFF} AS effective_seconds FROM (
+  SELECT *, CAST(greatest(0, pe - lo) AS BIGINT) AS new_seconds FROM w_scan)""")
+
+
+def _islands_sql(src: str) -> str:
+    return f"""
+SELECT {WKEY}, min(ps) AS s, max(pe) AS e FROM (
+  SELECT *, sum(CASE WHEN m IS NULL OR ps > m THEN 1 ELSE 0 END)
+              OVER (PARTITION BY {WKEY} {WORDER} ROWS UNBOUNDED PRECEDING) AS island
+  FROM {src})
+GROUP BY {WKEY}, island"""
+
+
+cte("w_islands", _islands_sql("w_scan"))
+
+for _name, _dim in [("learn_by_chapter", "chapterid"), ("learn_by_cware", "cwareid"),
+                    ("learn_by_edutype", "edutypeid"), ("learn_by_source", "sourcetype"),
+                    ("learn_by_subject", "subjectid")]:
+    q(_name, f"SELECT {_dim}, CAST(sum(secs) AS BIGINT) AS totaltime FROM learn_rows GROUP BY {_dim}")
+
+q("learn_rows", "SELECT * FROM learn_rows")
+
+q("learn_rollup", " UNION ALL ".join(
+    f"SELECT '{d}' AS dim, CAST({d} AS VARCHAR) AS key, CAST(sum(secs) AS BIGINT) AS totaltime "
+    f"FROM learn_rows GROUP BY {d}"
+    for d in ("chapterid", "cwareid", "edutypeid", "sourcetype", "subjectid")))
+
+q("play_new_coverage", f"""
+SELECT {WKEY}, ps, ts, te, pe, secs, new_seconds, effective_seconds FROM w_cov""")
+
+q("video_watch_detail", f"""
+SELECT {WKEY}, CAST(sum(secs) AS BIGINT) AS totaltime,
+       CAST(sum(effective_seconds) AS BIGINT) AS effecttime,
+       CAST(sum(new_seconds) AS BIGINT) AS completetime
+FROM w_cov GROUP BY {WKEY}""")
+
+q("video_intervals", f"""
+SELECT {WKEY}, string_agg(s || '-' || e, ',' ORDER BY s) AS play_interval
+FROM w_islands GROUP BY {WKEY}""")
+
+# history: plays of the first half; batch: the rest, credited against the
+# history intervals (brute-force overlap join, fine for an oracle).
+cte("wh_scan", _scanned_sql("learn_hist_rows"))
+cte("wh_cov", f"""
+SELECT *, {EFF} AS effective_seconds FROM (
+  SELECT *, CAST(greatest(0, pe - lo) AS BIGINT) AS new_seconds FROM wh_scan)""")
+cte("wh_islands", _islands_sql("wh_scan"))
+cte("wb_scan", _scanned_sql("learn_batch_rows"))
+cte("wb_scan_id", "SELECT *, row_number() OVER () AS pid FROM wb_scan")
+cte("wb_overlap", f"""
+SELECT p.pid, coalesce(sum(greatest(0, least(p.pe, h.e) - greatest(p.lo, h.s))), 0) AS covered
+FROM wb_scan_id p LEFT JOIN wh_islands h USING ({WKEY})
+WHERE p.pe > p.lo
+GROUP BY p.pid""")
+cte("wb_cov", f"""
+SELECT *, {EFF} AS effective_seconds FROM (
+  SELECT p.*, CAST(CASE WHEN p.pe > p.lo THEN p.pe - p.lo - o.covered ELSE 0 END AS BIGINT)
+              AS new_seconds
+  FROM wb_scan_id p LEFT JOIN wb_overlap o USING (pid))""")
+cte("wb_islands", _islands_sql("wb_scan"))
+cte("w_all_iv", f"""
+SELECT {WKEY}, s, e FROM wh_islands UNION ALL SELECT {WKEY}, s, e FROM wb_islands""")
+cte("w_merged_iv", f"""
+SELECT {WKEY}, min(s) AS s, max(e) AS e FROM (
+  SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END)
+              OVER (PARTITION BY {WKEY} ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS grp
+  FROM (SELECT *, max(e) OVER (PARTITION BY {WKEY} ORDER BY s, e
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
+        FROM w_all_iv))
+GROUP BY {WKEY}, grp""")
+cte("w_tot", f"""
+SELECT {WKEY}, sum(secs) AS t, sum(effective_seconds) AS ef, sum(new_seconds) AS c
+FROM (SELECT {WKEY}, secs, effective_seconds, new_seconds FROM wh_cov
+      UNION ALL SELECT {WKEY}, secs, effective_seconds, new_seconds FROM wb_cov)
+GROUP BY {WKEY}""")
+
+q("video_watch_incremental", f"""
+SELECT t.userid, t.cwareid, t.videoid, CAST(t.t AS BIGINT) AS totaltime,
+       CAST(t.ef AS BIGINT) AS effecttime, CAST(t.c AS BIGINT) AS completetime,
+       i.play_interval
+FROM w_tot t JOIN (
+  SELECT {WKEY}, string_agg(s || '-' || e, ',' ORDER BY s) AS play_interval
+  FROM w_merged_iv GROUP BY {WKEY}) i USING ({WKEY})""")
