@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnstream.operators import registrations as reg
-from learnstream.operators import watch
+from learnstream.operators import pages, practice, state, watch
 from learnstream.sources import adapters, parse
 from learnstream.sources.feeds import replay_frame
 
@@ -118,3 +118,119 @@ def video_watch_incremental(spark, sf_dir):
     merged = watch.incremental(state, parse.parse_learn(batch))
     return merged.select(*watch.KEY, "totaltime", "effecttime", "completetime",
                          watch.interval_text(F.col("intervals")).alias("play_interval"))
+
+
+# ---- practice (J3) ---------------------------------------------------------
+
+@query("qz_valid_rows")
+def qz_valid_rows(spark, sf_dir):
+    return rows(spark, sf_dir, "qz")
+
+
+@query("qz_question_set")
+def qz_question_set(spark, sf_dir):
+    return practice.question_set(rows(spark, sf_dir, "qz"))
+
+
+@query("qz_point_detail")
+def qz_point_detail(spark, sf_dir):
+    return practice.point_detail(rows(spark, sf_dir, "qz"))
+
+
+@query("qz_latest_attempt")
+def qz_latest_attempt(spark, sf_dir):
+    return practice.latest_attempt(rows(spark, sf_dir, "qz"))
+
+
+@query("qz_latest_by_answer")
+def qz_latest_by_answer(spark, sf_dir):
+    return practice.latest_by_answer(rows(spark, sf_dir, "qz"))
+
+
+@query("qz_dedup_rate")
+def qz_dedup_rate(spark, sf_dir):
+    return practice.dedup_rate(rows(spark, sf_dir, "qz"))
+
+
+@query("qz_point_detail_incremental")
+def qz_point_detail_incremental(spark, sf_dir):
+    hist, batch = halves(spark, sf_dir, "qz")
+    old = practice.state_from(parse.parse_qz(hist))
+    new = practice.state_from(parse.parse_qz(batch))
+    return practice.detail_of_state(practice.merge_state(old, new))
+
+
+# ---- pages (J4) ------------------------------------------------------------
+
+@query("page_valid_rows")
+def page_valid_rows(spark, sf_dir):
+    return rows(spark, sf_dir, "page")
+
+
+@query("page_jump_count")
+def page_jump_count(spark, sf_dir):
+    return pages.jump_count(rows(spark, sf_dir, "page"))
+
+
+@query("page_view_total")
+def page_view_total(spark, sf_dir):
+    return pages.view_total(rows(spark, sf_dir, "page"))
+
+
+@query("page_convert_rate")
+def page_convert_rate(spark, sf_dir):
+    return pages.convert_rate(pages.view_total(rows(spark, sf_dir, "page")))
+
+
+@query("province_clicks_top3")
+def province_clicks_top3(spark, sf_dir):
+    ranges = adapters.province_ranges(table(spark, sf_dir, "nation"))
+    return pages.province_top(rows(spark, sf_dir, "page"), ranges)
+
+
+@query("page_view_incremental")
+def page_view_incremental(spark, sf_dir):
+    hist, batch = halves(spark, sf_dir, "page")
+    return pages.merge_totals(pages.view_total(parse.parse_page(hist)),
+                              pages.view_total(parse.parse_page(batch)))
+
+
+# ---- state merges (S6-S12) -------------------------------------------------
+
+PROGRESS_GROUP = "learnstream"
+
+
+@query("merge_replace")
+def merge_replace(spark, sf_dir):
+    """Per user the type of the latest event: history half, then the batch
+    half replaces it where the user appears again."""
+    events = table(spark, sf_dir, "events")
+    half = events.select((F.count(F.lit(1)) / 2).alias("half"))
+    e = events.crossJoin(F.broadcast(half))
+
+    def latest(df):
+        return df.groupBy(F.col("user_id").alias("key")).agg(
+            F.max_by("event_type", "event_id").alias("value"))
+    old = latest(e.where(F.col("event_id") < F.col("half")))
+    new = latest(e.where(F.col("event_id") >= F.col("half")))
+    return state.merge(old, new, ["key"], replace=["value"])
+
+
+@query("merge_accumulate")
+def merge_accumulate(spark, sf_dir):
+    hist, batch = halves(spark, sf_dir, "course_learn")
+    old = watch.total_by(parse.parse_learn(hist), "chapterid")
+    new = watch.total_by(parse.parse_learn(batch), "chapterid")
+    return state.merge(old, new, ["chapterid"], accumulate=["totaltime"])
+
+
+@query("feed_progress")
+def feed_progress(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    half = events.select((F.count(F.lit(1)) / 2).alias("half"))
+    rec = events.crossJoin(F.broadcast(half)).select(
+        F.col("event_type").alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), "half")
+    old = state.progress(rec.where(F.col("offset") < F.col("half")), PROGRESS_GROUP)
+    new = state.progress(rec.where(F.col("offset") >= F.col("half")), PROGRESS_GROUP)
+    return state.merge(old, new, ["grp", "topic", "partition"], replace=["until_offset"])

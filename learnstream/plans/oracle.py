@@ -304,3 +304,166 @@ SELECT t.userid, t.cwareid, t.videoid, CAST(t.t AS BIGINT) AS totaltime,
 FROM w_tot t JOIN (
   SELECT {WKEY}, string_agg(s || '-' || e, ',' ORDER BY s) AS play_interval
   FROM w_merged_iv GROUP BY {WKEY}) i USING ({WKEY})""")
+
+# ---- practice (J3) ---------------------------------------------------------
+
+QKEY = "userid, courseid, pointid"
+
+
+def _qz_rows_sql(feed: str) -> str:
+    return rf"""
+SELECT * FROM (
+  SELECT TRY_CAST(f[1] AS INTEGER) AS userid, TRY_CAST(f[2] AS INTEGER) AS courseid,
+         TRY_CAST(f[3] AS INTEGER) AS pointid, f[4] AS questionid, f[5] AS istrue,
+         f[6] AS createtime
+  FROM (SELECT string_split(value, {TAB}) AS f FROM {feed}
+        WHERE len(string_split(regexp_replace(value, '\t+$', ''), {TAB})) = 6))
+WHERE userid IS NOT NULL AND courseid IS NOT NULL AND pointid IS NOT NULL"""
+
+
+def _per_question_sql(src: str) -> str:
+    return f"""
+SELECT {QKEY}, questionid, count(*) AS n,
+       CAST(sum(CASE WHEN istrue = '1' THEN 1 ELSE 0 END) AS BIGINT) AS r,
+       min(createtime) AS first_time
+FROM {src} GROUP BY {QKEY}, questionid"""
+
+
+QORDER = "ORDER BY TRY_CAST(questionid AS BIGINT) NULLS FIRST, questionid"
+
+cte("qz_rows", _qz_rows_sql("qz_feed"))
+cte("qz_pq", _per_question_sql("qz_rows"))
+cte("qz_hist_feed", "SELECT l.* FROM qz_feed l, half WHERE l.pos < half.half")
+cte("qz_batch_feed", "SELECT l.* FROM qz_feed l, half WHERE l.pos >= half.half")
+cte("qz_hist_rows", _qz_rows_sql("qz_hist_feed"))
+cte("qz_batch_rows", _qz_rows_sql("qz_batch_feed"))
+cte("qz_hist_pq", _per_question_sql("qz_hist_rows"))
+cte("qz_batch_pq", _per_question_sql("qz_batch_rows"))
+
+
+def _rates_sql(s: str, c: str, i: str) -> str:
+    return (f"CAST({i} AS DOUBLE) / CAST(nullif({s}, 0) AS DOUBLE) AS correct_rate, "
+            f"CAST(({i} * 200 + {s}) // nullif({s} * 2, 0) AS DOUBLE) / 100.0 AS correct_rate_2, "
+            f"(CAST({c} AS DOUBLE) / 30.0) * (CAST({i} AS DOUBLE) / CAST(nullif({s}, 0) AS DOUBLE))"
+            f" AS mastery_rate")
+
+
+q("qz_valid_rows", "SELECT * FROM qz_rows")
+
+q("qz_question_set", f"""
+SELECT {QKEY}, string_agg(questionid, ',' {QORDER}) AS questionids,
+       min(first_time) AS createtime
+FROM qz_pq GROUP BY {QKEY}""")
+
+q("qz_point_detail", f"""
+SELECT {QKEY}, qz_sum, qz_count, qz_istrue, {_rates_sql('qz_sum', 'qz_count', 'qz_istrue')}
+FROM (SELECT {QKEY}, CAST(sum(n) AS BIGINT) AS qz_sum, CAST(count(*) AS BIGINT) AS qz_count,
+             CAST(sum(r) AS BIGINT) AS qz_istrue
+      FROM qz_pq GROUP BY {QKEY})""")
+
+q("qz_latest_attempt", f"""
+SELECT {QKEY}, questionid, max(createtime) AS createtime FROM qz_rows
+GROUP BY {QKEY}, questionid""")
+
+q("qz_latest_by_answer", f"""
+SELECT {QKEY}, questionid, istrue, max(createtime) AS createtime FROM qz_rows
+GROUP BY {QKEY}, questionid, istrue""")
+
+q("qz_dedup_rate", f"""
+SELECT {QKEY}, done, right_n, CAST(right_n AS DOUBLE) / CAST(done AS DOUBLE) AS right_rate,
+       (CAST(done AS DOUBLE) / 30.0) * (CAST(right_n AS DOUBLE) / CAST(done AS DOUBLE)) AS mastery
+FROM (SELECT {QKEY}, CAST(count(*) AS BIGINT) AS done,
+             CAST(sum(CASE WHEN r > 0 THEN 1 ELSE 0 END) AS BIGINT) AS right_n
+      FROM qz_pq GROUP BY {QKEY})""")
+
+q("qz_point_detail_incremental", f"""
+SELECT {QKEY}, qz_sum, qz_count, qz_istrue, {_rates_sql('qz_sum', 'qz_count', 'qz_istrue')},
+       createtime
+FROM (
+  SELECT {QKEY}, CAST(sum(n) AS BIGINT) AS qz_sum, CAST(count(DISTINCT questionid) AS BIGINT) AS qz_count,
+         CAST(sum(r) AS BIGINT) AS qz_istrue,
+         coalesce(min(CASE WHEN side = 0 THEN first_time END),
+                  min(CASE WHEN side = 1 THEN first_time END)) AS createtime
+  FROM (SELECT *, 0 AS side FROM qz_hist_pq UNION ALL SELECT *, 1 AS side FROM qz_batch_pq)
+  GROUP BY {QKEY})""")
+
+# ---- pages (J4) ------------------------------------------------------------
+
+PAGE_FIELDS = ("uid", "app_id", "device_id", "ip", "last_page_id", "page_id", "next_page_id")
+
+
+def _page_rows_sql(feed: str) -> str:
+    cols = ",\n  ".join(f"coalesce(json_extract_string(value, '$.{f}'), '') AS {f}"
+                        for f in PAGE_FIELDS)
+    return f"SELECT\n  {cols}\nFROM ({_json_objects(feed)})"
+
+
+def _view_total_sql(src: str) -> str:
+    return f"""
+SELECT TRY_CAST(page_id AS INTEGER) AS page_id, CAST(count(*) AS BIGINT) AS num
+FROM {src} WHERE TRY_CAST(page_id AS INTEGER) IS NOT NULL GROUP BY 1"""
+
+
+def _pct(a: str, b: str) -> str:
+    qq = f"(({a}) * 100) // nullif({b}, 0)"
+    r2 = f"((({a}) * 100 - {qq} * ({b})) * 2)"
+    return (f"CASE WHEN ({b}) = 0 THEN '0%' ELSE CAST({qq} + CASE WHEN {r2} > ({b}) OR "
+            f"({r2} = ({b}) AND {qq} % 2 = 1) THEN 1 ELSE 0 END AS VARCHAR) || '%' END")
+
+
+IP_NUM = ("CASE WHEN len(string_split(ip, '.')) = 4 AND "
+          + " AND ".join(f"TRY_CAST(string_split(ip, '.')[{i}] AS BIGINT) BETWEEN 0 AND 255"
+                         for i in range(1, 5))
+          + " THEN " + " + ".join(f"TRY_CAST(string_split(ip, '.')[{i}] AS BIGINT) * {m}"
+                                   for i, m in zip(range(1, 5), (16777216, 65536, 256, 1)))
+          + " END")
+
+cte("page_rows", _page_rows_sql("page_feed"))
+cte("page_hist_feed", "SELECT l.* FROM page_feed l, half WHERE l.pos < half.half")
+cte("page_batch_feed", "SELECT l.* FROM page_feed l, half WHERE l.pos >= half.half")
+cte("page_hist_rows", _page_rows_sql("page_hist_feed"))
+cte("page_batch_rows", _page_rows_sql("page_batch_feed"))
+cte("page_totals", _view_total_sql("page_rows"))
+
+q("page_valid_rows", "SELECT * FROM page_rows")
+
+q("page_jump_count", """
+SELECT last_page_id, page_id, next_page_id, count(*) AS num FROM page_rows
+GROUP BY last_page_id, page_id, next_page_id""")
+
+q("page_view_total", "SELECT * FROM page_totals")
+
+q("page_convert_rate", f"""
+SELECT t.page_id, t.num,
+       CASE WHEN t.page_id = 1 THEN '100%'
+            WHEN t.page_id = 2 THEN {_pct('c.n2', 'c.n1')}
+            WHEN t.page_id = 3 THEN {_pct('c.n3', 'c.n2')} END AS jump_rate
+FROM page_totals t, (
+  SELECT CAST(coalesce(sum(CASE WHEN page_id = 1 THEN num END), 0) AS BIGINT) AS n1,
+         CAST(coalesce(sum(CASE WHEN page_id = 2 THEN num END), 0) AS BIGINT) AS n2,
+         CAST(coalesce(sum(CASE WHEN page_id = 3 THEN num END), 0) AS BIGINT) AS n3
+  FROM page_totals) c""")
+
+q("province_clicks_top3", f"""
+SELECT r.province, count(*) AS n
+FROM (SELECT {IP_NUM} AS ip_num FROM page_rows) p
+JOIN province_range r ON p.ip_num BETWEEN r.ip_from AND r.ip_to
+GROUP BY r.province ORDER BY n DESC, r.province LIMIT 3""")
+
+q("page_view_incremental", f"""
+SELECT page_id, CAST(sum(num) AS BIGINT) AS num FROM (
+  {_view_total_sql('page_hist_rows')} UNION ALL {_view_total_sql('page_batch_rows')})
+GROUP BY page_id""")
+
+# ---- state merges ----------------------------------------------------------
+
+q("merge_replace", """
+SELECT user_id AS key, arg_max(event_type, event_id) AS value FROM events GROUP BY user_id""")
+
+q("merge_accumulate", """
+SELECT chapterid, CAST(sum(secs) AS BIGINT) AS totaltime FROM learn_rows GROUP BY chapterid""")
+
+q("feed_progress", """
+SELECT 'learnstream' AS grp, event_type AS topic, CAST(event_id % 3 AS INTEGER) AS partition,
+       CAST(max(event_id) + 1 AS BIGINT) AS until_offset
+FROM events GROUP BY event_type, event_id % 3""")
