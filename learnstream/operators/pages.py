@@ -21,14 +21,19 @@ def jump_count(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("num"))
 
 
-def view_total(rows: DataFrame) -> DataFrame:
-    """Views per page id (integer page ids only; others are rejects),
-    summed over the transitions of A7."""
-    t = jump_count(rows).withColumn("pid", F.col("page_id").try_cast("int"))
+def view_total_from_counts(counts: DataFrame) -> DataFrame:
+    """A8 from A7: views per page id summed over its transitions (integer
+    page ids only; others are rejects)."""
+    t = counts.withColumn("pid", F.col("page_id").try_cast("int"))
     return (t.where(F.col("pid").isNotNull()).groupBy(F.col("pid").alias("page_id"))
             .agg(F.sum("num").cast("long").alias("num")))
 
 
+def view_total(rows: DataFrame) -> DataFrame:
+    """Views per page id."""
+    return view_total_from_counts(jump_count(rows))
+
+
 def convert_rate(totals: DataFrame) -> DataFrame:
     """Home page gets 100%; order page n2/n1; payment page n3/n2, as
     whole-percent text rounded half to even, 0% on a zero denominator; other
@@ -67,13 +72,16 @@ def locate(ip_counts: DataFrame, ranges: DataFrame) -> DataFrame:
             .drop("bucket", "ip_from", "ip_to"))
 
 
-def province_clicks(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """A10 before the top-k: clicks per province. Clicks are counted per IP
-    first (map-side combined), so the join sees distinct IPs, not rows."""
-    per_ip = (rows.select(ip_to_long(F.col("ip")).alias("ip_num"))
-              .where(F.col("ip_num").isNotNull())
-              .groupBy("ip_num").agg(F.count(F.lit(1)).alias("c")))
-    return locate(per_ip, ranges).groupBy("province").agg(F.sum("c").cast("long").alias("n"))
+def province_clicks(rows: DataFrame, ranges: DataFrame, preaggregate: bool = True) -> DataFrame:
+    """A10 before the top-k: clicks per province. In batch, clicks are
+    counted per IP first (map-side combined), so the join sees distinct IPs,
+    not rows; a stream joins each row (one streaming aggregation only)."""
+    ips = rows.select(ip_to_long(F.col("ip")).alias("ip_num")).where(F.col("ip_num").isNotNull())
+    if preaggregate:
+        ips = ips.groupBy("ip_num").agg(F.count(F.lit(1)).alias("c"))
+    else:
+        ips = ips.withColumn("c", F.lit(1).cast("long"))
+    return locate(ips, ranges).groupBy("province").agg(F.sum("c").cast("long").alias("n"))
 
 
 def province_top(rows: DataFrame, ranges: DataFrame, k: int = TOP_PROVINCES) -> DataFrame:

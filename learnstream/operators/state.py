@@ -26,9 +26,17 @@ def merge(old: DataFrame, new: DataFrame, keys: Sequence[str], *,
     the new one only fills a new key (S9). Keys missing from ``new`` keep
     their row."""
     cols = [*replace, *accumulate, *keep_first]
-    o = old.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in cols])
-    n = new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols])
-    j = o.join(n, list(keys), "full_outer")
+    o = old.select(*[F.col(k).alias(f"_ok_{k}") for k in keys],
+                   *[F.col(c).alias(f"_o_{c}") for c in cols])
+    n = new.select(*[F.col(k).alias(f"_nk_{k}") for k in keys],
+                   *[F.col(c).alias(f"_n_{c}") for c in cols])
+    cond = None
+    for k in keys:  # null-safe: a null key value is a key like any other
+        c = F.col(f"_ok_{k}").eqNullSafe(F.col(f"_nk_{k}"))
+        cond = c if cond is None else cond & c
+    j = o.join(n, cond, "full_outer").select(
+        *[F.coalesce(F.col(f"_ok_{k}"), F.col(f"_nk_{k}")).alias(k) for k in keys],
+        *[F.col(f"_o_{c}") for c in cols], *[F.col(f"_n_{c}") for c in cols])
     out = [F.coalesce(F.col(f"_n_{c}"), F.col(f"_o_{c}")).alias(c) for c in replace]
     out += [(F.coalesce(F.col(f"_o_{c}"), F.lit(0)) + F.coalesce(F.col(f"_n_{c}"), F.lit(0)))
             .alias(c) for c in accumulate]
