@@ -35,8 +35,9 @@ def tsv_width(line: Column) -> Column:
 
 
 def field(line: Column, i: int) -> Column:
-    """The ``i``-th (0-based) tab-separated field of a line."""
-    return F.split(line, TAB).getItem(i)
+    """The ``i``-th (0-based) tab-separated field of a line; null when the
+    line is shorter."""
+    return F.get(F.split(line, TAB), F.lit(i))
 
 
 def channel_of(platform: Column) -> Column:

@@ -26,6 +26,14 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _emit(df: DataFrame, pos: Column, line: Column) -> DataFrame:
+    """``(pos, value)`` rows. The line goes through a one-element generator
+    so that it is built once per event, like a record read from a feed: a
+    parser's filter on ``value`` is not pushed below a generator, so it is
+    not re-inlined into (and re-evaluated with) the line construction."""
+    return df.select(F.inline(F.array(F.struct(pos.alias("pos"), line.alias("value")))))
+
+
 def base_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("id"),
@@ -55,7 +63,7 @@ def register_lines(events: DataFrame) -> DataFrame:
             .when(i % 19 == 0, F.concat_ws(TAB, u, c, F.lit("")))
             .when(i % 23 == 0, F.concat_ws(TAB, u, F.lit(""), t))
             .otherwise(F.concat_ws(TAB, u, c, t)))
-    return e.select(F.col("id").alias("pos"), line.alias("value"))
+    return _emit(e, F.col("id"), line)
 
 
 def qz_lines(events: DataFrame) -> DataFrame:
@@ -70,7 +78,7 @@ def qz_lines(events: DataFrame) -> DataFrame:
                                            F.lit("1"), F.lit("")))
             .when(i % 23 == 0, F.concat_ws(TAB, F.lit("x"), course, point, _s(k), F.lit("1"), t))
             .otherwise(F.concat_ws(TAB, uid, course, point, _s(k), istrue, t)))
-    return e.select(F.col("id").alias("pos"), line.alias("value"))
+    return _emit(e, F.col("id"), line)
 
 
 def page_lines(events: DataFrame) -> DataFrame:
@@ -90,7 +98,7 @@ def page_lines(events: DataFrame) -> DataFrame:
             .when(i % 37 == 0, F.lit(""))
             .when(i % 41 == 0, _json([("uid", u, True), ("page_id", p, False)]))
             .otherwise(full))
-    return e.select(F.col("id").alias("pos"), line.alias("value"))
+    return _emit(e, F.col("id"), line)
 
 
 def learn_lines(events: DataFrame) -> DataFrame:
@@ -109,7 +117,7 @@ def learn_lines(events: DataFrame) -> DataFrame:
             .when(i % 31 == 0, _json(head + edu + mid + tail))
             .when(i % 37 == 0, _json(head + mid + times + tail))
             .otherwise(_json(head + edu + mid + times + tail)))
-    return e.select(F.col("id").alias("pos"), line.alias("value"))
+    return _emit(e, F.col("id"), line)
 
 
 def province_ranges(nation: DataFrame) -> DataFrame:

@@ -32,9 +32,15 @@ JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
 
 
 def _finish(df: DataFrame, valid, keep_rejects: bool) -> DataFrame:
+    """Keep the valid rows (or flag them). Each line becomes zero or one
+    record through a generator over a filtered one-element array: the line
+    is parsed once, where a ``where`` would be pushed below the projection
+    and re-run the parse for every field it tests."""
     if keep_rejects:
         return df.withColumn("valid", F.coalesce(valid, F.lit(False)))
-    return df.where(valid)
+    rec = F.struct(*[F.col(c) for c in df.columns], F.coalesce(valid, F.lit(False)).alias("_keep"))
+    kept = df.select(F.inline(F.filter(F.array(rec), lambda r: r["_keep"])))
+    return kept.drop("_keep")
 
 
 def parse_register(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
