@@ -271,13 +271,14 @@ cte("wh_islands", _islands_sql("wh_scan"))
 cte("wb_scan", _scanned_sql("learn_batch_rows"))
 cte("wb_scan_id", "SELECT *, row_number() OVER () AS pid FROM wb_scan")
 cte("wb_overlap", f"""
-SELECT p.pid, coalesce(sum(greatest(0, least(p.pe, h.e) - greatest(p.lo, h.s))), 0) AS covered
-FROM wb_scan_id p LEFT JOIN wh_islands h USING ({WKEY})
+SELECT p.pid, sum(greatest(0, least(p.pe, h.e) - greatest(p.lo, h.s))) AS covered
+FROM wb_scan_id p JOIN wh_islands h USING ({WKEY})
 WHERE p.pe > p.lo
 GROUP BY p.pid""")
 cte("wb_cov", f"""
 SELECT *, {EFF} AS effective_seconds FROM (
-  SELECT p.*, CAST(CASE WHEN p.pe > p.lo THEN p.pe - p.lo - o.covered ELSE 0 END AS BIGINT)
+  SELECT p.*, CAST(CASE WHEN p.pe > p.lo THEN p.pe - p.lo - coalesce(o.covered, 0) ELSE 0 END
+                   AS BIGINT)
               AS new_seconds
   FROM wb_scan_id p LEFT JOIN wb_overlap o USING (pid))""")
 cte("wb_islands", _islands_sql("wb_scan"))
