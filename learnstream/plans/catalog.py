@@ -32,8 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def as_feed(spark: SparkSession, fl: DataFrame) -> DataFrame:
+    """Feed lines spread over at least the default parallelism, as the
+    replay job (S4) publishes a topic with a minimum partition count. A
+    planning-time check: on a large scan (thousands of splits) nothing
+    moves; a single-split table is spread round-robin before parsing."""
+    want = spark.sparkContext.defaultParallelism
+    return fl.repartition(want) if fl.rdd.getNumPartitions() < want else fl
+
+
 def lines(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    return adapters.FEEDS[feed](table(spark, sf_dir, "events"))
+    return as_feed(spark, adapters.FEEDS[feed](table(spark, sf_dir, "events")))
 
 
 def rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
@@ -44,7 +53,7 @@ def halves(spark: SparkSession, sf_dir: str, feed: str) -> tuple[DataFrame, Data
     """History (event id below half the event count) and batch lines."""
     events = table(spark, sf_dir, "events")
     half = events.select((F.count(F.lit(1)) / 2).alias("half"))
-    fl = adapters.FEEDS[feed](events).crossJoin(F.broadcast(half))  # one-row side
+    fl = as_feed(spark, adapters.FEEDS[feed](events)).crossJoin(F.broadcast(half))  # one-row side
     hist = fl.where(F.col("pos") < F.col("half")).drop("half")
     batch = fl.where(F.col("pos") >= F.col("half")).drop("half")
     return hist, batch
