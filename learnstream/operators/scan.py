@@ -15,7 +15,8 @@ The sliced rows are checkpointed (reliable storage under
 ``spark.checkpoint.dir``) so both phases read the very same slices.
 
 Only keys that span a slice boundary have a carry, and there are at most
-``slices - 1`` boundaries, so the carry table has fewer than ``slices`` rows:
+``slices - 1`` boundaries (``slices`` <= ``spark.sql.shuffle.partitions``), so
+the carry table has fewer than ``slices`` rows:
 its size is bounded by construction, which makes broadcasting it safe at any
 data size.
 """
@@ -32,12 +33,6 @@ from learnstream.session import ensure_checkpoint_dir
 SLICE = "_slice"
 
 
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return slices
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 specs: dict[str, tuple[str, Column, bool]],
                 slices: int | None = None) -> DataFrame:
@@ -48,7 +43,6 @@ def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     arbitrarily. Nulls are ignored; with no earlier value a max is null and a
     sum is 0. ``keys`` must not be null.
     """
-    n = _slices(df, slices)
     fns = {"max": F.max, "sum": F.sum}
     vals = {name: f"_v_{name}" for name in specs}
     staged = df.select("*", *[v.alias(vals[name]) for name, (_, v, _) in specs.items()])
@@ -58,7 +52,11 @@ def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # checkpoint folder; that also cuts the lineage and keeps executor loss
     # from re-slicing.
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = (staged.repartitionByRange(n, *keys, *order)
+    # Without an explicit count the range exchange uses
+    # spark.sql.shuffle.partitions and AQE may coalesce neighbouring ranges
+    # (never past the advisory size): slices stay contiguous in the order.
+    parts = [slices] if slices else []
+    ranged = (staged.repartitionByRange(*parts, *keys, *order)
               .withColumn(SLICE, F.spark_partition_id())
               .checkpoint(eager=True))
 
