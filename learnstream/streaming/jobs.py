@@ -123,7 +123,8 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 # ---- J4 --------------------------------------------------------------------
 
 def page_job(feed: DataFrame, ranges: DataFrame, *, root: str | None = None,
-             name: str = "page", available_now: bool = False) -> StreamingQuery:
+             name: str = "page", available_now: bool = False
+             ) -> tuple[StreamingQuery, StreamingQuery]:
     """J4. Transition counts and per-IP clicks live in the state store; each
     trigger writes the jump counts, the page conversion table and the top
     provinces to ``<root>/<name>/<table>/v=<batch_id>``."""
