@@ -51,3 +51,13 @@ def test_learn_defaults_and_seconds(spark):
     rows = parse.parse_learn(lines_df(spark, lines)).collect()
     assert [r.secs for r in rows] == [0, 0, 1, -1]        # toward zero
     assert all(r.edutypeid == 0 for r in rows)            # absent int -> 0
+
+
+def test_replay_spreads_lines_over_ten_partitions(spark, tmp_path):
+    from learnstream.sources.feeds import replay_frame, replay_to_dir
+    lines = lines_df(spark, [f"{i}\t1\t{T}" for i in range(50)]).coalesce(1)
+    out = replay_frame(lines)
+    assert out.rdd.getNumPartitions() >= 10 and out.count() == 50
+    replay_to_dir(lines, str(tmp_path / "feed"))
+    back = spark.read.text(str(tmp_path / "feed"))
+    assert sorted(r.value for r in back.collect()) == sorted(r.value for r in lines.collect())
