@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SMALL
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(entry.catalog.CATALOG)
 DUCK_TYPES = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double"}
 
 
@@ -29,7 +29,7 @@ def norm(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
