@@ -13,6 +13,7 @@ from learnstream.session import ensure_checkpoint_dir
 # Bounds of one Arrow batch between the JVM and a Python worker.
 BATCH_ROWS = 2000
 BATCH_BYTES = 32 << 20
+GROUP_CHARS = 4 << 20        # texts are worked on in groups of about this size
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,11 +35,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps start
     from the files, whatever executor is lost. Parquet, so columns prune."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -62,3 +63,13 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
                 if out is not None and out.num_rows:
                     yield out
     return run
+
+
+def text_groups(texts: list[str], chars: int = GROUP_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(first index, texts) of about ``chars`` characters each."""
+    at, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= chars or k == len(texts) - 1:
+            yield at, texts[at:k + 1]
+            at, size = k + 1, 0

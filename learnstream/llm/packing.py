@@ -32,12 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from learnstream.llm.common import bound_batches, materialize, per_batch
+from learnstream.llm.common import bound_batches, materialize, per_batch, text_groups
 
 CAPACITY = 1024
 END_ID = 2
 CACHE_WORDS = 400_000        # words whose ids a worker keeps
-CHUNK_CHARS = 4 << 20        # texts are encoded in groups of about this size
 
 PIECE_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
                 "nth long, task int")
@@ -152,16 +151,6 @@ class WordEncoder:
         return flat, sizes
 
 
-def text_groups(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """(first index, texts) of about ``chars`` characters each."""
-    at, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= chars or k == len(texts) - 1:
-            yield at, texts[at:k + 1]
-            at, size = k + 1, 0
-
-
 def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int, int]]:
     """(piece, start, length, crc32) of one document's ids."""
     n = len(ids)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from learnstream.llm import packing
+from learnstream.llm import neardup, packing
 from learnstream.llm.common import table
 
 QUERIES = {}
@@ -22,4 +22,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 SQL: dict[str, str] = {}
