@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from learnstream.llm import neardup, packing
+from learnstream.llm import neardup, packing, pii, tokens
 from learnstream.llm.common import table
 
 QUERIES = {}
@@ -27,4 +27,15 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+
+
 SQL: dict[str, str] = {}
