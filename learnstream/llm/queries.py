@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from learnstream.llm import neardup, packing, pii, tokens
+from learnstream.llm import langid, neardup, packing, pii, tokens
 from learnstream.llm.common import table
 
 QUERIES = {}
@@ -38,4 +38,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 SQL: dict[str, str] = {}
