@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from learnstream.llm import langid, neardup, packing, pii, tokens
+from learnstream.llm import langid, neardup, packing, pii, tokens, topk
 from learnstream.llm.common import table
 
 QUERIES = {}
@@ -44,4 +44,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op4_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 SQL: dict[str, str] = {}
