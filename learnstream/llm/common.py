@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from learnstream.session import ensure_checkpoint_dir
 
@@ -73,3 +75,28 @@ def text_groups(texts: list[str], chars: int = GROUP_CHARS) -> Iterator[tuple[in
         if size >= chars or k == len(texts) - 1:
             yield at, texts[at:k + 1]
             at, size = k + 1, 0
+
+
+def running_total(df: DataFrame, order: list[Column], weight: str, name: str) -> DataFrame:
+    """``df`` with ``before``: the sum of ``weight`` over the rows that come
+    earlier in the total order. A range sort, sums in each of its tasks, and
+    one row a task to add up; the result is written to the shared folder."""
+    kinds = StructType([*df.schema.fields]).add("_before", LongType()).add("_task", LongType())
+
+    def run(batches):
+        from pyspark import TaskContext
+        task, total = TaskContext.get().partitionId(), 0
+        for b in batches:
+            w = b.column(weight).to_numpy()
+            ends = w.cumsum() + total
+            total = int(ends[-1]) if len(ends) else total
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(ends - w, pa.int64()), pa.array([task] * len(w), pa.int64())], kinds.names)
+
+    own = materialize(df.sort(*order).mapInArrow(run, kinds), name)
+    tasks = own.groupBy("_task").agg(F.sum(weight).alias("_sum"))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    base = tasks.select("_task", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    # as many rows as the sort has tasks
+    return (own.join(F.broadcast(base), "_task")
+            .withColumn("before", F.col("_before") + F.col("_base")).drop("_task", "_before", "_base"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from learnstream.llm import langid, neardup, packing, pii, tokens, topk, warc
+from learnstream.llm import langid, linededup, neardup, packing, pii, tokens, topk, warc
 from learnstream.llm.common import scratch_path, table
 
 QUERIES = {}
@@ -56,6 +57,15 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, out).drop("url")
 
 
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("deleted", lambda x: F.concat_ws("-", x["place"].cast("string"), x["end"].cast("string")))
+    n_deleted = F.aggregate("deleted", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["place"])
+    return out.select("doc_id", "n_lines", n_deleted.alias("n_deleted"), F.array_join(spans, ",").alias("deleted"),
+                      "sources", "text")
+
+
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 SQL: dict[str, str] = {
     "op4_pivot_topk": """

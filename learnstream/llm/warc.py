@@ -31,10 +31,10 @@ from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnstream.llm.common import bound_batches, materialize
+from learnstream.llm.common import bound_batches, materialize, running_total
 
 MIN_PAYLOAD = 1000
 SHARD_BYTES = 32 << 20       # payload bytes of a shard, about
@@ -114,35 +114,18 @@ def members(stream) -> Iterator[bytes]:
 
 def plan(pages: DataFrame) -> DataFrame:
     """page_id, digest, refers_to and shard of every distinct (page_id, digest)."""
-    spark = pages.sparkSession
     keys = materialize(pages.groupBy("page_id", "digest", "n").agg(F.count(F.lit(1)).alias("copies")), "keys")
     last = (keys.where(F.col("n") >= MIN_PAYLOAD).groupBy("digest")
             .agg(F.max("page_id").alias("last"), F.sum("copies").alias("of")).where("of > 1").drop("of"))
     keys = (keys.join(last, "digest", "left")
             .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))))
 
-    def running(frames):
-        from pyspark import TaskContext
-        part, total = TaskContext.get().partitionId(), 0
-        for df in frames:
-            weight = df.pop("weight")
-            df["before"] = weight.cumsum() - weight + total
-            total += int(weight.sum())
-            df["part"], df["total"] = part, total
-            yield df
-
     stored = F.when(F.col("refers_to").isNull(), F.col("n")).otherwise(0)
-    ordered = keys.sort(F.col("page_id").asc_nulls_first(), "digest").select(
-        "page_id", "digest", "refers_to", ((stored + HEADER_BYTES) * F.col("copies")).alias("weight"))
-    ordered = materialize(ordered.mapInPandas(running, "page_id long, digest string, refers_to long, "
-                                              "before long, part int, total long"), "ordered")
-    # a row a partition of the sort
-    parts = ordered.groupBy("part").agg(F.max("total").alias("total"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = parts.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
-    place = F.col("before") + F.col("base")
-    return ordered.join(F.broadcast(base), "part").select(
-        "page_id", "digest", "refers_to", F.floor(place / SHARD_BYTES).alias("shard"))
+    keys = keys.select("page_id", "digest", "refers_to",
+                       ((stored + HEADER_BYTES) * F.col("copies")).alias("weight"))
+    ordered = running_total(keys, [F.col("page_id").asc_nulls_first(), F.col("digest")], "weight", "ordered")
+    return ordered.select("page_id", "digest", "refers_to",
+                          F.floor(F.col("before") / SHARD_BYTES).alias("shard"))
 
 
 def write(pages: DataFrame, out: str) -> DataFrame:
