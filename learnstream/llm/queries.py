@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnstream.llm import decontam, langid, linededup, neardup, packing, pii, tokens, topk, warc
+from learnstream.llm import chat, decontam, langid, linededup, neardup, packing, pii, tokens, topk, warc
 from learnstream.llm.common import scratch_path, table
 
 QUERIES = {}
@@ -71,6 +71,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_chat_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link(chat.derived(table(spark, sf_dir, "conversations")), chat.TOOLS)
+
+
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 SQL: dict[str, str] = {
     "op4_pivot_topk": """
