@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnstream.functions.scalar import half_even_percent, ip_to_long
+from learnstream.operators.state import merge, update_existing
 
 # Page 1 is the course home page, 2 the order page, 3 payment.
 HOME, ORDER, PAYMENT = 1, 2, 3
 HOME_RATE = "100%"
 TOP_PROVINCES = 3
-IP_BUCKET_BITS = 16            # range join on /16 blocks
-BROADCAST_MAX_ROWS = 2_000_000  # exploded range rows allowed in a broadcast
+IP_BUCKET_BITS = 16            # ranges and IPs meet in /16 blocks
 
 
 def jump_count(rows: DataFrame) -> DataFrame:
@@ -37,64 +37,82 @@ def view_total(rows: DataFrame) -> DataFrame:
 def convert_rate(totals: DataFrame) -> DataFrame:
     """Home page gets 100%; order page n2/n1; payment page n3/n2, as
     whole-percent text rounded half to even, 0% on a zero denominator; other
-    pages no rate. The three counts are one row, joined back by broadcast."""
+    pages no rate. The three counts are sums over the page totals, which are
+    one row a page, so the feed is read once."""
+    whole = Window.partitionBy(F.lit(0))
+
     def n_of(p):
-        return F.sum(F.when(F.col("page_id") == p, F.col("num")).otherwise(0)).cast("long")
-    counts = totals.agg(n_of(HOME).alias("n1"), n_of(ORDER).alias("n2"), n_of(PAYMENT).alias("n3"))
-    j = totals.crossJoin(F.broadcast(counts))  # one-row side
+        return F.sum(F.when(F.col("page_id") == p, F.col("num")).otherwise(0)).over(whole).cast("long")
+    j = totals.select("page_id", "num", n_of(HOME).alias("n1"), n_of(ORDER).alias("n2"), n_of(PAYMENT).alias("n3"))
     rate = (F.when(F.col("page_id") == HOME, F.lit(HOME_RATE))
             .when(F.col("page_id") == ORDER, half_even_percent(F.col("n2"), F.col("n1")))
             .when(F.col("page_id") == PAYMENT, half_even_percent(F.col("n3"), F.col("n2"))))
     return j.select("page_id", "num", rate.alias("jump_rate"))
 
 
-def _bucketed_ranges(ranges: DataFrame) -> DataFrame:
-    """Each range once per /16 block it touches. Ranges are disjoint, so
-    there are at most (#ranges + 65536) rows."""
-    b = IP_BUCKET_BITS
-    return ranges.select(
-        "province", "ip_from", "ip_to",
-        F.explode(F.sequence(F.shiftright("ip_from", b), F.shiftright("ip_to", b))).alias("bucket"))
-
-
 def locate(ip_counts: DataFrame, ranges: DataFrame) -> DataFrame:
     """Attach the province whose ``[ip_from, ip_to]`` holds ``ip_num``
-    (inner: IPs outside every range drop). Equi-join on the /16 block, then
-    the range test. The block table is broadcast only when its row count is
-    checked to be small; otherwise both sides shuffle on the block and AQE
-    splits hot blocks."""
-    blocks = _bucketed_ranges(ranges)
-    if blocks.count() <= BROADCAST_MAX_ROWS:
-        blocks = F.broadcast(blocks)
-    pts = ip_counts.withColumn("bucket", F.shiftright("ip_num", IP_BUCKET_BITS))
-    return (pts.join(blocks, "bucket")
-            .where(F.col("ip_num").between(F.col("ip_from"), F.col("ip_to")))
-            .drop("bucket", "ip_from", "ip_to"))
-
-
-def province_clicks(rows: DataFrame, ranges: DataFrame, preaggregate: bool = True) -> DataFrame:
-    """A10 before the top-k: clicks per province. In batch, clicks are
-    counted per IP first (map-side combined), so the join sees distinct IPs,
-    not rows; a stream joins each row (one streaming aggregation only)."""
+    (inner: IPs outside every range drop). Ranges are disjoint, so an IP's
+    range is the last that starts at or before it: ranges, once per /16 block
+    they touch, and distinct IPs are ordered in their block. A block holds at
+    most 65,536 IPs and as many ranges."""
+    b = IP_BUCKET_BITS
+    blocks = F.explode(F.sequence(F.shiftright("ip_from", b), F.shiftright("ip_to", b)))
+    span = F.struct("province", "ip_to")
+    starts = (ranges.select("*", blocks.alias("bucket"))
+              .select("bucket", F.greatest(F.col("ip_from"), F.shiftleft("bucket", b)).alias("at"),
+                      span.alias("span"), F.lit(None).cast("long").alias("ip_num"),
+                      F.lit(None).cast("long").alias("c")))
+    points = ip_counts.select(F.shiftright("ip_num", b).alias("bucket"), F.col("ip_num").alias("at"),
+                              F.lit(None).cast(starts.schema["span"].dataType).alias("span"), "ip_num", "c")
+    w = Window.partitionBy("bucket").orderBy("at", F.col("ip_num").asc_nulls_first())
+    found = starts.unionByName(points).withColumn("last", F.last("span", ignorenulls=True).over(w))
+    return (found.where(F.col("ip_num") <= F.col("last.ip_to"))
+            .select("ip_num", "c", F.col("last.province").alias("province")))
+
+
+def province_clicks(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """A10 before the top-k: clicks per province. Clicks are counted per IP
+    first (map-side combined), so only distinct IPs meet the ranges."""
     ips = rows.select(ip_to_long(F.col("ip")).alias("ip_num")).where(F.col("ip_num").isNotNull())
-    if preaggregate:
-        ips = ips.groupBy("ip_num").agg(F.count(F.lit(1)).alias("c"))
-    else:
-        ips = ips.withColumn("c", F.lit(1).cast("long"))
+    ips = ips.groupBy("ip_num").agg(F.count(F.lit(1)).alias("c"))
     return locate(ips, ranges).groupBy("province").agg(F.sum("c").cast("long").alias("n"))
 
 
 def province_top(rows: DataFrame, ranges: DataFrame, k: int = TOP_PROVINCES) -> DataFrame:
     """A10: the k provinces with most clicks (ties by name); a
     TakeOrderedAndProject, no global sort."""
-    return province_clicks(rows, ranges).orderBy(F.desc("n"), F.asc("province")).limit(k)
+    return top_of(province_clicks(rows, ranges), k)
+
+
+def top_of(clicks: DataFrame, k: int = TOP_PROVINCES) -> DataFrame:
+    return clicks.orderBy(F.desc("n"), F.asc("province")).limit(k)
 
 
 # ---- state and incremental merge ------------------------------------------
 
 def merge_totals(old: DataFrame, new: DataFrame) -> DataFrame:
     """Merge M (accumulate) for page totals."""
-    j = old.select("page_id", F.col("num").alias("o")).join(
-        new.select("page_id", F.col("num").alias("n")), "page_id", "full_outer")
-    return j.select("page_id", (F.coalesce("o", F.lit(0)) + F.coalesce("n", F.lit(0)))
-                    .cast("long").alias("num"))
+    return merge(old, new, ["page_id"], accumulate=["num"])
+
+
+def page_batch(counts: DataFrame) -> DataFrame:
+    """A batch's row per page id: views, the neighbours (of the smallest
+    transition, as text), and the rate a page gets on its first insert (S10)."""
+    t = counts.withColumn("pid", F.col("page_id").try_cast("int")).where(F.col("pid").isNotNull())
+    first = F.min(F.struct("last_page_id", "next_page_id"))
+    rows = t.groupBy(F.col("pid").alias("page_id")).agg(F.sum("num").cast("long").alias("num"), first.alias("f"))
+    return rows.select(F.col("f.last_page_id").alias("last_page_id"), "page_id",
+                       F.col("f.next_page_id").alias("next_page_id"), "num",
+                       F.when(F.col("page_id") == HOME, F.lit(HOME_RATE)).alias("jump_rate"))
+
+
+def merge_pages(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Page state of ``old`` and a batch: views add up, neighbours and the
+    rate of the first insert stay (S9); then the rates of the stored pages
+    are set from the new totals, of existing pages only (S11)."""
+    merged = merge(old, new, ["page_id"], accumulate=["num"],
+                   keep_first=["last_page_id", "next_page_id", "jump_rate"])
+    rates = convert_rate(merged.select("page_id", "num")).where("jump_rate IS NOT NULL")
+    return update_existing(merged, rates, ["page_id"], ["jump_rate"]).select(
+        "last_page_id", "page_id", "next_page_id", "num", "jump_rate")

@@ -17,21 +17,22 @@ def channel_total(rows: DataFrame) -> DataFrame:
     return rows.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
 
 
-def channel_window(rows: DataFrame, window: int = WINDOW_SECONDS,
-                   slide: int = SLIDE_SECONDS) -> DataFrame:
-    """A2, pane form: count per ``slide``-second pane first (map-side
-    combined), then spread each pane to the ``window/slide`` windows holding
-    it. The 10x expansion touches panes, not rows.
+def channel_panes(rows: DataFrame, slide: int = SLIDE_SECONDS) -> DataFrame:
+    """Count per channel and ``slide``-second pane of the create time; rows
+    whose create time does not parse are not counted."""
+    sec = epoch_seconds_of_text(F.col("createtime"))
+    return (rows.select("channel", F.floor(sec / slide).cast("long").alias("pane"))
+            .where(F.col("pane").isNotNull())
+            .groupBy("pane", "channel").agg(F.count(F.lit(1)).alias("n")))
 
-    Windows are ``[start, start + window)`` aligned to the epoch; rows whose
-    create time does not parse are not counted."""
+
+def windows_of_panes(panes: DataFrame, window: int = WINDOW_SECONDS,
+                     slide: int = SLIDE_SECONDS) -> DataFrame:
+    """Spread each pane to the ``window/slide`` windows that hold it. Windows
+    are ``[start, start + window)`` aligned to the epoch."""
     if window % slide:
         raise ValueError("window must be a multiple of slide")
     per = window // slide
-    sec = epoch_seconds_of_text(F.col("createtime"))
-    panes = (rows.select("channel", F.floor(sec / slide).cast("long").alias("pane"))
-             .where(F.col("pane").isNotNull())
-             .groupBy("pane", "channel").agg(F.count(F.lit(1)).alias("n")))
     spread = panes.select(
         "channel", "n",
         F.explode(F.sequence(F.col("pane") - (per - 1), F.col("pane"))).alias("wpane"))
@@ -39,15 +40,7 @@ def channel_window(rows: DataFrame, window: int = WINDOW_SECONDS,
             .agg(F.sum("n").alias("n")))
 
 
-def channel_window_direct(rows: DataFrame, window: int = WINDOW_SECONDS,
-                          slide: int = SLIDE_SECONDS) -> DataFrame:
-    """A2 with Spark's sliding ``window`` (each row expands 10x before the
-    aggregate). Kept for the streaming job and as the bench's comparison."""
-    ts = F.try_to_timestamp(F.col("createtime"), F.lit("yyyy-MM-dd HH:mm:ss"))
-    w = F.window(ts, f"{window} seconds", f"{slide} seconds")
-    return (rows.where(ts.isNotNull()).groupBy(w.alias("w"), "channel")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.unix_timestamp(F.col("w.start")).alias("window_start"), "channel", "n"))
-
-
-
+def channel_window(rows: DataFrame, window: int = WINDOW_SECONDS,
+                   slide: int = SLIDE_SECONDS) -> DataFrame:
+    """A2 by panes: the 10x expansion touches panes, not rows."""
+    return windows_of_panes(channel_panes(rows, slide), window, slide)

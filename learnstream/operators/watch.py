@@ -12,21 +12,26 @@ they can only cover a prefix of the current play, so
     new = greatest(0, pe - lo) - |[lo, pe] intersected with history H|
     eff = trunc(secs / (pe - ps) * new), 0 when pe = ps
 
-and a play starts a new covered island when ``m`` is null or ``ps > m``
-(touching intervals merge). ``m`` and the history lookup are skew-safe ordered
-scans (``scan.running_max``); everything else is a hash aggregate.
+and a covered island starts where ``m`` is null or ``ps > m`` (touching
+intervals merge). A play with ``pe <= ps`` (seeking back, no length) covers
+nothing: its seconds count, it is in no island and in no ``m``.
+
+``m`` is found in three levels, so that no window gathers a hot key: the
+maxima per (key, ps, hour of ts) are aggregated map-side; a window over the
+starts of a key and one over the hours of a start see these maxima only (at
+most one row a second of video, one an hour); plays meet in a window only
+within one (key, ps, hour).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from learnstream.operators.scan import running_agg, running_max
+from learnstream.operators.state import merge
 
 KEY = ["userid", "cwareid", "videoid"]
-PLAY_ORDER = ["ps", "ts", "te", "pe"]
-TIE = "_tie"
+HOUR_MS = 3_600_000
 ROLLUP_DIMS = ["chapterid", "cwareid", "edutypeid", "sourcetype", "subjectid"]
 
 
@@ -56,13 +61,19 @@ def rollup(rows: DataFrame) -> DataFrame:
 # ---- A17-A19 ---------------------------------------------------------------
 
 def plays(rows: DataFrame) -> DataFrame:
-    """Parsed learn rows -> plays keyed by (userid, cwareid, videoid).
-
-    ``_tie`` ends the sort order so that even identical plays can be split
-    between slices (their relative order does not change any result)."""
+    """Parsed learn rows -> plays keyed by (userid, cwareid, videoid)."""
     return rows.select(F.col("uid").alias("userid"), "cwareid", "videoid",
-                       "ps", "pe", "ts", "te", "secs",
-                       F.monotonically_increasing_id().alias(TIE))
+                       "ps", "pe", "ts", "te", "secs")
+
+
+def _reach() -> Column:
+    """Where a play's cover ends; null if it covers nothing."""
+    return F.when(F.col("pe") > F.col("ps"), F.col("pe"))
+
+
+def _earlier(value: str, keys: list[str], *order: str) -> Column:
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.max(value).over(w)
 
 
 def _effective(secs: Column, ps: Column, pe: Column, new: Column) -> Column:
@@ -71,54 +82,69 @@ def _effective(secs: Column, ps: Column, pe: Column, new: Column) -> Column:
     return F.coalesce((ratio * new).cast("long"), F.lit(0).cast("long"))
 
 
-def scan_plays(p: DataFrame, slices: int | None = None) -> DataFrame:
-    """Adds ``m`` (max pe of earlier plays of the key) and ``lo``."""
-    out = running_max(p, KEY, PLAY_ORDER + [TIE], {"m": (F.col("pe"), False)}, slices)
-    return out.withColumn("lo", F.greatest(F.col("ps"), F.coalesce(F.col("m"), F.col("ps"))))
+def scan_plays(p: DataFrame) -> DataFrame:
+    """Adds ``lo``: the end of what earlier plays of the key cover of this
+    play's start, see the module text. One shuffle of the plays."""
+    start, cell = [*KEY, "ps"], [*KEY, "ps", "_hour"]
+    p = p.withColumn("_hour", F.floor(F.col("ts") / HOUR_MS)).withColumn("_reach", _reach())
+    cells = p.groupBy(*cell).agg(F.max("_reach").alias("_top"))
+    starts = cells.groupBy(*start).agg(F.max("_top").alias("_top")).select(
+        *start, _earlier("_top", KEY, "ps").alias("_m1"))
+    before = cells.select(*cell, _earlier("_top", start, "_hour").alias("_m2")).join(starts, start)
+    own = p.withColumn("_m3", _earlier("_reach", cell, "ts", "te", "pe"))
+    m = F.greatest("_m1", "_m2", "_m3")
+    return (own.join(before, cell)
+            .withColumn("lo", F.greatest(F.col("ps"), F.coalesce(m, F.col("ps"))))
+            .drop("_hour", "_reach", "_m1", "_m2", "_m3"))
+
+
+def _with_new(scanned: DataFrame, covered: Column) -> DataFrame:
+    """Adds new and effective seconds; ``covered`` is what history covers of
+    the part from ``lo`` on."""
+    new = F.when(F.col("pe") > F.col("lo"), F.col("pe") - F.col("lo") - covered).otherwise(0)
+    return (scanned.withColumn("new_seconds", new.cast("long"))
+            .withColumn("effective_seconds",
+                        _effective(F.col("secs"), F.col("ps"), F.col("pe"), F.col("new_seconds"))))
 
 
-def coverage(p: DataFrame, slices: int | None = None) -> DataFrame:
+def coverage(p: DataFrame) -> DataFrame:
     """Per play without history: new (completed) and effective seconds."""
-    s = scan_plays(p, slices)
-    new = F.greatest(F.lit(0), F.col("pe") - F.col("lo"))
-    return (s.withColumn("new_seconds", new.cast("long"))
-            .withColumn("effective_seconds",
-                        _effective(F.col("secs"), F.col("ps"), F.col("pe"), F.col("new_seconds"))))
+    return _with_new(scan_plays(p), F.lit(0))
 
 
-def play_new_coverage(rows: DataFrame, slices: int | None = None) -> DataFrame:
+def play_new_coverage(rows: DataFrame) -> DataFrame:
     """A18 per play."""
-    return coverage(plays(rows), slices).select(
+    return coverage(plays(rows)).select(
         *KEY, "ps", "ts", "te", "pe", "secs", "new_seconds", "effective_seconds")
 
 
-def _totals(cov: DataFrame) -> list[Column]:
-    return [F.sum("secs").alias("totaltime"),
-            F.sum("effective_seconds").alias("effecttime"),
-            F.sum("new_seconds").alias("completetime")]
+def _totals(cov: DataFrame) -> DataFrame:
+    return cov.groupBy(*KEY).agg(F.sum("secs").alias("totaltime"),
+                                 F.sum("effective_seconds").alias("effecttime"),
+                                 F.sum("new_seconds").alias("completetime"))
 
 
-def watch_detail(rows: DataFrame, slices: int | None = None) -> DataFrame:
+def watch_detail(rows: DataFrame) -> DataFrame:
     """Total, effective and completed seconds per key."""
-    cov = coverage(plays(rows), slices)
-    return cov.groupBy(*KEY).agg(*_totals(cov))
-
-
-def _islands(scanned: DataFrame) -> list[Column]:
-    """Aggregates giving the merged covered intervals of a key: the starts
-    (plays with ``m`` null or ``ps > m``) with the running max before them;
-    an island ends where the next one's running max stood, the last at the
-    key's max ``pe``."""
-    starts = F.when(F.col("m").isNull() | (F.col("ps") > F.col("m")),
-                    F.struct(F.col("ps").alias("s"), F.col("m").alias("before")))
-    return [F.sort_array(F.collect_list(starts)).alias("_starts"), F.max("pe").alias("_maxpe")]
-
-
-def _interval_array(starts: Column, maxpe: Column) -> Column:
-    n = F.size(starts)
-    return F.transform(starts, lambda x, i: F.struct(
+    return _totals(coverage(plays(rows)))
+
+
+def _unite(spans: DataFrame) -> DataFrame:
+    """Covered intervals per key from spans (key, s, e), touching ones merged;
+    a null ``e`` covers nothing but keeps its key. Spans of one start are
+    combined map-side, so a window sees a row a second of video at most."""
+    tops = spans.groupBy(*KEY, "s").agg(F.max("e").alias("e"))
+    tops = tops.withColumn("m", _earlier("e", KEY, "s"))
+    opens = F.col("e").isNotNull() & (F.col("m").isNull() | (F.col("s") > F.col("m")))
+    held = tops.groupBy(*KEY).agg(
+        F.sort_array(F.collect_list(F.when(opens, F.struct("s", F.col("m").alias("before"))))).alias("_starts"),
+        F.max("e").alias("_last"))
+    starts = F.col("_starts")
+    # an island ends where the running max stood when the next one opened
+    ended = F.transform(starts, lambda x, i: F.struct(
         x["s"].alias("s"),
-        F.when(i + 1 < n, F.element_at(starts, i + 2)["before"]).otherwise(maxpe).alias("e")))
+        F.coalesce(F.get(starts, i + 1)["before"], F.col("_last")).alias("e")))
+    return held.select(*KEY, ended.alias("intervals"))
 
 
 def interval_text(intervals: Column) -> Column:
@@ -127,115 +153,42 @@ def interval_text(intervals: Column) -> Column:
         x["s"].cast("string"), F.lit("-"), x["e"].cast("string"))), ",")
 
 
-def intervals(rows: DataFrame, slices: int | None = None) -> DataFrame:
+def intervals(rows: DataFrame) -> DataFrame:
     """Merged covered intervals per key, as ``array<struct<s,e>>``."""
-    s = scan_plays(plays(rows), slices)
-    return (s.groupBy(*KEY).agg(*_islands(s))
-            .select(*KEY, _interval_array(F.col("_starts"), F.col("_maxpe")).alias("intervals")))
+    return _unite(plays(rows).select(*KEY, F.col("ps").alias("s"), _reach().alias("e")))
 
 
-def video_intervals(rows: DataFrame, slices: int | None = None) -> DataFrame:
-    return intervals(rows, slices).select(*KEY, interval_text(F.col("intervals")).alias("play_interval"))
+def video_intervals(rows: DataFrame) -> DataFrame:
+    return intervals(rows).select(*KEY, interval_text(F.col("intervals")).alias("play_interval"))
 
 
 # ---- incremental: batch plays against stored history -----------------------
 
-def state_from(rows: DataFrame, slices: int | None = None) -> DataFrame:
-    """Watch state of a set of plays with no prior history: per key the
-    totals and the covered intervals."""
-    cov = coverage(plays(rows), slices)
-    agg = cov.groupBy(*KEY).agg(*_totals(cov), *_islands(cov))
-    return agg.select(*KEY, "totaltime", "effecttime", "completetime",
-                      _interval_array(F.col("_starts"), F.col("_maxpe")).alias("intervals"))
+TOTALS = ("totaltime", "effecttime", "completetime")
 
 
-def _history_points(state: DataFrame) -> DataFrame:
-    """History intervals, one row each."""
-    return (state.select(*KEY, F.explode("intervals").alias("h"))
-            .select(*KEY, F.col("h.s").cast("long").alias("hs"),
-                    F.col("h.e").cast("long").alias("he")))
-
-
-def covered_upto(x: Column, n_before: Column, len_sum: Column, last_end: Column) -> Column:
-    """|H intersected with (-inf, x]|, given the summed length of the history
-    intervals starting at or before ``x`` and the end of the last of them
-    (only that one can reach past ``x``: history intervals are disjoint)."""
-    return F.when(n_before == 0, F.lit(0).cast("long")).otherwise(
-        (len_sum - F.greatest(last_end - x, F.lit(0))).cast("long"))
+def state_from(rows: DataFrame) -> DataFrame:
+    """Watch state of a set of plays with no prior history: per key the
+    totals and the covered intervals."""
+    return watch_detail(rows).join(intervals(rows), KEY).select(*KEY, *TOTALS, "intervals")
 
 
-def incremental(state: DataFrame, rows: DataFrame, slices: int | None = None) -> DataFrame:
+def incremental(state: DataFrame, rows: DataFrame) -> DataFrame:
     """Merge a batch of plays into watch state (totals and ``intervals`` per
-    key). Returns the new state over the keys of both sides.
-
-    For a batch play, ``new = (pe - lo) - (C(pe) - C(lo))`` with ``C(x)`` the
-    history coverage up to ``x``. ``C`` comes from one as-of scan over the
-    history intervals (at their start) and two query points per play (``lo``
-    and ``pe``), ordered by position with history first on ties: a running
-    count and length sum of the intervals so far and a running max of their
-    ends. The two points of a play are then summed back together by play id,
-    which spreads a hot key over all tasks.
-    """
-    s = scan_plays(plays(rows), slices)
-    spans = s.where(F.col("pe") > F.col("lo"))
-    carried = ["ps", "pe", "lo", "secs", "m"]
-    cols = [*KEY, "pos", "kind", "hlen", "he", TIE, "sign", *carried]
-    hist = _history_points(state).select(
-        *KEY, F.col("hs").alias("pos"), F.lit(0).alias("kind"),
-        (F.col("he") - F.col("hs")).alias("hlen"), "he",
-        F.lit(None).cast("long").alias(TIE), F.lit(0).alias("sign"),
-        *[F.lit(None).cast("int" if c != "secs" else "long").alias(c) for c in carried])
-    null2 = [F.lit(None).cast("long").alias("hlen"), F.lit(None).cast("long").alias("he")]
-    q_pe = spans.select(*KEY, F.col("pe").cast("long").alias("pos"), F.lit(1).alias("kind"),
-                        *null2, TIE, F.lit(1).alias("sign"), *carried)
-    q_lo = spans.select(*KEY, F.col("lo").cast("long").alias("pos"), F.lit(1).alias("kind"),
-                        *null2, TIE, F.lit(-1).alias("sign"), *carried)
-    pts = hist.select(*cols).unionByName(q_pe.select(*cols)).unionByName(q_lo.select(*cols))
-    looked = running_agg(pts, KEY, ["pos", "kind", TIE], {
-        "n_before": ("sum", F.when(F.col("kind") == 0, F.lit(1)), True),
-        "len_sum": ("sum", F.col("hlen"), True),
-        "last_end": ("max", F.col("he"), True)}, slices)
-    c_x = covered_upto(F.col("pos"), F.col("n_before"), F.col("len_sum"), F.col("last_end"))
-    spanned = (looked.where(F.col("kind") == 1)
-               .groupBy(*KEY, TIE)
-               .agg(F.sum(F.col("sign") * c_x).alias("_covered"),
-                    *[F.first(c).alias(c) for c in carried]))
-    spanned = spanned.withColumn(
-        "new_seconds", (F.col("pe") - F.col("lo") - F.col("_covered")).cast("long"))
-    unspanned = s.where(~(F.col("pe") > F.col("lo"))).select(
-        *KEY, TIE, *carried, F.lit(0).cast("long").alias("new_seconds"))
-    cov = spanned.select(*KEY, TIE, *carried, "new_seconds").unionByName(unspanned)
-    cov = cov.withColumn("effective_seconds",
-                         _effective(F.col("secs"), F.col("ps"), F.col("pe"), F.col("new_seconds")))
-    batch = cov.groupBy(*KEY).agg(*_totals(cov), *_islands(cov)).select(
-        *KEY, "totaltime", "effecttime", "completetime",
-        _interval_array(F.col("_starts"), F.col("_maxpe")).alias("intervals"))
-    return merge_state(state, batch)
-
-
-def merge_intervals(a: Column, b: Column) -> Column:
-    """Union of two sorted interval lists, touching intervals merged (both
-    lists are per-key and bounded by the video length)."""
-    both = F.sort_array(F.concat(F.coalesce(a, F.array()), F.coalesce(b, F.array())))
-    merged = F.aggregate(
-        both, F.array().cast("array<struct<s:int,e:int>>"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (x["s"] <= F.element_at(acc, -1)["e"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["s"].alias("s"),
-                F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e")))))
-        .otherwise(F.concat(acc, F.array(x))))
-    return merged
+    key). Returns the new state over the keys of both sides. Every play meets
+    its key's one state row, whose intervals the video's length bounds."""
+    p = scan_plays(plays(rows)).join(state.select(*KEY, "intervals"), KEY, "left")
+    lo, pe = F.col("lo"), F.col("pe")
+    covered = F.aggregate(
+        F.coalesce("intervals", F.array().cast("array<struct<s:int,e:int>>")), F.lit(0),
+        lambda n, h: n + F.greatest(F.lit(0), F.least(pe, h["e"]) - F.greatest(lo, h["s"])))
+    batch = _totals(_with_new(p, covered))
+    return merge_state(state, batch.join(intervals(rows), KEY))
 
 
 def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
     """State merge M for watch state: totals accumulate, intervals unite."""
-    o = old.select(*KEY, *[F.col(c).alias(f"o_{c}") for c in
-                           ("totaltime", "effecttime", "completetime", "intervals")])
-    n = new.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in
-                           ("totaltime", "effecttime", "completetime", "intervals")])
-    j = o.join(n, KEY, "full_outer")
-    add = [(F.coalesce(F.col(f"o_{c}"), F.lit(0)) + F.coalesce(F.col(f"n_{c}"), F.lit(0)))
-           .cast("long").alias(c) for c in ("totaltime", "effecttime", "completetime")]
-    return j.select(*KEY, *add, merge_intervals(F.col("o_intervals"), F.col("n_intervals"))
-                    .alias("intervals"))
+    totals = merge(old, new, KEY, accumulate=TOTALS)
+    both = old.select(*KEY, "intervals").unionByName(new.select(*KEY, "intervals"))
+    spans = both.select(*KEY, F.inline_outer("intervals"))
+    return totals.join(_unite(spans), KEY).select(*KEY, *TOTALS, "intervals")

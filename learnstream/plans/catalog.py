@@ -18,6 +18,7 @@ from learnstream.sources import adapters, parse
 from learnstream.sources.feeds import replay_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
+WATCH = ["uid", "cwareid", "videoid", "ps", "pe", "ts", "te", "secs"]
 CATALOG: dict[str, Query] = {}
 
 
@@ -32,31 +33,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def as_feed(spark: SparkSession, fl: DataFrame) -> DataFrame:
-    """Feed lines spread over at least the default parallelism, as the
-    replay job (S4) publishes a topic with a minimum partition count. A
-    planning-time check: on a large scan (thousands of splits) nothing
-    moves; a single-split table is spread round-robin before parsing."""
-    want = spark.sparkContext.defaultParallelism
-    return fl.repartition(want) if fl.rdd.getNumPartitions() < want else fl
+def lines(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    return adapters.FEEDS[feed](table(spark, sf_dir, "events"))
 
 
-def lines(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    return as_feed(spark, adapters.FEEDS[feed](table(spark, sf_dir, "events")))
+def rows(spark: SparkSession, sf_dir: str, feed: str, **options) -> DataFrame:
+    return parse.PARSERS[feed](lines(spark, sf_dir, feed), **options)
 
 
-def rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    return parse.PARSERS[feed](lines(spark, sf_dir, feed))
+def event_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """History (event id below half the event count) and batch events. The
+    mark is a scalar subquery, the bound a filter on the scan."""
+    events = table(spark, sf_dir, "events")
+    half = events.select((F.count(F.lit(1)) / 2).alias("half")).scalar()
+    return events.where(F.col("event_id") < half), events.where(F.col("event_id") >= half)
 
 
 def halves(spark: SparkSession, sf_dir: str, feed: str) -> tuple[DataFrame, DataFrame]:
-    """History (event id below half the event count) and batch lines."""
-    events = table(spark, sf_dir, "events")
-    half = events.select((F.count(F.lit(1)) / 2).alias("half"))
-    fl = as_feed(spark, adapters.FEEDS[feed](events)).crossJoin(F.broadcast(half))  # one-row side
-    hist = fl.where(F.col("pos") < F.col("half")).drop("half")
-    batch = fl.where(F.col("pos") >= F.col("half")).drop("half")
-    return hist, batch
+    hist, batch = event_halves(spark, sf_dir)
+    return adapters.FEEDS[feed](hist), adapters.FEEDS[feed](batch)
 
 
 # ---- registrations (J1, J2) ----------------------------------------------
@@ -90,7 +85,7 @@ def learn_rows(spark, sf_dir):
 
 def _learn_total(dim):
     def run(spark, sf_dir):
-        return watch.total_by(rows(spark, sf_dir, "course_learn"), dim)
+        return watch.total_by(rows(spark, sf_dir, "course_learn", columns=[dim, "secs"]), dim)
     return run
 
 
@@ -102,29 +97,29 @@ for _name, _dim in [("learn_by_chapter", "chapterid"), ("learn_by_cware", "cware
 
 @query("learn_rollup")
 def learn_rollup(spark, sf_dir):
-    return watch.rollup(rows(spark, sf_dir, "course_learn"))
+    return watch.rollup(rows(spark, sf_dir, "course_learn", columns=[*watch.ROLLUP_DIMS, "secs"]))
 
 
 @query("play_new_coverage")
 def play_new_coverage(spark, sf_dir):
-    return watch.play_new_coverage(rows(spark, sf_dir, "course_learn"))
+    return watch.play_new_coverage(rows(spark, sf_dir, "course_learn", columns=WATCH))
 
 
 @query("video_watch_detail")
 def video_watch_detail(spark, sf_dir):
-    return watch.watch_detail(rows(spark, sf_dir, "course_learn"))
+    return watch.watch_detail(rows(spark, sf_dir, "course_learn", columns=WATCH))
 
 
 @query("video_intervals")
 def video_intervals(spark, sf_dir):
-    return watch.video_intervals(rows(spark, sf_dir, "course_learn"))
+    return watch.video_intervals(rows(spark, sf_dir, "course_learn", columns=WATCH))
 
 
 @query("video_watch_incremental")
 def video_watch_incremental(spark, sf_dir):
     hist, batch = halves(spark, sf_dir, "course_learn")
-    state = watch.state_from(parse.parse_learn(hist))
-    merged = watch.incremental(state, parse.parse_learn(batch))
+    state = watch.state_from(parse.parse_learn(hist, columns=WATCH))
+    merged = watch.incremental(state, parse.parse_learn(batch, columns=WATCH))
     return merged.select(*watch.KEY, "totaltime", "effecttime", "completetime",
                          watch.interval_text(F.col("intervals")).alias("play_interval"))
 
@@ -204,6 +199,24 @@ def page_view_incremental(spark, sf_dir):
                               pages.view_total(parse.parse_page(batch)))
 
 
+@query("page_state_incremental")
+def page_state_incremental(spark, sf_dir):
+    hist, batch = halves(spark, sf_dir, "page")
+    old, new = (pages.page_batch(pages.jump_count(parse.parse_page(x))) for x in (hist, batch))
+    return pages.merge_pages(old, new)
+
+
+@query("feed_reject_count")
+def feed_reject_count(spark, sf_dir):
+    """Lines of every feed that its parser keeps and rejects."""
+    def counted(feed):
+        flagged = rows(spark, sf_dir, feed, keep_rejects=True)
+        return flagged.agg(F.count_if("valid").alias("kept"), F.count_if(~F.col("valid")).alias("rejected")).select(
+            F.lit(feed).alias("feed"), "kept", "rejected")
+    parts = [counted(feed) for feed in adapters.FEEDS]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 # ---- state merges (S6-S12) -------------------------------------------------
 
 PROGRESS_GROUP = "learnstream"
@@ -213,33 +226,30 @@ PROGRESS_GROUP = "learnstream"
 def merge_replace(spark, sf_dir):
     """Per user the type of the latest event: history half, then the batch
     half replaces it where the user appears again."""
-    events = table(spark, sf_dir, "events")
-    half = events.select((F.count(F.lit(1)) / 2).alias("half"))
-    e = events.crossJoin(F.broadcast(half))
+    hist, batch = event_halves(spark, sf_dir)
 
     def latest(df):
         return df.groupBy(F.col("user_id").alias("key")).agg(
             F.max_by("event_type", "event_id").alias("value"))
-    old = latest(e.where(F.col("event_id") < F.col("half")))
-    new = latest(e.where(F.col("event_id") >= F.col("half")))
+    old, new = latest(hist), latest(batch)
     return state.merge(old, new, ["key"], replace=["value"])
 
 
 @query("merge_accumulate")
 def merge_accumulate(spark, sf_dir):
     hist, batch = halves(spark, sf_dir, "course_learn")
-    old = watch.total_by(parse.parse_learn(hist), "chapterid")
-    new = watch.total_by(parse.parse_learn(batch), "chapterid")
+    need = ["chapterid", "secs"]
+    old = watch.total_by(parse.parse_learn(hist, columns=need), "chapterid")
+    new = watch.total_by(parse.parse_learn(batch, columns=need), "chapterid")
     return state.merge(old, new, ["chapterid"], accumulate=["totaltime"])
 
 
 @query("feed_progress")
 def feed_progress(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    half = events.select((F.count(F.lit(1)) / 2).alias("half"))
-    rec = events.crossJoin(F.broadcast(half)).select(
-        F.col("event_type").alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"), "half")
-    old = state.progress(rec.where(F.col("offset") < F.col("half")), PROGRESS_GROUP)
-    new = state.progress(rec.where(F.col("offset") >= F.col("half")), PROGRESS_GROUP)
+    def until(events):
+        rec = events.select(F.col("event_type").alias("topic"),
+                            (F.col("event_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"))
+        return state.progress(rec, PROGRESS_GROUP)
+    hist, batch = event_halves(spark, sf_dir)
+    old, new = until(hist), until(batch)
     return state.merge(old, new, ["grp", "topic", "partition"], replace=["until_offset"])

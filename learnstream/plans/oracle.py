@@ -58,65 +58,69 @@ SELECT event_id AS id, user_id AS u, event_type,
 FROM events
 """)
 
+cte("register_base", "SELECT * FROM base WHERE event_type = 'signup'")
+
 cte("register_feed", f"""
-SELECT id AS pos, CASE
-  WHEN id % 17 = 0 THEN concat_ws({TAB}, u, id % 4)
-  WHEN id % 19 = 0 THEN concat_ws({TAB}, u, id % 4, '')
-  WHEN id % 23 = 0 THEN concat_ws({TAB}, u, '', t)
-  ELSE concat_ws({TAB}, u, id % 4, t) END AS value
-FROM base WHERE event_type = 'signup'
+SELECT id AS pos, concat_ws({TAB}, u, id % 4, t) AS value FROM register_base
+UNION ALL SELECT id, concat_ws({TAB}, u, id % 4) FROM register_base WHERE id % 17 = 0
+UNION ALL SELECT id, concat_ws({TAB}, u, id % 4, '') FROM register_base WHERE id % 19 = 0
+UNION ALL SELECT id, concat_ws({TAB}, u, '', t) FROM register_base WHERE id % 23 = 0
 """)
 
 cte("qz_feed", f"""
-SELECT id AS pos, CASE
-  WHEN id % 17 = 0 THEN concat_ws({TAB}, 1000 + u % 10, 501 + id % 2)
-  WHEN id % 19 = 0 THEN concat_ws({TAB}, 1000 + u % 10, '501', '10', k, '1', '')
-  WHEN id % 23 = 0 THEN concat_ws({TAB}, 'x', 501 + id % 2, 10 + k % 3, k, '1', t)
-  ELSE concat_ws({TAB}, 1000 + u % 10, 501 + id % 2, 10 + k % 3, k,
-                 CASE WHEN event_type IN ('purchase', 'view') THEN '1' ELSE '0' END, t)
-  END AS value
-FROM base
+SELECT id AS pos, concat_ws({TAB}, u, 501 + id % 2, 10 + k % 3, k,
+       CASE WHEN event_type IN ('purchase', 'view') THEN '1' ELSE '0' END, t) AS value FROM base
+UNION ALL SELECT id, concat_ws({TAB}, u, 501 + id % 2) FROM base WHERE id % 17 = 0
+UNION ALL SELECT id, concat_ws({TAB}, u, '501', '10', k, '1', '') FROM base WHERE id % 19 = 0
+UNION ALL SELECT id, concat_ws({TAB}, 'x', 501 + id % 2, 10 + k % 3, k, '1', t) FROM base WHERE id % 23 = 0
 """)
 
 cte("page_base", """
-SELECT *, CASE WHEN event_type = 'click' THEN 1 WHEN event_type = 'view' THEN 2
-               WHEN event_type = 'purchase' AND id % 3 = 0 THEN 3 END AS page
-FROM base
+SELECT id AS pos, u, page, '{"uid":"' || u || '","app_id":"' || (id % 2 + 1) || '","device_id":"' || (id % 50)
+       || '","ip":"10.' || (u % 256) || '.' || (id % 256) || '.1","last_page_id":"' || (page - 1)
+       || '","page_id":"' || page || '","next_page_id":"' || (page + 1) || '"}' AS line
+FROM (SELECT *, CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 END AS page
+      FROM base)
+WHERE page IS NOT NULL
 """)
 
 cte("page_feed", """
-SELECT id AS pos, CASE
-  WHEN id % 29 = 0 THEN 'not json'
-  WHEN id % 31 = 0 THEN '[1]'
-  WHEN id % 37 = 0 THEN ''
-  WHEN id % 41 = 0 THEN '{"uid":"' || u || '","page_id":' || page || '}'
-  ELSE '{"uid":"' || u || '","app_id":"' || (id % 2 + 1) || '","device_id":"' || (id % 50)
-       || '","ip":"10.' || (u % 256) || '.' || (id % 256) || '.1","last_page_id":"' || (page - 1)
-       || '","page_id":"' || page || '","next_page_id":"' || (page + 1) || '"}'
-  END AS value
-FROM page_base WHERE page IS NOT NULL
+SELECT pos, line AS value FROM page_base
+UNION ALL SELECT pos, 'not json' FROM page_base WHERE pos % 29 = 0
+UNION ALL SELECT pos, '[1]' FROM page_base WHERE pos % 31 = 0
+UNION ALL SELECT pos, '' FROM page_base WHERE pos % 37 = 0
+UNION ALL SELECT pos, '{"uid":"' || u || '","page_id":' || page || '}' FROM page_base WHERE pos % 41 = 0
+UNION ALL SELECT pos, line || ' x' FROM page_base WHERE pos % 43 = 0
 """)
 
 cte("learn_base", """
 SELECT id, ms,
-  '{"uid":' || (u % 20) || ',"cwareid":' || (id % 4) || ',"videoid":' || (id % 5)
+  '{"uid":' || u || ',"cwareid":' || (id % 4) || ',"videoid":' || (id % 5)
     || ',"chapterid":' || (id % 10) AS head,
   ',"edutypeid":' || (id % 3 + 1) AS edu,
   ',"subjectid":' || (id % 6) || ',"sourceType":"'
     || CASE id % 3 WHEN 0 THEN 'PC' WHEN 1 THEN 'APP' ELSE 'Other' END
     || '","speed":' || (id % 2 + 1) AS mid,
   ',"ts":' || ms || ',"te":' || (ms + (id * 7919) % 90000) AS times,
-  ',"ps":' || ((id * 37) % 600) || ',"pe":' || ((id * 37) % 600 + (id * 13) % 61) || '}' AS tail
+  ',"ps":' || ((id * 37) % 600) || ',"pe":' || ((id * 37) % 600 + (id * 13) % 61) || '}' AS tail,
+  (id * 37) % 600 AS ps, u,
+  CASE id % 3 WHEN 0 THEN 'PC' WHEN 1 THEN 'APP' ELSE 'Other' END AS source
 FROM base
 """)
 
 cte("learn_feed", """
-SELECT id AS pos, CASE
-  WHEN id % 29 = 0 THEN 'not json'
-  WHEN id % 31 = 0 THEN head || edu || mid || tail
-  WHEN id % 37 = 0 THEN head || mid || times || tail
-  ELSE head || edu || mid || times || tail END AS value
-FROM learn_base
+SELECT id AS pos, head || edu || mid || times || tail AS value FROM learn_base
+UNION ALL SELECT id, 'not json' FROM learn_base WHERE id % 29 = 0
+UNION ALL SELECT id, head || edu || mid || tail FROM learn_base WHERE id % 31 = 0
+UNION ALL SELECT id, head || mid || times || tail FROM learn_base WHERE id % 37 = 0
+UNION ALL SELECT id, '{"uid":"' || u || '","cwareid":"' || (id % 4) || '","videoid":"' || (id % 5)
+    || '","chapterid":"' || (id % 10) || '","edutypeid":"' || (id % 3 + 1) || '","subjectid":"' || (id % 6)
+    || '","sourceType":"' || source || '","speed":"' || (id % 2 + 1) || '","ts":"' || ms || '","te":"'
+    || (ms + (id * 7919) % 90000) || '","ps":' || ps || '.5,"pe":' || (ps + 20) || '}'
+  FROM learn_base WHERE id % 41 = 0
+UNION ALL SELECT id, head || edu || mid || times || tail || ' x' FROM learn_base WHERE id % 43 = 0
+UNION ALL SELECT id, head || edu || mid || times || ',"ps":' || (ps + 30) || ',"pe":' || (ps + 10) || '}'
+  FROM learn_base WHERE id % 47 = 0
 """)
 
 cte("province_range", """
@@ -163,19 +167,15 @@ GROUP BY w, channel
 
 # ---- watch time (J5) -------------------------------------------------------
 
-LEARN_COLS = """
-  coalesce(TRY_CAST(json_extract(value, '$.uid') AS INTEGER), 0) AS uid,
-  coalesce(TRY_CAST(json_extract(value, '$.cwareid') AS INTEGER), 0) AS cwareid,
-  coalesce(TRY_CAST(json_extract(value, '$.videoid') AS INTEGER), 0) AS videoid,
-  coalesce(TRY_CAST(json_extract(value, '$.chapterid') AS INTEGER), 0) AS chapterid,
-  coalesce(TRY_CAST(json_extract(value, '$.edutypeid') AS INTEGER), 0) AS edutypeid,
-  coalesce(TRY_CAST(json_extract(value, '$.subjectid') AS INTEGER), 0) AS subjectid,
-  json_extract_string(value, '$.sourceType') AS sourcetype,
-  coalesce(TRY_CAST(json_extract(value, '$.speed') AS INTEGER), 0) AS speed,
-  TRY_CAST(json_extract(value, '$.ts') AS BIGINT) AS ts,
-  TRY_CAST(json_extract(value, '$.te') AS BIGINT) AS te,
-  coalesce(TRY_CAST(json_extract(value, '$.ps') AS INTEGER), 0) AS ps,
-  coalesce(TRY_CAST(json_extract(value, '$.pe') AS INTEGER), 0) AS pe"""
+def _whole_sql(field: str, kind: str) -> str:
+    return f"TRY_CAST(trunc(TRY_CAST(json_extract_string(value, '$.{field}') AS DOUBLE)) AS {kind})"
+
+
+LEARN_INTS = ("uid", "cwareid", "videoid", "chapterid", "edutypeid", "subjectid", "speed", "ps", "pe")
+LEARN_COLS = ", ".join(
+    [f"coalesce({_whole_sql(f, 'INTEGER')}, 0) AS {f}" for f in LEARN_INTS]
+    + ["json_extract_string(value, '$.sourceType') AS sourcetype"]
+    + [f"{_whole_sql(f, 'BIGINT')} AS {f}" for f in ("ts", "te")])
 
 
 def _json_objects(feed: str) -> str:
@@ -205,36 +205,43 @@ cte("learn_hist_rows", _learn_rows_sql("learn_hist_feed"))
 cte("learn_batch_rows", _learn_rows_sql("learn_batch_feed"))
 
 WKEY = "userid, cwareid, videoid"
-WORDER = "ORDER BY ps, ts, te, pe"
-
-
-def _scanned_sql(src: str) -> str:
-    return f"""
-SELECT *, greatest(ps, coalesce(m, ps)) AS lo FROM (
-  SELECT uid AS userid, cwareid, videoid, ps, pe, ts, te, secs,
-         max(pe) OVER (PARTITION BY uid, cwareid, videoid {WORDER}
-                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m
-  FROM {src})"""
 
 
-EFF = ("coalesce(CAST(trunc(CAST(secs AS DOUBLE) / nullif(pe - ps, 0) * new_seconds) AS BIGINT), 0)")
-
-cte("w_scan", _scanned_sql("learn_rows"))
-cte("w_cov", f"""
-SELECT *, {EFF} AS effective_seconds FROM (
-  SELECT *, CAST(greatest(0, pe - lo) AS BIGINT) AS new_seconds FROM w_scan)""")
-
-
-def _islands_sql(src: str) -> str:
+def _watch_ctes(name: str, rows: str, history: str | None = None) -> None:
+    """Plays second by second, an independent form: a second belongs to the
+    first play over it that history does not cover."""
+    cte(f"{name}_plays", f"""
+SELECT row_number() OVER () AS pid, uid AS userid, cwareid, videoid, ps, pe, ts, te, secs FROM {rows}""")
+    cte(f"{name}_cells", f"""
+SELECT pid, {WKEY}, ps, ts, te, pe, unnest(range(ps, pe)) AS cell FROM {name}_plays WHERE pe > ps""")
+    fresh = (f"ANTI JOIN (SELECT DISTINCT {WKEY}, cell FROM {history}_cells) h USING ({WKEY}, cell)"
+             if history else "")
+    cte(f"{name}_new", f"""
+SELECT pid, count(*) AS n FROM (
+  SELECT pid, row_number() OVER (PARTITION BY {WKEY}, cell ORDER BY ps, ts, te, pe, pid) AS nth
+  FROM {name}_cells {fresh})
+WHERE nth = 1 GROUP BY pid""")
+    cte(f"{name}_cov", f"""
+SELECT *, coalesce(CAST(trunc(CAST(secs AS DOUBLE) / nullif(pe - ps, 0) * new_seconds) AS BIGINT), 0)
+          AS effective_seconds
+FROM (SELECT p.*, CAST(coalesce(n, 0) AS BIGINT) AS new_seconds
+      FROM {name}_plays p LEFT JOIN {name}_new USING (pid))""")
+
+
+def _intervals_sql(cells: str) -> str:
+    """Runs of covered seconds as text, per key."""
     return f"""
-SELECT {WKEY}, min(ps) AS s, max(pe) AS e FROM (
-  SELECT *, sum(CASE WHEN m IS NULL OR ps > m THEN 1 ELSE 0 END)
-              OVER (PARTITION BY {WKEY} {WORDER} ROWS UNBOUNDED PRECEDING) AS island
-  FROM {src})
-GROUP BY {WKEY}, island"""
+SELECT {WKEY}, string_agg(s || '-' || e, ',' ORDER BY s) AS play_interval FROM (
+  SELECT {WKEY}, min(cell) AS s, max(cell) + 1 AS e FROM (
+    SELECT *, cell - row_number() OVER (PARTITION BY {WKEY} ORDER BY cell) AS run
+    FROM (SELECT DISTINCT {WKEY}, cell FROM {cells}))
+  GROUP BY {WKEY}, run)
+GROUP BY {WKEY}"""
 
 
-cte("w_islands", _islands_sql("w_scan"))
+_watch_ctes("w", "learn_rows")
+_watch_ctes("wh", "learn_hist_rows")
+_watch_ctes("wb", "learn_batch_rows", history="wh")
 
 for _name, _dim in [("learn_by_chapter", "chapterid"), ("learn_by_cware", "cwareid"),
                     ("learn_by_edutype", "edutypeid"), ("learn_by_source", "sourcetype"),
@@ -258,53 +265,16 @@ SELECT {WKEY}, CAST(sum(secs) AS BIGINT) AS totaltime,
 FROM w_cov GROUP BY {WKEY}""")
 
 q("video_intervals", f"""
-SELECT {WKEY}, string_agg(s || '-' || e, ',' ORDER BY s) AS play_interval
-FROM w_islands GROUP BY {WKEY}""")
-
-# history: plays of the first half; batch: the rest, credited against the
-# history intervals (brute-force overlap join, fine for an oracle).
-cte("wh_scan", _scanned_sql("learn_hist_rows"))
-cte("wh_cov", f"""
-SELECT *, {EFF} AS effective_seconds FROM (
-  SELECT *, CAST(greatest(0, pe - lo) AS BIGINT) AS new_seconds FROM wh_scan)""")
-cte("wh_islands", _islands_sql("wh_scan"))
-cte("wb_scan", _scanned_sql("learn_batch_rows"))
-cte("wb_scan_id", "SELECT *, row_number() OVER () AS pid FROM wb_scan")
-cte("wb_overlap", f"""
-SELECT p.pid, sum(greatest(0, least(p.pe, h.e) - greatest(p.lo, h.s))) AS covered
-FROM wb_scan_id p JOIN wh_islands h USING ({WKEY})
-WHERE p.pe > p.lo
-GROUP BY p.pid""")
-cte("wb_cov", f"""
-SELECT *, {EFF} AS effective_seconds FROM (
-  SELECT p.*, CAST(CASE WHEN p.pe > p.lo THEN p.pe - p.lo - coalesce(o.covered, 0) ELSE 0 END
-                   AS BIGINT)
-              AS new_seconds
-  FROM wb_scan_id p LEFT JOIN wb_overlap o USING (pid))""")
-cte("wb_islands", _islands_sql("wb_scan"))
-cte("w_all_iv", f"""
-SELECT {WKEY}, s, e FROM wh_islands UNION ALL SELECT {WKEY}, s, e FROM wb_islands""")
-cte("w_merged_iv", f"""
-SELECT {WKEY}, min(s) AS s, max(e) AS e FROM (
-  SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END)
-              OVER (PARTITION BY {WKEY} ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS grp
-  FROM (SELECT *, max(e) OVER (PARTITION BY {WKEY} ORDER BY s, e
-                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
-        FROM w_all_iv))
-GROUP BY {WKEY}, grp""")
-cte("w_tot", f"""
-SELECT {WKEY}, sum(secs) AS t, sum(effective_seconds) AS ef, sum(new_seconds) AS c
-FROM (SELECT {WKEY}, secs, effective_seconds, new_seconds FROM wh_cov
-      UNION ALL SELECT {WKEY}, secs, effective_seconds, new_seconds FROM wb_cov)
-GROUP BY {WKEY}""")
+SELECT {WKEY}, coalesce(play_interval, '') AS play_interval
+FROM (SELECT DISTINCT {WKEY} FROM w_plays) LEFT JOIN ({_intervals_sql('w_cells')}) USING ({WKEY})""")
 
 q("video_watch_incremental", f"""
-SELECT t.userid, t.cwareid, t.videoid, CAST(t.t AS BIGINT) AS totaltime,
-       CAST(t.ef AS BIGINT) AS effecttime, CAST(t.c AS BIGINT) AS completetime,
-       i.play_interval
-FROM w_tot t JOIN (
-  SELECT {WKEY}, string_agg(s || '-' || e, ',' ORDER BY s) AS play_interval
-  FROM w_merged_iv GROUP BY {WKEY}) i USING ({WKEY})""")
+SELECT {WKEY}, t.totaltime, t.effecttime, t.completetime, coalesce(i.play_interval, '') AS play_interval
+FROM (SELECT {WKEY}, CAST(sum(secs) AS BIGINT) AS totaltime,
+             CAST(sum(effective_seconds) AS BIGINT) AS effecttime,
+             CAST(sum(new_seconds) AS BIGINT) AS completetime
+      FROM (SELECT * FROM wh_cov UNION ALL SELECT * FROM wb_cov) GROUP BY {WKEY}) t
+LEFT JOIN ({_intervals_sql('(SELECT * FROM wh_cells UNION ALL SELECT * FROM wb_cells)')}) i USING ({WKEY})""")
 
 # ---- practice (J3) ---------------------------------------------------------
 
@@ -456,6 +426,30 @@ SELECT page_id, CAST(sum(num) AS BIGINT) AS num FROM (
   {_view_total_sql('page_hist_rows')} UNION ALL {_view_total_sql('page_batch_rows')})
 GROUP BY page_id""")
 
+q("page_state_incremental", f"""
+SELECT s.last_page_id, s.page_id, s.next_page_id, s.num,
+       CASE WHEN s.page_id = 1 THEN '100%'
+            WHEN s.page_id = 2 THEN {_pct('c.n2', 'c.n1')}
+            WHEN s.page_id = 3 THEN {_pct('c.n3', 'c.n2')} END AS jump_rate
+FROM (
+  SELECT page_id, CAST(count(*) AS BIGINT) AS num,
+         arg_min(last_page_id, struct_pack(s := side, a := last_page_id, b := next_page_id)) AS last_page_id,
+         arg_min(next_page_id, struct_pack(s := side, a := last_page_id, b := next_page_id)) AS next_page_id
+  FROM (SELECT TRY_CAST(page_id AS INTEGER) AS page_id, last_page_id, next_page_id, 0 AS side FROM page_hist_rows
+        UNION ALL
+        SELECT TRY_CAST(page_id AS INTEGER), last_page_id, next_page_id, 1 FROM page_batch_rows)
+  WHERE page_id IS NOT NULL GROUP BY page_id) s, (
+  SELECT CAST(coalesce(sum(CASE WHEN page_id = 1 THEN num END), 0) AS BIGINT) AS n1,
+         CAST(coalesce(sum(CASE WHEN page_id = 2 THEN num END), 0) AS BIGINT) AS n2,
+         CAST(coalesce(sum(CASE WHEN page_id = 3 THEN num END), 0) AS BIGINT) AS n3
+  FROM page_totals) c""")
+
+q("feed_reject_count", " UNION ALL ".join(
+    f"SELECT '{feed}' AS feed, (SELECT count(*) FROM {kept}) AS kept, "
+    f"(SELECT count(*) FROM {feed if feed != 'course_learn' else 'learn'}_feed) - (SELECT count(*) FROM {kept}) AS rejected"
+    for feed, kept in (("register", "register_rows"), ("qz", "qz_rows"), ("page", "page_rows"),
+                       ("course_learn", "learn_rows"))))
+
 # ---- state merges ----------------------------------------------------------
 
 q("merge_replace", """

@@ -1,9 +1,10 @@
 """Raw feed lines derived from the driver's ``events`` / ``nation`` tables.
 
 The reference consumes four text feeds that are not shipped; FIXTURES.md
-section 3 fixes deterministic rules that turn each ``events`` row into one
+section 3 fixes deterministic rules that turn each ``events`` row into a
 feed line (integer arithmetic on ``event_id``, ``user_id``, the ``k`` in
-``props`` and ``ts``), including malformed lines that the parsers must drop.
+``props`` and ``ts``), and every so often into a further, malformed or odd line
+that the parsers must drop or cope with.
 Every adapter returns ``(pos bigint, value string)``: ``pos`` plays the
 part of the feed position (it is the event id) and ``value`` the record text.
 All of it is narrow projection over the scan: no shuffle.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from learnstream.functions.scalar import TAB, TIME_FORMAT, epoch_millis
 
 # Fixed values of the feed rules (FIXTURES.md section 3).
-PAGE_OF_EVENT = {"click": 1, "view": 2, "purchase": 3}   # purchase only when id % 3 = 0
+PAGE_OF_EVENT = {"click": 1, "view": 2, "purchase": 3}
 CORRECT_EVENTS = ("purchase", "view")                     # istrue = 1 for these
 SOURCE_TYPES = ("PC", "APP", "Other")                     # sourceType by id % 3
 
@@ -26,12 +27,13 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _emit(df: DataFrame, pos: Column, line: Column) -> DataFrame:
-    """``(pos, value)`` rows. The line goes through a one-element generator
-    so that it is built once per event, like a record read from a feed: a
-    parser's filter on ``value`` is not pushed below a generator, so it is
-    not re-inlined into (and re-evaluated with) the line construction."""
-    return df.select(F.inline(F.array(F.struct(pos.alias("pos"), line.alias("value")))))
+def _emit(df: DataFrame, pos: Column, *lines: Column) -> DataFrame:
+    """``(pos, value)`` rows: of every event its record and the further lines
+    that are not null. They go through a generator, so that a line is built
+    once, like a record read from a feed: a parser's filter on ``value`` is
+    not pushed below it, so it does not build the line again."""
+    made = F.array(*[F.struct(pos.alias("pos"), line.alias("value")) for line in lines])
+    return df.select(F.inline(made)).where(F.col("value").isNotNull())
 
 
 def base_events(events: DataFrame) -> DataFrame:
@@ -59,46 +61,44 @@ def _json(fields: list[tuple[str, Column, bool]]) -> Column:
 def register_lines(events: DataFrame) -> DataFrame:
     e = base_events(events).where(F.col("event_type") == "signup")
     u, c, t, i = _s(F.col("u")), _s(F.col("id") % 4), F.col("t"), F.col("id")
-    line = (F.when(i % 17 == 0, F.concat_ws(TAB, u, c))
-            .when(i % 19 == 0, F.concat_ws(TAB, u, c, F.lit("")))
-            .when(i % 23 == 0, F.concat_ws(TAB, u, F.lit(""), t))
-            .otherwise(F.concat_ws(TAB, u, c, t)))
-    return _emit(e, F.col("id"), line)
+    return _emit(e, i, F.concat_ws(TAB, u, c, t),
+                 F.when(i % 17 == 0, F.concat_ws(TAB, u, c)),
+                 F.when(i % 19 == 0, F.concat_ws(TAB, u, c, F.lit(""))),
+                 F.when(i % 23 == 0, F.concat_ws(TAB, u, F.lit(""), t)))
 
 
 def qz_lines(events: DataFrame) -> DataFrame:
     e = base_events(events)
     i, k, t = F.col("id"), F.col("k"), F.col("t")
-    uid = _s(1000 + F.col("u") % 10)
+    uid = _s(F.col("u"))
     course = _s(501 + i % 2)
     point = _s(10 + k % 3)
     istrue = F.when(F.col("event_type").isin(*CORRECT_EVENTS), "1").otherwise("0")
-    line = (F.when(i % 17 == 0, F.concat_ws(TAB, uid, course))
-            .when(i % 19 == 0, F.concat_ws(TAB, uid, F.lit("501"), F.lit("10"), _s(k),
-                                           F.lit("1"), F.lit("")))
-            .when(i % 23 == 0, F.concat_ws(TAB, F.lit("x"), course, point, _s(k), F.lit("1"), t))
-            .otherwise(F.concat_ws(TAB, uid, course, point, _s(k), istrue, t)))
-    return _emit(e, F.col("id"), line)
+    return _emit(e, i, F.concat_ws(TAB, uid, course, point, _s(k), istrue, t),
+                 F.when(i % 17 == 0, F.concat_ws(TAB, uid, course)),
+                 F.when(i % 19 == 0, F.concat_ws(TAB, uid, F.lit("501"), F.lit("10"), _s(k),
+                                                 F.lit("1"), F.lit(""))),
+                 F.when(i % 23 == 0, F.concat_ws(TAB, F.lit("x"), course, point, _s(k), F.lit("1"), t)))
 
 
 def page_lines(events: DataFrame) -> DataFrame:
     e = base_events(events)
     i, u = F.col("id"), F.col("u")
-    page = (F.when(F.col("event_type") == "click", 1)
-            .when(F.col("event_type") == "view", 2)
-            .when((F.col("event_type") == "purchase") & (i % 3 == 0), 3))
-    e = e.withColumn("page", page).where(F.col("page").isNotNull())
+    page = F.lit(None).cast("int")
+    for kind, number in PAGE_OF_EVENT.items():
+        page = F.when(F.col("event_type") == kind, number).otherwise(page)
+    e = e.withColumn("page", page).where(F.col("event_type").isin(*PAGE_OF_EVENT))
     p = F.col("page")
     ip = F.concat_ws(".", F.lit("10"), _s(u % 256), _s(i % 256), F.lit("1"))
     full = _json([("uid", u, True), ("app_id", i % 2 + 1, True), ("device_id", i % 50, True),
                   ("ip", ip, True), ("last_page_id", p - 1, True), ("page_id", p, True),
                   ("next_page_id", p + 1, True)])
-    line = (F.when(i % 29 == 0, F.lit("not json"))
-            .when(i % 31 == 0, F.lit("[1]"))
-            .when(i % 37 == 0, F.lit(""))
-            .when(i % 41 == 0, _json([("uid", u, True), ("page_id", p, False)]))
-            .otherwise(full))
-    return _emit(e, F.col("id"), line)
+    return _emit(e, i, full,
+                 F.when(i % 29 == 0, F.lit("not json")),
+                 F.when(i % 31 == 0, F.lit("[1]")),
+                 F.when(i % 37 == 0, F.lit("")),
+                 F.when(i % 41 == 0, _json([("uid", u, True), ("page_id", p, False)])),
+                 F.when(i % 43 == 0, F.concat(full, F.lit(" x"))))
 
 
 def learn_lines(events: DataFrame) -> DataFrame:
@@ -107,17 +107,24 @@ def learn_lines(events: DataFrame) -> DataFrame:
     src = (F.when(i % 3 == 0, SOURCE_TYPES[0]).when(i % 3 == 1, SOURCE_TYPES[1])
            .otherwise(SOURCE_TYPES[2]))
     ps = (i * 37) % 600
-    head = [("uid", F.col("u") % 20, False), ("cwareid", i % 4, False),
+    head = [("uid", F.col("u"), False), ("cwareid", i % 4, False),
             ("videoid", i % 5, False), ("chapterid", i % 10, False)]
     edu = [("edutypeid", i % 3 + 1, False)]
     mid = [("subjectid", i % 6, False), ("sourceType", src, True), ("speed", i % 2 + 1, False)]
-    times = [("ts", ms, False), ("te", ms + (i * 7919) % 90000, False)]
+    te = ms + (i * 7919) % 90000
+    times = [("ts", ms, False), ("te", te, False)]
     tail = [("ps", ps, False), ("pe", ps + (i * 13) % 61, False)]
-    line = (F.when(i % 29 == 0, F.lit("not json"))
-            .when(i % 31 == 0, _json(head + edu + mid + tail))
-            .when(i % 37 == 0, _json(head + mid + times + tail))
-            .otherwise(_json(head + edu + mid + times + tail)))
-    return _emit(e, F.col("id"), line)
+    full = _json(head + edu + mid + times + tail)
+    text = [(name, value, True) for name, value, _ in head + edu + mid + times]
+    half = [("ps", F.concat(_s(ps), F.lit(".5")), False), ("pe", ps + 20, False)]
+    back = [("ps", ps + 30, False), ("pe", ps + 10, False)]
+    return _emit(e, i, full,
+                 F.when(i % 29 == 0, F.lit("not json")),
+                 F.when(i % 31 == 0, _json(head + edu + mid + tail)),
+                 F.when(i % 37 == 0, _json(head + mid + times + tail)),
+                 F.when(i % 41 == 0, _json(text + half)),
+                 F.when(i % 43 == 0, F.concat(full, F.lit(" x"))),
+                 F.when(i % 47 == 0, _json(head + edu + mid + times + back)))
 
 
 def province_ranges(nation: DataFrame) -> DataFrame:

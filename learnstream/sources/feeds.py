@@ -17,19 +17,17 @@ RATE_PER_PARTITION = {"register": 1000, "qz": 1000, "page": 100, "course_learn":
 BATCH_SECONDS = 3
 
 
-def replay_frame(lines: DataFrame, min_partitions: int = MIN_REPLAY_PARTITIONS) -> DataFrame:
-    """The lines as a feed, spread over at least ``min_partitions``
-    partitions (round-robin only when the input has fewer)."""
+def replay_frame(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The lines as a feed, over ``partitions`` partitions if given, else
+    over those of the scan."""
     out = lines.select(F.col("value").alias("line"))
-    if out.rdd.getNumPartitions() < min_partitions:
-        out = out.repartition(min_partitions)
-    return out
+    return out.repartition(partitions) if partitions else out
 
 
 def replay_to_dir(lines: DataFrame, feed_dir: str,
-                  min_partitions: int = MIN_REPLAY_PARTITIONS) -> None:
+                  partitions: int = MIN_REPLAY_PARTITIONS) -> None:
     """Write the lines as text files a file-stream source picks up."""
-    replay_frame(lines, min_partitions).write.mode("append").text(feed_dir)
+    replay_frame(lines, partitions).write.mode("append").text(feed_dir)
 
 
 def stream_feed(spark: SparkSession, *, topic: str | None = None,

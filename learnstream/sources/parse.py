@@ -1,13 +1,15 @@
 """Feed parsers: raw ``value`` text -> typed rows.
 
-Each parser is a narrow projection + filter, so Catalyst fuses it into the
-scan's whole-stage-codegen stage. ``keep_rejects=True`` keeps malformed rows
+Each parser is a narrow projection, a one-element generator and a filter, in
+one whole-stage-codegen span with the scan. ``keep_rejects=True`` keeps malformed rows
 with ``valid = false`` instead of dropping them, for reject counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,32 +17,23 @@ from learnstream.functions.scalar import channel_of, field, tsv_width, watched_s
 
 REGISTER_WIDTH = 3
 QZ_WIDTH = 6
-BAD = "_bad"
 
 PAGE_FIELDS = ("uid", "app_id", "device_id", "ip", "last_page_id", "page_id", "next_page_id")
-PAGE_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in PAGE_FIELDS]
-                           + [T.StructField(BAD, T.StringType())])
-
 LEARN_INTS = ("uid", "cwareid", "videoid", "chapterid", "edutypeid", "subjectid", "speed", "ps", "pe")
-LEARN_SCHEMA = T.StructType(
-    [T.StructField(f, T.IntegerType()) for f in LEARN_INTS[:6]]
-    + [T.StructField("sourceType", T.StringType()), T.StructField("speed", T.IntegerType()),
-       T.StructField("ts", T.LongType()), T.StructField("te", T.LongType()),
-       T.StructField("ps", T.IntegerType()), T.StructField("pe", T.IntegerType()),
-       T.StructField(BAD, T.StringType())])
-JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
-
-
-def _finish(df: DataFrame, valid, keep_rejects: bool) -> DataFrame:
-    """Keep the valid rows (or flag them). Each line becomes zero or one
-    record through a generator over a filtered one-element array: the line
-    is parsed once, where a ``where`` would be pushed below the projection
-    and re-run the parse for every field it tests."""
+LEARN_COLUMNS = ("uid", "cwareid", "videoid", "chapterid", "edutypeid", "subjectid", "sourcetype",
+                 "speed", "ts", "te", "ps", "pe", "secs")
+
+
+def _finish(df: DataFrame, valid: Column, keep_rejects: bool) -> DataFrame:
+    """Keep the valid rows (or flag them). The record passes through a
+    one-element generator and is filtered above it: a filter is not pushed
+    below a generator, so a line is parsed once, in generated code, where a
+    plain ``where`` would run the parse again for every field it tests."""
+    ok = F.coalesce(valid, F.lit(False))
     if keep_rejects:
-        return df.withColumn("valid", F.coalesce(valid, F.lit(False)))
-    rec = F.struct(*[F.col(c) for c in df.columns], F.coalesce(valid, F.lit(False)).alias("_keep"))
-    kept = df.select(F.inline(F.filter(F.array(rec), lambda r: r["_keep"])))
-    return kept.drop("_keep")
+        return df.withColumn("valid", ok)
+    rec = F.struct(*[F.col(c) for c in df.columns], ok.alias("_keep"))
+    return df.select(F.inline(F.array(rec))).where("_keep").drop("_keep")
 
 
 def parse_register(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
@@ -73,37 +66,47 @@ def parse_qz(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     return _finish(out, ok, keep_rejects).drop("_ok")
 
 
-def _json_object(schema: T.StructType):
-    j = F.from_json(F.col("value"), schema, JSON_OPTS)
-    # Empty text parses to null; garbage and arrays to a struct whose
-    # corrupt-record field is set: only a JSON object passes both tests.
-    return j, j.isNotNull() & j[BAD].isNull()
+def _json_object(fields: Sequence[str]) -> tuple[Column, Column]:
+    """The text's JSON object with these fields as text, and whether the text
+    is one JSON object and nothing else. Read as an array of one element, so
+    that text behind the object makes it malformed."""
+    schema = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+    j = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), schema)
+    return j, (F.size(j) == 1) & F.get(j, F.lit(0)).isNotNull()
+
+
+def _whole(text: Column, kind: str) -> Column:
+    """Text of a number as ``kind``; decimals are cut toward zero, text that
+    is no number is null."""
+    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
 
 
 def parse_page(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """P4 + P5: JSON objects only; seven text fields, absent or null -> ''."""
-    j, ok = _json_object(PAGE_SCHEMA)
+    j, ok = _json_object(PAGE_FIELDS)
+    g = F.get(F.col("j"), F.lit(0))
     out = lines.select(j.alias("j"), ok.alias("_ok")).select(
-        *[F.coalesce(F.col("j")[f], F.lit("")).alias(f) for f in PAGE_FIELDS], "_ok")
+        *[F.coalesce(g[f], F.lit("")).alias(f) for f in PAGE_FIELDS], "_ok")
     return _finish(out, F.col("_ok"), keep_rejects).drop("_ok")
 
 
-def parse_learn(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
-    """P4 + P6 + P8: JSON objects with both ``ts`` and ``te``; absent ints -> 0;
-    adds ``secs`` = whole watched seconds."""
-    j, ok = _json_object(LEARN_SCHEMA)
-    g = F.col("j")
-    ints = [F.coalesce(g[f], F.lit(0)).alias(f) for f in LEARN_INTS[:6]]
-    out = lines.select(j.alias("j"), ok.alias("_ok")).select(
-        *ints,
-        g["sourceType"].alias("sourcetype"),
-        F.coalesce(g["speed"], F.lit(0)).alias("speed"),
-        g["ts"].alias("ts"), g["te"].alias("te"),
-        F.coalesce(g["ps"], F.lit(0)).alias("ps"),
-        F.coalesce(g["pe"], F.lit(0)).alias("pe"),
-        (F.col("_ok") & g["ts"].isNotNull() & g["te"].isNotNull()).alias("_ok"),
-    ).withColumn("secs", watched_seconds(F.col("ts"), F.col("te")))
-    return _finish(out, F.col("_ok"), keep_rejects).drop("_ok")
+def parse_learn(lines: DataFrame, keep_rejects: bool = False,
+                columns: Sequence[str] = LEARN_COLUMNS) -> DataFrame:
+    """P4 + P6 + P8: JSON objects with both ``ts`` and ``te``; numbers may be
+    written as text; absent ints, and those that are no number, -> 0. ``secs``
+    is whole watched seconds. Only the fields that ``columns`` need are read."""
+    name = {"sourcetype": "sourceType"}
+    need = [name.get(c, c) for c in LEARN_COLUMNS if c in ("ts", "te") or c in columns and c != "secs"]
+    j, ok = _json_object(need)
+    g = F.get(F.col("j"), F.lit(0))
+    made = {c: F.coalesce(_whole(g[c], "int"), F.lit(0)) for c in LEARN_INTS}
+    made |= {"sourcetype": g["sourceType"], "ts": _whole(g["ts"], "bigint"), "te": _whole(g["te"], "bigint")}
+    held = [c for c in LEARN_COLUMNS if name.get(c, c) in need]
+    out = lines.select(j.alias("j"), ok.alias("_ok")).select(*[made[c].alias(c) for c in held], "_ok")
+    out = out.withColumn("_ok", F.col("_ok") & F.col("ts").isNotNull() & F.col("te").isNotNull())
+    rows = _finish(out, F.col("_ok"), keep_rejects)
+    rows = rows.withColumn("secs", watched_seconds(F.col("ts"), F.col("te")))
+    return rows.select(*columns, *(["valid"] if keep_rejects else []))
 
 
 PARSERS = {

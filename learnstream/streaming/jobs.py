@@ -2,22 +2,22 @@
 queries.
 
 * J1 registrations, running total: streaming aggregation, ``complete`` mode.
-* J2 registrations, sliding minute: event-time ``window`` with a watermark,
-  ``append`` mode.
+* J2 registrations, sliding minute: counts per 6 s pane of every batch, added
+  up over batches; a window is ten panes on reading. Panes are few (14,400 a
+  day and channel), so late rows need no watermark and none is dropped.
 * J3 practice: streaming aggregation in ``update`` mode; Spark's state store
   keeps the per-key totals and question sets, each trigger emits only the
-  changed keys, which ``foreachBatch`` writes as that batch's change set.
-* J4 pages: transition counts in the state store (``update``); each trigger
-  recomputes page totals, conversion and top provinces from the small
-  complete tables.
-* J5 watch time: ``foreachBatch`` merging the batch into versioned state
-  (totals + covered intervals per key, rollups) with the history form of
-  the coverage fold.
+  changed keys.
+* J4 pages: one query; every batch adds its transition counts and its clicks
+  per province, the tables are made of them on reading.
+* J5 watch time: every batch folds its plays into the state of the keys it
+  touches (totals, covered intervals) and writes those keys only; rollups add
+  up over batches.
 
 Every job takes a feed (``stream_feed``), a checkpoint location under the
 shared checkpoint folder, and a trigger (3 s by default, ``availableNow`` in
-tests). Results written per batch id are overwritten on replay, so a batch
-that is re-run after a failure does not double count.
+tests). J2-J5 write change logs per batch id (``state.ChangeLog``): a batch that
+is run again after a failure rewrites its own rows.
 """
 
 from __future__ import annotations
@@ -26,15 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from learnstream.functions.scalar import parse_time_text
 from learnstream.operators import pages, practice, registrations, watch
-from learnstream.operators.state import StateTable, merge
+from learnstream.operators.state import ChangeLog
 from learnstream.session import ensure_checkpoint_dir
 from learnstream.sources import parse
 from learnstream.sources.feeds import BATCH_SECONDS
 
-WATERMARK = "60 seconds"
-
 
 def _root(spark: SparkSession, root: str | None) -> str:
     return (root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobs").rstrip("/")
@@ -60,27 +57,31 @@ def register_total_job(feed: DataFrame, *, root: str | None = None, sink: str =
     return _trigger(w, available_now).start()
 
 
-def register_window_job(feed: DataFrame, *, root: str | None = None, sink: str = "memory",
-                        name: str = "register_channel_window", watermark: str = WATERMARK,
+def _log(spark: SparkSession, root: str | None, name: str, keys, add=(), every: int = 20) -> ChangeLog:
+    return ChangeLog(spark, f"{_root(spark, root)}/{name}", keys, add, every)
+
+
+def pane_log(spark: SparkSession, root: str | None = None, name: str = "register_channel_window") -> ChangeLog:
+    return _log(spark, root, f"{name}/panes", ["pane", "channel"], ["n"])
+
+
+def register_window_job(feed: DataFrame, *, root: str | None = None,
+                        name: str = "register_channel_window",
                         available_now: bool = False) -> StreamingQuery:
-    """Sign-ups per channel in 60 s windows sliding by 6 s, on create time
-    (read as UTC). A window is emitted once the watermark passes its end."""
-    spark = feed.sparkSession
-    # Watermarks need TIMESTAMP (not NTZ); the cast reads the wall clock in
-    # the session time zone, which the jobs expect to be UTC.
-    rows = parse.parse_register(feed).withColumn(
-        "event_time", parse_time_text(F.col("createtime")).cast("timestamp"))
-    agg = (rows.where(F.col("event_time").isNotNull())
-           .withWatermark("event_time", watermark)
-           .groupBy(F.window("event_time", f"{registrations.WINDOW_SECONDS} seconds",
-                             f"{registrations.SLIDE_SECONDS} seconds").alias("w"), "channel")
-           .agg(F.count(F.lit(1)).alias("n"))
-           .select(F.unix_timestamp(F.col("w.start")).alias("window_start"), "channel", "n"))
-    w = (agg.writeStream.outputMode("append").format(sink).queryName(name)
-         .option("checkpointLocation", f"{_root(spark, root)}/{name}/_checkpoint"))
+    """J2; ``register_windows`` reads the windows."""
+    log = pane_log(feed.sparkSession, root, name)
+    w = (parse.parse_register(feed).writeStream
+         .foreachBatch(lambda df, n: log.write(registrations.channel_panes(df), n))
+         .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()
 
 
+def register_windows(spark: SparkSession, root: str | None = None,
+                     name: str = "register_channel_window") -> DataFrame:
+    """Sign-ups per channel in 60 s windows sliding by 6 s, over all batches."""
+    return registrations.windows_of_panes(pane_log(spark, root, name).read())
+
+
 # ---- J3 --------------------------------------------------------------------
 
 def practice_stream(rows: DataFrame, per_point: int = practice.QUESTIONS_PER_POINT) -> DataFrame:
@@ -96,96 +97,80 @@ def practice_stream(rows: DataFrame, per_point: int = practice.QUESTIONS_PER_POI
                                       per_point), "createtime")
 
 
-def practice_job(feed: DataFrame, *, root: str | None = None, name: str = "qz_point_detail",
-                 available_now: bool = False) -> StreamingQuery:
-    """J3. Changed keys of batch n go to ``<root>/<name>/changes/batch=n``;
-    ``latest_rows`` reads the current value per key."""
-    spark = feed.sparkSession
-    base = f"{_root(spark, root)}/{name}"
+def practice_log(spark: SparkSession, root: str | None = None, name: str = "qz_point_detail") -> ChangeLog:
+    return _log(spark, root, f"{name}/changes", practice.KEY)
 
-    def write_changes(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{base}/changes/batch={batch_id}")
 
+def practice_job(feed: DataFrame, *, root: str | None = None, name: str = "qz_point_detail",
+                 available_now: bool = False) -> StreamingQuery:
+    """J3; ``practice_log(...).read()`` has the current row per key."""
+    log = practice_log(feed.sparkSession, root, name)
     w = (practice_stream(parse.parse_qz(feed)).writeStream.outputMode("update")
-         .foreachBatch(write_changes)
-         .option("checkpointLocation", f"{base}/_checkpoint"))
+         .foreachBatch(log.write)
+         .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()
 
 
-def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current row per key from a change log written by batch id."""
-    ch = spark.read.parquet(f"{path}/changes")
-    cols = [c for c in ch.columns if c not in keys and c != "batch"]
-    latest = ch.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch").alias("r"))
-    return latest.select(*keys, *[F.col(f"r.{c}").alias(c) for c in cols])
+# ---- J4 --------------------------------------------------------------------
 
+def page_logs(spark: SparkSession, root: str | None = None, name: str = "page") -> tuple[ChangeLog, ChangeLog]:
+    """Transition counts and clicks per province."""
+    return (_log(spark, root, f"{name}/jumps", ["last_page_id", "page_id", "next_page_id"], ["num"]),
+            _log(spark, root, f"{name}/provinces", ["province"], ["n"]))
 
-# ---- J4 --------------------------------------------------------------------
 
 def page_job(feed: DataFrame, ranges: DataFrame, *, root: str | None = None,
-             name: str = "page", available_now: bool = False
-             ) -> tuple[StreamingQuery, StreamingQuery]:
-    """J4. Transition counts and per-IP clicks live in the state store; each
-    trigger writes the jump counts, the page conversion table and the top
-    provinces to ``<root>/<name>/<table>/v=<batch_id>``."""
-    spark = feed.sparkSession
-    base = f"{_root(spark, root)}/{name}"
-    rows = parse.parse_page(feed)
-    counts = pages.jump_count(rows)
+             name: str = "page", available_now: bool = False) -> StreamingQuery:
+    """J4; ``page_tables`` reads the results."""
+    jumps, provinces = page_logs(feed.sparkSession, root, name)
 
-    def publish(df: DataFrame, batch_id: int) -> None:
-        df.persist()
+    def add(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
         try:
-            df.write.mode("overwrite").parquet(f"{base}/page_jump_count/v={batch_id}")
-            totals = pages.view_total_from_counts(df)
-            pages.convert_rate(totals).write.mode("overwrite").parquet(
-                f"{base}/page_convert_rate/v={batch_id}")
+            jumps.write(pages.jump_count(df), batch_id)
+            provinces.write(pages.province_clicks(df, ranges), batch_id)
         finally:
             df.unpersist()
 
-    q1 = _trigger(counts.writeStream.outputMode("complete").foreachBatch(publish)
-                  .option("checkpointLocation", f"{base}/_checkpoint_pages"), available_now).start()
-    clicks = pages.province_clicks(rows, ranges, preaggregate=False)
+    w = (parse.parse_page(feed).writeStream.foreachBatch(add)
+         .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
+    return _trigger(w, available_now).start()
 
-    def publish_top(df: DataFrame, batch_id: int) -> None:
-        (df.orderBy(F.desc("n"), F.asc("province")).limit(pages.TOP_PROVINCES)
-         .write.mode("overwrite").parquet(f"{base}/province_clicks_top3/v={batch_id}"))
 
-    q2 = _trigger(clicks.writeStream.outputMode("complete").foreachBatch(publish_top)
-                  .option("checkpointLocation", f"{base}/_checkpoint_provinces"),
-                  available_now).start()
-    return q1, q2
+def page_tables(spark: SparkSession, root: str | None = None, name: str = "page") -> dict[str, DataFrame]:
+    """Jump counts, conversion and top provinces over all batches."""
+    jumps, provinces = (log.read() for log in page_logs(spark, root, name))
+    return {"page_jump_count": jumps,
+            "page_convert_rate": pages.convert_rate(pages.view_total_from_counts(jumps)),
+            "province_clicks_top3": pages.top_of(provinces)}
 
 
 # ---- J5 --------------------------------------------------------------------
 
+def watch_logs(spark: SparkSession, root: str | None = None, name: str = "watch") -> tuple[ChangeLog, ChangeLog]:
+    """State per video key, and rollup totals."""
+    return (_log(spark, root, f"{name}/video_state", watch.KEY),
+            _log(spark, root, f"{name}/rollup", ["dim", "key"], ["totaltime"]))
+
+
 def watch_job(feed: DataFrame, *, root: str | None = None, name: str = "watch",
-              available_now: bool = False, keep: int = 3) -> StreamingQuery:
-    """J5. Batch n reads state version n-1, merges the batch and writes
-    version n of ``video_state`` (totals + intervals per key) and
-    ``rollup`` (totals per dimension)."""
+              available_now: bool = False) -> StreamingQuery:
+    """J5. Batch n reads the state of its own keys after batch n-1, folds its
+    plays in and writes these keys; ``watch_logs(...)[k].read()`` has the
+    current rows."""
     spark = feed.sparkSession
-    root = _root(spark, root)
-    video = StateTable(spark, f"{name}/video_state", root)
-    rolls = StateTable(spark, f"{name}/rollup", root)
+    video, rolls = watch_logs(spark, root, name)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        rows = parse.parse_learn(batch)
-        rows = rows.persist()
+        rows = parse.parse_learn(batch).persist()
         try:
-            old = video.latest_before(batch_id)
-            new = (watch.state_from(rows) if old is None else watch.incremental(old, rows))
-            video.write(new, batch_id)
-            r_old = rolls.latest_before(batch_id)
-            r_new = watch.rollup(rows)
-            r = r_new if r_old is None else merge(r_old, r_new, ["dim", "key"],
-                                                 accumulate=["totaltime"])
-            rolls.write(r.select("dim", "key", F.col("totaltime").cast("long")), batch_id)
+            keys = watch.plays(rows).select(*watch.KEY).distinct()
+            old = video.read(before=batch_id, keys=keys) if batch_id else None
+            video.write(watch.state_from(rows) if old is None else watch.incremental(old, rows), batch_id)
+            rolls.write(watch.rollup(rows), batch_id)
         finally:
             rows.unpersist()
-        video.prune(keep)
-        rolls.prune(keep)
 
     w = (feed.writeStream.foreachBatch(fold)
-         .option("checkpointLocation", f"{root}/{name}/_checkpoint"))
+         .option("checkpointLocation", f"{_root(spark, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()

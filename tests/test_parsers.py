@@ -33,7 +33,7 @@ def test_qz_rejects_non_numeric_keys(spark):
 
 
 def test_page_json_cases(spark):
-    lines = ["not json", "[1]", "", '{"uid":"7","page_id":2}', '{"uid":null,"page_id":"1"}',
+    lines = ["not json", "[1]", "", '{"uid":"7"} x', '{"uid":"7"},{"uid":"8"}', "null", '{"uid":"7","page_id":2}', '{"uid":null,"page_id":"1"}',
              '{"uid":"1","app_id":"1","device_id":"3","ip":"10.1.2.1","last_page_id":"1",'
              '"page_id":"2","next_page_id":"3"}']
     rows = [r.asDict() for r in parse.parse_page(lines_df(spark, lines)).collect()]
@@ -56,8 +56,26 @@ def test_learn_defaults_and_seconds(spark):
 def test_replay_spreads_lines_over_ten_partitions(spark, tmp_path):
     from learnstream.sources.feeds import replay_frame, replay_to_dir
     lines = lines_df(spark, [f"{i}\t1\t{T}" for i in range(50)]).coalesce(1)
-    out = replay_frame(lines)
+    out = replay_frame(lines, 10)
     assert out.rdd.getNumPartitions() >= 10 and out.count() == 50
     replay_to_dir(lines, str(tmp_path / "feed"))
     back = spark.read.text(str(tmp_path / "feed"))
     assert sorted(r.value for r in back.collect()) == sorted(r.value for r in lines.collect())
+
+
+def test_learn_numbers_as_text_and_decimals(spark):
+    lines = ['{"uid":"7","ts":"0","te":"2000","ps":0.5,"pe":"9.9"}', '{"uid":"x","ts":1,"te":2,"speed":null}',
+             '{"uid":7,"ts":"x","te":2}', '{"uid":7,"ts":1,"te":2} {"uid":8}']
+    flagged = parse.parse_learn(lines_df(spark, lines), keep_rejects=True).collect()
+    assert [r.valid for r in flagged] == [True, True, False, False]
+    rows = parse.parse_learn(lines_df(spark, lines)).collect()
+    assert [(r.uid, r.secs, r.ps, r.pe, r.speed) for r in rows] == [(7, 2, 0, 9, 0), (0, 0, 0, 0, 0)]
+    few = parse.parse_learn(lines_df(spark, lines), columns=["uid", "secs"])
+    assert [tuple(r) for r in few.collect()] == [(7, 2), (0, 0)]
+
+
+def test_rejects_are_flagged_in_every_parser(spark):
+    page = parse.parse_page(lines_df(spark, ['{"page_id":"1"}', "x"]), keep_rejects=True)
+    assert [r.valid for r in page.collect()] == [True, False]
+    reg = parse.parse_register(lines_df(spark, [f"1\t1\t{T}", "1"]), keep_rejects=True)
+    assert [r.valid for r in reg.collect()] == [True, False]

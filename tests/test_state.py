@@ -1,8 +1,10 @@
-"""Merge M and the versioned state table."""
+"""Merge M and the change log."""
 
 import tempfile
 
-from learnstream.operators.state import StateTable, merge, update_existing
+import pytest
+
+from learnstream.operators.state import ChangeLog, merge, update_existing
 
 
 def test_merge_modes(spark):
@@ -26,17 +28,37 @@ def test_update_existing_only(spark):
     assert got == [(1, 10, None), (2, 20, "50%")]
 
 
-def test_state_table_replay_is_idempotent(spark):
-    t = StateTable(spark, "totals", tempfile.mkdtemp(prefix="state-", dir="/tmp"))
+def _log(spark, **kw):
+    return ChangeLog(spark, tempfile.mkdtemp(prefix="state-", dir="/tmp"), ["k"], **kw)
+
+
+def test_change_log_replay_is_idempotent(spark):
+    log = _log(spark, add=["n"])
+    batch = spark.createDataFrame([(1, 5)], "k int, n long")
+    for n in (0, 1, 1):                      # batch 1 twice
+        log.write(batch, n)
+    assert [tuple(r) for r in log.read().collect()] == [(1, 10)]
+    assert [tuple(r) for r in log.read(before=1).collect()] == [(1, 5)]
+
+
+def test_change_log_needs_its_predecessor(spark):
+    log = _log(spark, add=["n"])
     batch = spark.createDataFrame([(1, 5)], "k int, n long")
+    log.write(batch, 0)
+    with pytest.raises(RuntimeError):
+        log.read(before=2)                   # batch 1 is missing
+    log.write(batch, 2)
+    with pytest.raises(RuntimeError):
+        log.read()
 
-    def run(batch_id):
-        old = t.latest_before(batch_id)
-        new = batch if old is None else merge(old, batch, ["k"], accumulate=["n"])
-        t.write(new, batch_id)
 
-    run(0)
-    run(1)
-    run(1)                                   # the same batch id again
-    assert t.versions() == [0, 1]
-    assert t.read(1).collect()[0].n == 10
+def test_change_log_folders_stay_bounded(spark):
+    added, last = _log(spark, add=["n"], every=4), _log(spark, every=4)
+    for n in range(30):
+        batch = spark.createDataFrame([(n % 3, n)], "k int, n long").coalesce(1)
+        for log in (added, last):
+            log.write(batch, n)
+            log.write(batch, n)              # every batch is run again
+            assert len(log.held("b")) + len(log.held("base")) <= 11
+    assert sorted(map(tuple, added.read().collect())) == [(k, sum(range(k, 30, 3))) for k in range(3)]
+    assert sorted(map(tuple, last.read().collect())) == [(0, 27), (1, 28), (2, 29)]

@@ -5,10 +5,10 @@ import tempfile
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from learnstream.operators import practice, watch
+from learnstream.operators import watch
 from learnstream.plans import catalog
-from learnstream.sources import adapters, parse
-from learnstream.sources.feeds import stream_feed
+from learnstream.sources import adapters
+from learnstream.sources.feeds import replay_to_dir, stream_feed
 from learnstream.streaming import jobs
 
 
@@ -49,7 +49,7 @@ def test_practice_stream_equals_batch_and_replays(spark):
     lines.where("pos >= 500").select("value").coalesce(1).write.text(f"{d}/b")
     feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
     jobs.practice_job(feed, root=root, name="qz", available_now=True).awaitTermination(120)
-    got = jobs.latest_rows(spark, f"{root}/qz", practice.KEY).drop("createtime")
+    got = jobs.practice_log(spark, root, "qz").read()
     want = catalog.CATALOG["qz_point_detail"](spark, SMALL)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
@@ -59,10 +59,8 @@ def test_watch_stream_matches_batch(spark):
     root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
     feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
     jobs.watch_job(feed, root=root, name="w", available_now=True).awaitTermination(300)
-    from learnstream.operators.state import StateTable
-    video = StateTable(spark, "w/video_state", root)
-    last = video.versions()[-1]
-    state = video.read(last)
+    video, rolls = jobs.watch_logs(spark, root, "w")
+    state = video.read()
     batch = catalog.CATALOG["video_watch_detail"](spark, SMALL)
     ivs = catalog.CATALOG["video_intervals"](spark, SMALL)
     # completed and total time and intervals do not depend on batch cuts
@@ -74,31 +72,23 @@ def test_watch_stream_matches_batch(spark):
                                                iv[(r.userid, r.cwareid, r.videoid)])
             for r in batch.collect()}
     assert got == want
-    rolls = StateTable(spark, "w/rollup", root).read(last)
-    assert sorted(map(tuple, rolls.collect()), key=str) == sorted(
+    assert sorted(map(tuple, rolls.read().collect()), key=str) == sorted(
         map(tuple, catalog.CATALOG["learn_rollup"](spark, SMALL).collect()), key=str)
 
 
-def test_register_window_stream_emits_final_batch_windows(spark):
-    """Append mode emits a window once the watermark passes it; every
-    emitted window equals the batch result for that window."""
-    d = _feed_dir(spark, "register", 2)
+def test_register_window_stream_equals_batch(spark):
+    """Ten interleaved files, one a trigger: late rows are all counted and the
+    last windows are there."""
+    d = tempfile.mkdtemp(prefix="feed-register-", dir="/tmp") + "/lines"
+    replay_to_dir(catalog.lines(spark, SMALL, "register"), d)
     root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
-    feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
+    feed = stream_feed(spark, directory=d, files_per_trigger=1)
     q = jobs.register_window_job(feed, root=root, name="reg_win_t", available_now=True)
     q.awaitTermination(180)
-    got = {(r.window_start, r.channel): r.n for r in spark.sql("SELECT * FROM reg_win_t").collect()}
-    want = {(r.window_start, r.channel): r.n
-            for r in catalog.CATALOG["register_channel_window"](spark, SMALL).collect()}
-    assert got and all(want[k] == v for k, v in got.items())
-
-
-def test_direct_window_equals_pane_form(spark):
-    from learnstream.operators import registrations as reg
-    rows = parse.parse_register(catalog.lines(spark, SMALL, "register"))
-    a = sorted(map(tuple, reg.channel_window(rows).collect()))
-    b = sorted(map(tuple, reg.channel_window_direct(rows).collect()))
-    assert a == b
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 10
+    got = jobs.register_windows(spark, root, "reg_win_t")
+    want = catalog.CATALOG["register_channel_window"](spark, SMALL)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_page_stream_publishes_batch_tables(spark):
@@ -106,14 +96,17 @@ def test_page_stream_publishes_batch_tables(spark):
     root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
     ranges = adapters.province_ranges(catalog.table(spark, SMALL, "nation"))
     feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
-    for q in jobs.page_job(feed, ranges, root=root, name="p", available_now=True):
-        q.awaitTermination(180)
-    from learnstream.operators.state import StateTable
-    rate = StateTable(spark, "p/page_convert_rate", root)
-    got = sorted(map(tuple, rate.read(rate.versions()[-1]).collect()))
-    want = sorted(map(tuple, catalog.CATALOG["page_convert_rate"](spark, SMALL).collect()))
-    assert got == want
-    top = StateTable(spark, "p/province_clicks_top3", root)
-    got = sorted(map(tuple, top.read(top.versions()[-1]).collect()))
-    want = sorted(map(tuple, catalog.CATALOG["province_clicks_top3"](spark, SMALL).collect()))
-    assert got == want
+    jobs.page_job(feed, ranges, root=root, name="p", available_now=True).awaitTermination(180)
+    for name, got in jobs.page_tables(spark, root, "p").items():
+        want = catalog.CATALOG[name](spark, SMALL)
+        assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_console_sink_runs(spark):
+    d = _feed_dir(spark, "register", 1)
+    root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    feed = stream_feed(spark, directory=_src(spark, d, 0))
+    q = jobs.register_total_job(feed, root=root, sink="console", name="reg_console", available_now=True)
+    q.awaitTermination(120)
+    assert q.exception() is None and q.lastProgress["sink"]["description"].startswith(
+        "org.apache.spark.sql.execution.streaming.ConsoleTable")
