@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from learnstream.functions.scalar import two_decimals
+from learnstream.functions.scalar import TIME_FORMAT, two_decimals
 
 KEY = ["userid", "courseid", "pointid"]
 # Fixed value: questions per knowledge point, the mastery denominator.
@@ -44,6 +44,11 @@ def question_set(rows: DataFrame) -> DataFrame:
                  F.min("first_time").alias("createtime")))
 
 
+def point_history(rows: DataFrame, now: Column) -> DataFrame:
+    """The question set with ``updatetime`` (F6): the clock is passed in."""
+    return question_set(rows).withColumn("updatetime", F.date_format(now, TIME_FORMAT))
+
+
 def rates(qz_sum: Column, qz_count: Column, qz_istrue: Column,
           per_point: int = QUESTIONS_PER_POINT) -> list[Column]:
     """Correct rate (unrounded and two decimals) and mastery, in the

@@ -136,6 +136,12 @@ def qz_question_set(spark, sf_dir):
     return practice.question_set(rows(spark, sf_dir, "qz"))
 
 
+@query("qz_point_history")
+def qz_point_history(spark, sf_dir):
+    clock = table(spark, sf_dir, "events").select(F.max("ts")).scalar()
+    return practice.point_history(rows(spark, sf_dir, "qz"), clock)
+
+
 @query("qz_point_detail")
 def qz_point_detail(spark, sf_dir):
     return practice.point_detail(rows(spark, sf_dir, "qz"))

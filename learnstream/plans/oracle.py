@@ -326,6 +326,11 @@ SELECT {QKEY}, string_agg(questionid, ',' {QORDER}) AS questionids,
        min(first_time) AS createtime
 FROM qz_pq GROUP BY {QKEY}""")
 
+q("qz_point_history", f"""
+SELECT {QKEY}, string_agg(questionid, ',' {QORDER}) AS questionids, min(first_time) AS createtime,
+       (SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM events) AS updatetime
+FROM qz_pq GROUP BY {QKEY}""")
+
 q("qz_point_detail", f"""
 SELECT {QKEY}, qz_sum, qz_count, qz_istrue, {_rates_sql('qz_sum', 'qz_count', 'qz_istrue')}
 FROM (SELECT {QKEY}, CAST(sum(n) AS BIGINT) AS qz_sum, CAST(count(*) AS BIGINT) AS qz_count,

@@ -31,6 +31,7 @@ from learnstream.operators.state import ChangeLog
 from learnstream.session import ensure_checkpoint_dir
 from learnstream.sources import parse
 from learnstream.sources.feeds import BATCH_SECONDS
+from learnstream.streaming.sinks import Sink
 
 
 def _root(spark: SparkSession, root: str | None) -> str:
@@ -102,11 +103,17 @@ def practice_log(spark: SparkSession, root: str | None = None, name: str = "qz_p
 
 
 def practice_job(feed: DataFrame, *, root: str | None = None, name: str = "qz_point_detail",
-                 available_now: bool = False) -> StreamingQuery:
+                 available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
     """J3; ``practice_log(...).read()`` has the current row per key."""
     log = practice_log(feed.sparkSession, root, name)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        log.write(df, batch_id)
+        if sink:
+            sink(df.sparkSession.read.parquet(f"{log.path}/b={batch_id}"), batch_id)
+
     w = (practice_stream(parse.parse_qz(feed)).writeStream.outputMode("update")
-         .foreachBatch(log.write)
+         .foreachBatch(write)
          .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()
 

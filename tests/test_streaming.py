@@ -10,6 +10,7 @@ from learnstream.plans import catalog
 from learnstream.sources import adapters
 from learnstream.sources.feeds import replay_to_dir, stream_feed
 from learnstream.streaming import jobs
+from learnstream.streaming.sinks import staging_writer
 
 
 def _feed_dir(spark, feed, parts):
@@ -110,3 +111,16 @@ def test_console_sink_runs(spark):
     q.awaitTermination(120)
     assert q.exception() is None and q.lastProgress["sink"]["description"].startswith(
         "org.apache.spark.sql.execution.streaming.ConsoleTable")
+
+
+def test_a_sink_gets_the_changed_rows_of_every_batch(spark):
+    d = _feed_dir(spark, "qz", 2)
+    root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
+    jobs.practice_job(feed, root=root, name="qz_s", available_now=True,
+                      sink=staging_writer("json", path=f"{root}/staging")).awaitTermination(120)
+    staged = spark.read.json(f"{root}/staging")
+    assert sorted(r.batch_id for r in staged.select("batch_id").distinct().collect()) == [0, 1]
+    last = staged.groupBy("userid", "courseid", "pointid").agg(F.max_by("qz_sum", "batch_id").alias("n"))
+    want = catalog.CATALOG["qz_point_detail"](spark, SMALL)
+    assert {tuple(r) for r in last.collect()} == {(r.userid, r.courseid, r.pointid, r.qz_sum) for r in want.collect()}
