@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from learnstream.llm import chat, decontam, langid, linededup, neardup, packing, pii, tokens, topk, warc
 from learnstream.llm.common import scratch_path, table
+from learnstream.llm.oracle import SQL  # noqa: F401
 
 QUERIES = {}
 
@@ -74,25 +75,3 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_chat_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(chat.derived(table(spark, sf_dir, "conversations")), chat.TOOLS)
-
-
-#: DuckDB SQL of the queries that SQL can express over whole tables.
-SQL: dict[str, str] = {
-    "op4_pivot_topk": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
-""",
-    "op8_warc": """
-WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
-d AS (SELECT page_id, strlen(payload) AS n, sha1(payload) AS digest FROM p),
-m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last FROM d)
-SELECT page_id, n AS payload_bytes, digest AS payload_digest,
-       CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
-FROM m
-""",
-}

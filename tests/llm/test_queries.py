@@ -13,7 +13,7 @@ def test_every_operator_has_its_query():
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_duckdb(spark, small, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small}/{t}.parquet')")
     df = queries.QUERIES[name](spark, small)
     rel = con.sql(queries.SQL[name])
