@@ -30,11 +30,12 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnstream.llm.common import bound_batches, materialize, running_total
+from learnstream.llm.common import bound_batches, materialize, per_batch, running_total
 
 MIN_PAYLOAD = 1000
 SHARD_BYTES = 32 << 20       # payload bytes of a shard, about
@@ -59,8 +60,9 @@ def page_of(name: str) -> int | None:
     return None if own == "none" else int(own)
 
 
-def record(page_id, url, payload: bytes, n: int, digest: str, refers_to) -> bytes:
-    """One gzip member. ``digest`` is the payload's SHA-1 in hex."""
+def record(page_id, url, payload: bytes, n: int, digest: str, refers_to=None) -> bytes:
+    """One gzip member. ``digest`` is the payload's SHA-1 in hex. A response
+    does not depend on other records."""
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n").encode()
     block = http if refers_to is not None else http + payload
     sha = lambda raw: "sha1:" + base64.b32encode(raw).decode()
@@ -77,6 +79,13 @@ def record(page_id, url, payload: bytes, n: int, digest: str, refers_to) -> byte
     return gz.compress(head.encode() + block + b"\r\n\r\n") + gz.flush()
 
 
+def _responses(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows with their response record in place of the payload."""
+    made = [record(i, u, p, n, d) for i, u, n, d, p in zip(*(c.to_pylist() for c in b.columns))]
+    return pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(made, pa.binary())],
+                                      [*b.schema.names[:4], "member"])
+
+
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields and block of one record; checks length and block digest."""
     head, _, rest = raw.partition(b"\r\n\r\n")
@@ -108,7 +117,7 @@ def members(stream) -> Iterator[bytes]:
         else:
             data = b""
         data = data or stream.read(READ_CHUNK)
-    if any(parts):
+    if parts:
         raise ValueError("the file ends inside a record")
 
 
@@ -134,14 +143,16 @@ def write(pages: DataFrame, out: str) -> DataFrame:
     spark = pages.sparkSession
     bound_batches(spark)
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    rows = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload"),
-                        F.octet_length(payload).cast("long").alias("n"), F.sha1(payload).alias("digest"))
+    rows = pages.select(F.col("page_id").cast("long"), "url", F.octet_length(payload).cast("long").alias("n"),
+                        F.sha1(payload).alias("digest"), payload.alias("payload"))
     planned = plan(rows.select("page_id", "n", "digest"))
     planned = materialize(planned, "plan").withColumnsRenamed({"page_id": "p", "digest": "d"})
-    full = rows.join(planned, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
-    slim = F.when(F.col("refers_to").isNull(), F.col("payload"))
+    # compressed before they are dealt; what turns out a revisit is left behind
+    packed = rows.mapInArrow(per_batch(_responses), "page_id long, url string, n long, digest string, member binary")
+    full = packed.join(planned, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
+    slim = F.when(F.col("refers_to").isNull(), F.col("member"))
     shards = max(1, (planned.agg(F.max("shard")).first()[0] or 0) + 1)
-    dealt = (full.select("shard", "page_id", "digest", "url", "n", "refers_to", slim.alias("payload"))
+    dealt = (full.select("shard", "page_id", "digest", "url", "n", "refers_to", slim.alias("member"))
              .repartitionByRange(shards, "shard")
              .sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest",
                                    F.col("url").asc_nulls_first()))
@@ -173,7 +184,7 @@ def write(pages: DataFrame, out: str) -> DataFrame:
                             "sha1": hashlib.sha1(), "stream": store.open_output_stream(f"{root}/{at}", compression=None)}
                     nth += 1
                 own = [None if pd.isna(x) else int(x) for x in (r.page_id, r.refers_to)]
-                raw = record(own[0], r.url, r.payload or b"", r.n, r.digest, own[1])
+                raw = r.member if own[1] is None else record(own[0], r.url, b"", r.n, r.digest, own[1])
                 file["stream"].write(raw)
                 file["sha1"].update(raw)
                 file["records"] += 1
