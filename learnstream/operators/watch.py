@@ -182,13 +182,7 @@ def incremental(state: DataFrame, rows: DataFrame) -> DataFrame:
     covered = F.aggregate(
         F.coalesce("intervals", F.array().cast("array<struct<s:int,e:int>>")), F.lit(0),
         lambda n, h: n + F.greatest(F.lit(0), F.least(pe, h["e"]) - F.greatest(lo, h["s"])))
-    batch = _totals(_with_new(p, covered))
-    return merge_state(state, batch.join(intervals(rows), KEY))
-
-
-def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
-    """State merge M for watch state: totals accumulate, intervals unite."""
-    totals = merge(old, new, KEY, accumulate=TOTALS)
-    both = old.select(*KEY, "intervals").unionByName(new.select(*KEY, "intervals"))
-    spans = both.select(*KEY, F.inline_outer("intervals"))
-    return totals.join(_unite(spans), KEY).select(*KEY, *TOTALS, "intervals")
+    totals = merge(state, _totals(_with_new(p, covered)), KEY, accumulate=TOTALS)
+    old = state.select(*KEY, F.inline_outer("intervals"))
+    new = plays(rows).select(*KEY, F.col("ps").alias("s"), _reach().alias("e"))
+    return totals.join(_unite(old.unionByName(new)), KEY).select(*KEY, *TOTALS, "intervals")

@@ -118,7 +118,7 @@ def video_intervals(spark, sf_dir):
 @query("video_watch_incremental")
 def video_watch_incremental(spark, sf_dir):
     hist, batch = halves(spark, sf_dir, "course_learn")
-    state = watch.state_from(parse.parse_learn(hist, columns=WATCH))
+    state = watch.state_from(parse.parse_learn(hist, columns=WATCH)).persist()  # read three times
     merged = watch.incremental(state, parse.parse_learn(batch, columns=WATCH))
     return merged.select(*watch.KEY, "totaltime", "effecttime", "completetime",
                          watch.interval_text(F.col("intervals")).alias("play_interval"))

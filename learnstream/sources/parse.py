@@ -66,13 +66,14 @@ def parse_qz(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     return _finish(out, ok, keep_rejects).drop("_ok")
 
 
-def _json_object(fields: Sequence[str]) -> tuple[Column, Column]:
-    """The text's JSON object with these fields as text, and whether the text
-    is one JSON object and nothing else. Read as an array of one element, so
-    that text behind the object makes it malformed."""
+def _json_object(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``j``: the text's JSON object with these fields as text; ``_ok``: whether
+    the text is one JSON object and nothing else. Read as an array of one
+    element, so that text behind the object makes it malformed."""
     schema = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-    j = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), schema)
-    return j, (F.size(j) == 1) & F.get(j, F.lit(0)).isNotNull()
+    read = lines.select(F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), schema).alias("j"))
+    return read.select(F.get("j", F.lit(0)).alias("j"), (F.size("j") == 1).alias("_ok")).withColumn(
+        "_ok", F.col("_ok") & F.col("j").isNotNull())
 
 
 def _whole(text: Column, kind: str) -> Column:
@@ -83,10 +84,8 @@ def _whole(text: Column, kind: str) -> Column:
 
 def parse_page(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """P4 + P5: JSON objects only; seven text fields, absent or null -> ''."""
-    j, ok = _json_object(PAGE_FIELDS)
-    g = F.get(F.col("j"), F.lit(0))
-    out = lines.select(j.alias("j"), ok.alias("_ok")).select(
-        *[F.coalesce(g[f], F.lit("")).alias(f) for f in PAGE_FIELDS], "_ok")
+    out = _json_object(lines, PAGE_FIELDS).select(
+        *[F.coalesce(F.col("j")[f], F.lit("")).alias(f) for f in PAGE_FIELDS], "_ok")
     return _finish(out, F.col("_ok"), keep_rejects).drop("_ok")
 
 
@@ -97,12 +96,11 @@ def parse_learn(lines: DataFrame, keep_rejects: bool = False,
     is whole watched seconds. Only the fields that ``columns`` need are read."""
     name = {"sourcetype": "sourceType"}
     need = [name.get(c, c) for c in LEARN_COLUMNS if c in ("ts", "te") or c in columns and c != "secs"]
-    j, ok = _json_object(need)
-    g = F.get(F.col("j"), F.lit(0))
+    g = F.col("j")
     made = {c: F.coalesce(_whole(g[c], "int"), F.lit(0)) for c in LEARN_INTS}
     made |= {"sourcetype": g["sourceType"], "ts": _whole(g["ts"], "bigint"), "te": _whole(g["te"], "bigint")}
     held = [c for c in LEARN_COLUMNS if name.get(c, c) in need]
-    out = lines.select(j.alias("j"), ok.alias("_ok")).select(*[made[c].alias(c) for c in held], "_ok")
+    out = _json_object(lines, need).select(*[made[c].alias(c) for c in held], "_ok")
     out = out.withColumn("_ok", F.col("_ok") & F.col("ts").isNotNull() & F.col("te").isNotNull())
     rows = _finish(out, F.col("_ok"), keep_rejects)
     rows = rows.withColumn("secs", watched_seconds(F.col("ts"), F.col("te")))
