@@ -12,6 +12,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,17 +82,17 @@ BLOCK = 512          # documents of one block of a group that is compared in blo
 COLLISION = 1 / 3 / (1 << MANTISSA)
 ESTIMATE_MIN = SHARE / OF - SLACK * (SHARE / OF * (1 - SHARE / OF) / REGISTERS) ** 0.5
 
-SKETCH = "row long, doc_id long, n_shingles long, fingerprint binary, registers binary, text string"
+SKETCH = "row long, doc_id long, n_shingles long, fingerprint binary, registers binary, packed binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
     """One row per document: set size, a 128-bit fingerprint of the whole set,
-    the registers and the text, under a row number of its own."""
+    the registers and the compressed text, under a row number of its own."""
     bound_batches(docs.sparkSession)
 
     def run(batches):
         from pyspark import TaskContext
-        row = TaskContext.get().partitionId() << 40
+        row, zstd = TaskContext.get().partitionId() << 40, zstandard.ZstdCompressor(level=3)
         for b in batches:
             texts = b.column(1).to_pylist()
             for at, group in text_groups([t or "" for t in texts]):
@@ -104,8 +105,8 @@ def sketches(docs: DataFrame) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([next(own).tobytes() if len(s) else None for s in sets], pa.binary()),
-                    pa.array(group, pa.string())],
-                    ["row", "doc_id", "n_shingles", "fingerprint", "registers", "text"])
+                    pa.array([zstd.compress(t.encode("utf-8", "surrogatepass")) for t in group], pa.binary())],
+                    ["row", "doc_id", "n_shingles", "fingerprint", "registers", "packed"])
                 row += k
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
@@ -157,8 +158,13 @@ def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return (same - COLLISION) / (1 - COLLISION)
 
 
+def unpacked_sets(packed) -> list[np.ndarray]:
+    zstd = zstandard.ZstdDecompressor()
+    return [shingle_set(zstd.decompress(p).decode("utf-8", "surrogatepass"), SHINGLE) for p in packed]
+
+
 def _against_pivot(pdf: pd.DataFrame) -> pd.DataFrame:
-    sets = [shingle_set(t, SHINGLE) for t in pdf["text"]]
+    sets = unpacked_sets(pdf["packed"])
     nodes = pdf["node"].to_numpy()
     at = int(np.flatnonzero(nodes == pdf["pivot"].iloc[0])[0])
     regs = registers(sets)
@@ -171,7 +177,7 @@ def _in_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links of two blocks of a group (or within one) that join components
     not yet joined here."""
     nodes, roots, side = (pdf[c].to_numpy() for c in ("node", "root", "side"))
-    sets = [shingle_set(t, SHINGLE) for t in pdf["text"]]
+    sets = unpacked_sets(pdf["packed"])
     regs = registers(sets)
     parent = {r: r for r in roots.tolist()}
 
@@ -214,7 +220,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Nulls: a null text, and one without words, has an empty set and no links;
     a null id is never the smallest and is kept only if alone without one.
     Repeated rows are equal sets. Extra columns are ignored."""
-    sk = materialize(sketches(docs), "sketch", compression="zstd")
+    sk = materialize(sketches(docs), "sketch")
     nodes = sk.where("n_shingles > 0").groupBy("fingerprint").agg(F.min("row").alias("node"))
     nodes = materialize(nodes, "nodes")
     regs = sk.select(F.col("row").alias("node"), "registers").join(nodes.select("node"), "node")
@@ -224,9 +230,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = materialize(bands.join(shared.drop("n"), "key").select("key", "node", "pivot"), "members")
     release(sk.sparkSession, bands)
     star = member.where("node != pivot").select("pivot", "node").distinct()
-    texts = sk.select(F.col("row").alias("node"), "text")
+    texts = sk.select(F.col("row").alias("node"), "packed")
     # two steps, so that only the candidates' texts are dealt again
-    wanted = materialize(texts.join(member.select("node").distinct(), "node"), "texts", compression="zstd")
+    wanted = materialize(texts.join(member.select("node").distinct(), "node"), "texts")
 
     chunks = star.groupBy("pivot").agg(F.ceil(F.count("node") / CHUNK).alias("chunks"))
     dealt = star.join(chunks, "pivot").select(
