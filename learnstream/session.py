@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local($|\[)", sc.master):  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder")
         path = tempfile.mkdtemp(prefix="learnstream-ckpt-", dir="/tmp")
