@@ -21,19 +21,19 @@ MIN_SCORE = 0.5              # share of the best language that a document needs
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those no language has half of."""
     langs, p = langid.train(docs, VOCABULARY)
-    told = langid.with_language(docs, langs, p, VOCABULARY)
-    kept = told.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
+    told = langid.with_language(docs, langs, p, VOCABULARY, ("_language", "_language_score"))
+    kept = told.where((F.col("_language") != langid.UNDETERMINED) & (F.col("_language_score") >= MIN_SCORE))
     # without any labelled document there is nothing to decide by
     return (kept if langs else told).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut later copies of line runs; documents of which nothing is left go."""
-    out = linededup.dedup_lines(docs)
-    some = (F.size("deleted") == 0) | (F.length(F.trim("text")) > 0)
-    n_chars = F.when(F.size("deleted") == 0, F.col("n_chars")).otherwise(F.length("text"))
-    kept = out.where(some)
+    out = linededup.dedup_lines(docs, names=("_n_lines", "_deleted", "_copied"))
+    whole = F.size("_deleted") == 0
+    kept = out.where(whole | (F.length(F.trim("text")) > 0))
     if "n_chars" in docs.columns:
+        n_chars = F.when(whole, F.col("n_chars")).otherwise(F.length("text"))
         kept = kept.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
 

@@ -277,9 +277,10 @@ def scorer(langs: list[str], path: str, sent):
     return predict
 
 
-def with_language(docs: DataFrame, langs: list[str], p: np.ndarray | None, path: str) -> DataFrame:
-    """All columns of ``docs``, then ``lang_pred`` and ``score`` (which must
-    not be columns already)."""
+def with_language(docs: DataFrame, langs: list[str], p: np.ndarray | None, path: str,
+                  names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of ``docs``, then the language and its score as ``names``
+    (which must not be columns already)."""
     bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(p)
     at = docs.columns.index("text")
@@ -288,14 +289,14 @@ def with_language(docs: DataFrame, langs: list[str], p: np.ndarray | None, path:
         predict = scorer(langs, path, sent)
 
         def add(b: pa.RecordBatch) -> pa.RecordBatch:
-            names, scores = predict([t or "" for t in b.column(at).to_pylist()])
+            told, scores = predict([t or "" for t in b.column(at).to_pylist()])
             return pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*b.schema.names, "lang_pred", "score"])
+                [*b.columns, pa.array(told, pa.string()), pa.array(scores, pa.float64())],
+                [*b.schema.names, *names])
 
         yield from per_batch(add)(batches)
 
-    schema = StructType([*docs.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
+    schema = StructType([*docs.schema.fields]).add(names[0], StringType()).add(names[1], DoubleType())
     return docs.mapInArrow(run, schema)
 
 

@@ -115,12 +115,13 @@ def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .select(*DOC, "place", (F.col("place") + F.col("n")).alias("end"), F.col("first.doc_id").alias("source")))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs`` with the later copies cut out of ``text``, then
-    n_lines, deleted (intervals of lines), sources (ids of the documents whose
-    lines they repeat)."""
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS,
+                names: tuple[str, str, str] = ("n_lines", "deleted", "sources")) -> DataFrame:
+    """All columns of ``docs`` with the later copies cut out of ``text``, then,
+    as ``names`` (columns of these names are replaced): the number of lines, the
+    deleted intervals of lines, the ids of the documents whose lines they repeat."""
     bound_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in ("_lines", "_sources", "_mark")]
+    kept = [c for c in docs.columns if c not in names]
     cut = (copies(docs, min_words).groupBy(*DOC)
            .agg(F.collect_set(F.struct("place", "end")).alias("_lines"), F.collect_set("source").alias("_sources"))
            .withColumnsRenamed({"doc_id": "_id", "mark": "_mark"}))
@@ -133,8 +134,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return pa.RecordBatch.from_arrays([*b.columns, pa.array(own, pa.int64())], [*b.schema.names, "_own"])
 
     span = StructType().add("place", LongType()).add("end", LongType())
-    out = (StructType(list(fields)).add("n_lines", IntegerType()).add("deleted", ArrayType(span))
-           .add("sources", ArrayType(LongType())))
+    out = (StructType(list(fields)).add(names[0], IntegerType()).add(names[1], ArrayType(span))
+           .add(names[2], ArrayType(LongType())))
     span_type = pa.list_(pa.struct([("place", pa.int64()), ("end", pa.int64())]))
 
     def cut_out(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -155,11 +156,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         sources = [sorted(x for x in s if x is not None) if s else [] for s in b.column("_sources").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*columns, pa.array(n_lines, pa.int32()), pa.array(deleted, span_type),
-             pa.array(sources, pa.list_(pa.int64()))], [*kept, "n_lines", "deleted", "sources"])
+             pa.array(sources, pa.list_(pa.int64()))], [*kept, *names])
 
     marked = docs.select(*kept).mapInArrow(per_batch(mark), StructType(list(fields)).add("_own", LongType()))
     joined = marked.join(cut, marked["doc_id"].eqNullSafe(cut["_id"]) & (marked["_own"] == cut["_mark"]), "left")
-    return joined.select(*kept, "_lines", "_sources").mapInArrow(per_batch(cut_out), out)
+    return joined.select(*[marked[c] for c in kept], "_lines", "_sources").mapInArrow(per_batch(cut_out), out)
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:

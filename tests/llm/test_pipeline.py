@@ -44,3 +44,15 @@ def test_an_empty_table_passes_all_stages(spark, small):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, small)
         assert docs.count() == 0
+
+
+def test_extra_columns_pass_through(spark, small):
+    from pyspark.sql import functions as F
+    names = ["score", "lang_pred", "n_lines", "deleted", "sources", "node", "key", "rank", "kept", "item_id"]
+    docs = pipeline.table(spark, small, "documents").withColumns({c: F.concat(F.lit(c), "doc_id") for c in names})
+    ids = docs.count()
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, small)
+        assert docs.columns[-len(names):] == names
+        assert docs.where(" OR ".join(f"{c} != concat('{c}', doc_id)" for c in names)).count() == 0
+    assert 0 < docs.count() <= ids
