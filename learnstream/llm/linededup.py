@@ -109,8 +109,10 @@ def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                              F.lit(0).cast("long").alias("end_rank")).limit(0)
     found = materialize(found, "found")
     key = ["n", "rank", "end_rank"]
-    first = (found.groupBy(*key).agg(F.min(F.struct(*DOC, "place")).alias("first"),
-                                     F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"))
+    # written, so that the join below deals both sides itself and can split a hot run
+    first = materialize(found.groupBy(*key).agg(F.min(F.struct(*DOC, "place")).alias("first"),
+                                                F.count(F.lit(1)).alias("times"))
+                        .where("times > 1").drop("times"), "first")
     return (found.join(first, key).where(~F.struct(*DOC, "place").eqNullSafe(F.col("first")))
             .select(*DOC, "place", (F.col("place") + F.col("n")).alias("end"), F.col("first.doc_id").alias("source")))
 
