@@ -53,12 +53,12 @@ def test_change_log_needs_its_predecessor(spark):
 
 
 def test_change_log_folders_stay_bounded(spark):
-    added, last = _log(spark, add=["n"], every=4), _log(spark, every=4)
-    for n in range(30):
+    added, last = _log(spark, add=["n"], every=3), _log(spark, every=3)
+    for n in range(13):
         batch = spark.createDataFrame([(n % 3, n)], "k int, n long").coalesce(1)
         for log in (added, last):
             log.write(batch, n)
             log.write(batch, n)              # every batch is run again
-            assert len(log.held("b")) + len(log.held("base")) <= 11
-    assert sorted(map(tuple, added.read().collect())) == [(k, sum(range(k, 30, 3))) for k in range(3)]
-    assert sorted(map(tuple, last.read().collect())) == [(0, 27), (1, 28), (2, 29)]
+            assert len(log.held("b")) + len(log.held("base")) <= 9
+    assert sorted(map(tuple, added.read().collect())) == [(k, sum(range(k, 13, 3))) for k in range(3)]
+    assert sorted(map(tuple, last.read().collect())) == [(0, 12), (1, 10), (2, 11)]

@@ -80,7 +80,7 @@ def test_coverage_matches_brute_force(spark, raw):
     assert iv == islands
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(play, min_size=2, max_size=30), st.randoms())
 def test_split_into_history_and_batch(spark, raw, rnd):
     """Completed time and intervals do not depend on the batch split;
