@@ -34,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnstream.llm.common import bound_batches, materialize, per_batch
+from learnstream.llm.common import bound_batches, materialize
 
 RECORD = ("conv_id long, turn long, nth int, kind string, call_id string, refs array<string>, "
-          "errors string, json string")
+          "errors string, json string, row long")
 KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()),
-         pa.string(), pa.string()]
+         pa.string(), pa.string(), pa.int64()]
 
 
 def canonical(value) -> str:
@@ -130,13 +130,19 @@ def records_of(conv_id, turn, role, text, tools: dict[str, dict]) -> list[tuple]
 
 def records(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
     """``tools``: a tool's name -> the schema of its arguments."""
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [r for m in zip(*(b.column(k).to_pylist() for k in range(4))) for r in records_of(*m, tools)]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), KINDS)],
-                                          [c.split()[0] for c in RECORD.split(", ")])
+    def run(batches):
+        from pyspark import TaskContext
+        at = TaskContext.get().partitionId() << 40
+        for b in batches:
+            rows = [r for m in zip(*(b.column(k).to_pylist() for k in range(4))) for r in records_of(*m, tools)]
+            if rows:
+                columns = [*zip(*rows), range(at, at + len(rows))]
+                at += len(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS)],
+                                                 [c.split()[0] for c in RECORD.split(", ")])
 
     return messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").mapInArrow(
-        per_batch(run), RECORD)
+        run, RECORD)
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -165,25 +171,32 @@ def link(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
     """conv_id, turn, nth, kind, call_id, status, level, errors, json."""
     bound_batches(messages.sparkSession)
     rows = materialize(records(messages, tools), "records")
-    tied = rows.where("kind != 'message' AND call_id IS NOT NULL")
-    place = F.struct("turn", "nth", "json")
+    is_tied = "kind != 'message' AND call_id IS NOT NULL"
+    tied = rows.where(is_tied)
+    # repeated rows differ by their number alone
+    place = F.struct("turn", "nth", F.xxhash64("json").alias("hash"), "row")
     call, result = F.col("kind") == "call", F.col("kind") == "result"
-    by_id = tied.groupBy(F.col("conv_id").alias("c"), F.col("call_id").alias("i")).agg(
-        F.min(F.when(call, place)).alias("call"), F.min(F.when(result, place)).alias("result"),
-        F.min(F.when(call, F.struct("turn", "nth", "json", "refs"))).alias("full"))
-    by_id = materialize(by_id, "by-id")
+    slim = tied.select("conv_id", "call_id", "kind", "refs", place.alias("place"))
+    by_id = materialize(slim.groupBy(F.col("conv_id").alias("c"), F.col("call_id").alias("i")).agg(
+        F.min(F.when(call, F.col("place"))).alias("call"), F.min(F.when(result, F.col("place"))).alias("result"),
+        F.min(F.when(call, F.struct("place", "refs"))).alias("full")), "by-id")
     calls = by_id.where("call IS NOT NULL").select(F.col("c").alias("conv_id"), F.col("i").alias("call_id"),
                                                    F.col("full.refs").alias("refs"))
     rank = levels(calls).withColumnsRenamed({"conv_id": "lc", "call_id": "li"})
     by_id = by_id.drop("full").join(rank, F.col("c").eqNullSafe(F.col("lc")) & (F.col("i") == F.col("li")), "left")
     own = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i"))
     first = F.when(call, F.col("call")).otherwise(F.col("result"))
-    status = (F.when(F.col("kind") == "message", F.lit(None).cast("string"))
-              .when(F.col("call").isNull(), "no_call")
-              .when(~place.eqNullSafe(first), "duplicate")
+    status = (F.when(F.col("call").isNull(), "no_call")
+              .when(F.col("row") != first["row"], "duplicate")
               .when(F.col("result").isNull(), "no_result").otherwise("linked"))
-    return rows.join(by_id, own, "left").select(
+    linked = tied.join(by_id, own, "left").select(
         "conv_id", "turn", "nth", "kind", "call_id", status.alias("status"), "level", "errors", "json")
+    # a call or result without an id is tied to nothing
+    alone = F.when(call, "no_result").when(result, "no_call")
+    rest = rows.where(f"NOT ({is_tied})").select(
+        "conv_id", "turn", "nth", "kind", "call_id", alone.alias("status"), F.lit(None).cast("int").alias("level"),
+        "errors", "json")
+    return linked.unionByName(rest)
 
 
 # ---- the query's messages -----------------------------------------------------

@@ -56,6 +56,8 @@ def test_odd_rows_and_empty_table(spark):
     got = run(spark, rows)
     assert len(got) == len(rows)
     assert [r.status for r in got if r.conv_id is None and r.kind != "message"] == ["linked", "linked"]
+    assert sorted(r.status for r in got if r.turn == 7) == ["duplicate", "no_result"]     # equal rows
+    assert [r.status for r in got if r.turn == 5] == ["no_call"]
     assert run(spark, []) == []
 
 
