@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ TRAIN_DOCS = 1500        # labelled documents a language is learned from, about
 ROUNDS = 2               # of expectation maximisation
 FLOOR = 1e-3             # share of every distribution that is spread over all pieces
 UNKNOWN = 1e-9           # probability of a character that is no piece
-CACHE_WORDS = 300_000
+CACHE_WORDS, CACHE_BYTES = 300_000, 32 << 20
 LONG = 40                # characters; longer words are scored one by one in logarithms
 UNDETERMINED = "und"
 
@@ -155,6 +156,12 @@ class Pieces:
         return out
 
 
+@lru_cache(maxsize=1)
+def pieces_of(path: str) -> Pieces:
+    """One for all tasks that a worker runs."""
+    return Pieces(path)
+
+
 def smoothed(counts: np.ndarray) -> np.ndarray:
     """Piece probabilities from counts; the last row is the unknown character."""
     known = counts[:-1]
@@ -190,13 +197,13 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS) -> tuple[lis
 
     table = materialize(sample.mapInArrow(per_batch(words), "lang string, word string, n long")
                         .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    size = Pieces(path).unknown
+    size = pieces_of(path).unknown
     p = np.vstack([np.full((size, len(langs)), 1 / size), np.full((1, len(langs)), UNKNOWN)])
     for _ in range(ROUNDS):
         sent = spark.sparkContext.broadcast(p)
 
         def expect(frames):
-            pieces, total = Pieces(path), np.zeros((size + 1, len(langs)))
+            pieces, total = pieces_of(path), np.zeros((size + 1, len(langs)))
             for df in frames:
                 of = df["lang"].map({lang: k for k, lang in enumerate(langs)}).to_numpy()
                 for at in range(0, len(df), 20_000):
@@ -217,12 +224,12 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS) -> tuple[lis
 
 class Scorer:
     def __init__(self, path: str, p: np.ndarray):
-        self.pieces, self.p = Pieces(path), p
+        self.pieces, self.p = pieces_of(path), p
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.logs, self.used = np.zeros((1 << 14, self.p.shape[1])), 0
+        self.logs, self.used, self.held = np.zeros((1 << 14, self.p.shape[1])), 0, 0
 
     def learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 20_000):
@@ -240,10 +247,11 @@ class Scorer:
             self.logs[self.used:self.used + len(own)] = logs
             self.index.update(zip(own, range(self.used, self.used + len(own))))
             self.used += len(own)
+            self.held += sum(map(len, own))
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """log P(text | language), texts x languages."""
-        if self.used > CACHE_WORDS:
+        if self.used > CACHE_WORDS or self.held > CACHE_BYTES:
             self.clear()
         split = [words_of(t) for t in texts]
         words = [w for own in split for w in own]

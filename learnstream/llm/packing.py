@@ -26,6 +26,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from learnstream.llm.common import bound_batches, materialize, per_batch, text_g
 
 CAPACITY = 1024
 END_ID = 2
-CACHE_WORDS = 400_000        # words whose ids a worker keeps
+CACHE_CHARS = 4_000_000      # of words whose ids a worker keeps, some 400,000 words
 
 PIECE_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
                 "nth long, task int")
@@ -80,9 +81,8 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.size, self.used = np.zeros(1 << 16, np.uint32), [], 0
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids_of: dict[str, bytes] = {"\n": packed(self.lib.encode("\n").ids)}
+        self.held = 0
 
     def simple(self, t: str) -> bool:
         return (t[0] not in " \n" and t[-1] not in " \n" and "  " not in t and " \n" not in t
@@ -92,71 +92,49 @@ class WordEncoder:
     def learn(self, words: list[str]) -> None:
         """A carriage return in front marks a word that a line feed, no space, precedes.
         All are encoded as one text and cut apart by their bytes."""
-        spaced = [w for w in words if w[0] not in "\r\n"]
+        spaced = [w for w in words if w[0] != "\r"]
         bare = [w for w in words if w[0] == "\r"]
-        if "\n" not in self.index:
-            self.add(["\n"], np.array(self.lib.encode("\n").ids, np.uint32), np.array([1]))
         for own, text, skip in ((spaced, " " + " ".join(spaced), 0),
                                 (bare, "\n" + "\n".join(w[1:] for w in bare), 1)):
             if own:
+                self.held += len(text)
                 ids = self.fast.encode_to_numpy(text, disallowed_special=())
-                ends = np.cumsum(np.fromiter((len(w.encode()) + 1 - skip for w in own), np.int64, len(own)))
-                to = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
-                lens = np.diff(np.concatenate([[0], to]))
-                if skip:
-                    ids, lens = np.delete(ids, to - lens), lens - 1
-                self.add(own, ids, lens)
-
-    def add(self, words: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
-        at = len(self.index)
-        self.index.update(zip(words, range(at, at + len(words))))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lens) - lens])
-        self.lengths = np.concatenate([self.lengths, lens])
-        self.used += len(ids)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids one after the other, ids of each text)."""
-        if len(self.index) > CACHE_WORDS:
+                sizes = np.fromiter((len(w.encode()) + 1 - skip for w in own), np.int64, len(own))
+                to = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(sizes)) + 1
+                raw, ends = ids.astype("<u4").tobytes(), (4 * to).tolist()
+                # behind a line feed, its own id comes first
+                starts = [4 * skip] + [e + 4 * skip for e in ends[:-1]]
+                self.ids_of.update((w, raw[s:e]) for w, s, e in zip(own, starts, ends))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        if self.held > CACHE_CHARS:
             self.clear()
-        words: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        whole: dict[int, list[int]] = {}
-        for k, t in enumerate(texts):
-            if not t:
-                continue
-            if self.simple(t):
-                own = ("\r" + t.replace("\n", " \n \r")).split(" ")
-                counts[k] = len(own)
-                words += own
-            else:
-                whole[k] = self.lib.encode(t, add_special_tokens=False).ids
-        index = self.index
-        if missing := [w for w in set(words) if w not in index]:
-            self.learn(missing)
-        ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        lens = self.lengths[ids]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.flat[np.repeat(self.starts[ids] - (ends - lens), lens) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        sizes = np.diff(bounds)
-        if whole:
-            parts = [np.array(whole[k], np.uint32) if k in whole else flat[bounds[k]:bounds[k + 1]]
-                     for k in range(len(texts))]
-            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-            flat = np.concatenate(parts) if parts else flat
-        return flat, sizes
-
-
-def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int, int]]:
+        split = [("\r" + t.replace("\n", " \n \r")).split(" ") if t and self.simple(t) else None for t in texts]
+        missing = set().union(*filter(None, split)).difference(self.ids_of)
+        if missing:
+            self.learn(list(missing))
+        get = self.ids_of.__getitem__
+        return [b"".join(map(get, own)) if own else
+                packed(self.lib.encode(t, add_special_tokens=False).ids) if t else b""
+                for t, own in zip(texts, split)]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> WordEncoder:
+    """One for all tasks that a worker runs, with the words it has learned."""
+    return WordEncoder(path)
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
     """(piece, start, length, crc32) of one document's ids."""
-    n = len(ids)
-    raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
-    first = n - (-(-n // capacity) - 1) * capacity
-    start, piece, end = 0, 0, first
+    n, raw = len(ids) // 4, memoryview(ids)
+    start, piece = 0, 0
+    end = n - (-(-n // capacity) - 1) * capacity
     while start < n:
         yield piece, start, end - start, zlib.crc32(raw[4 * start:4 * end])
         start, piece, end = end, piece + 1, end + capacity
@@ -171,19 +149,16 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
     def run(batches):
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        enc = WordEncoder(path)
-        seen = np.zeros(capacity + 1, np.int64)
+        enc, stop = encoder(path), packed([end_id])
+        seen = [0] * (capacity + 1)
         for b in batches:
             doc_ids = b.column(0).to_pylist()
             texts = [t or "" for t in b.column(1).to_pylist()]
             for at, group in text_groups(texts):
-                flat, sizes = enc.encode(group)
-                rows, end = [], 0
-                for k, size in enumerate(sizes):
-                    own = np.append(flat[end:end + size], np.uint32(end_id))
-                    end += size
-                    for piece, start, length, crc in cut(own, capacity):
-                        rows.append((doc_ids[at + k], piece, start, length, crc, seen[length], task))
+                rows = []
+                for doc_id, ids in zip(doc_ids[at:], enc.encode(group)):
+                    for piece, start, length, crc in cut(ids + stop, capacity):
+                        rows.append((doc_id, piece, start, length, crc, seen[length], task))
                         seen[length] += 1
                 cols = list(zip(*rows))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]

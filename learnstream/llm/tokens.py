@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -190,6 +191,12 @@ class MergeTable:
         return (sums[ends] - sums[np.concatenate([[0], ends[:-1]])]).tolist()
 
 
+@lru_cache(maxsize=1)
+def merge_table(path: str) -> MergeTable:
+    """One for all tasks that a worker runs, with the words it has counted."""
+    return MergeTable(path)
+
+
 COLUMNS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -198,7 +205,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     bound_batches(docs.sparkSession)
 
     def run(batches):
-        merges = MergeTable(path)
+        merges = merge_table(path)
 
         def count(b: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t or "" for t in b.column(1).to_pylist()]
