@@ -168,31 +168,35 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
 
     blocks = materialize(rows.select("vec_id", "v").mapInPandas(block, "ids binary, x binary, d binary"), "pivot-table")
     asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "v")
-    # consecutive groups of at most QUERY_BLOCK ids, each fetched by its range
-    edges = (asked.select("vec_id").distinct().sort("vec_id").mapInPandas(_every_nth(QUERY_BLOCK // 4), "vec_id long"))
-    starts = sorted(r["vec_id"] for r in edges.collect())
+    # runs of ids in order, put together to blocks of at most QUERY_BLOCK
+    runs = (asked.select("vec_id").distinct().sort("vec_id")
+            .mapInPandas(_runs_of(QUERY_BLOCK // 4), "first long, n long"))
+    starts, room = [], 0
+    for r in sorted(runs.collect()):
+        if r["n"] > room:
+            starts.append(r["first"])
+            room = QUERY_BLOCK
+        room -= r["n"]
     merged = None
-    for at in range(0, len(starts), 4):
-        group = asked.where(F.col("vec_id") >= starts[at])
-        if at + 4 < len(starts):
-            group = group.where(F.col("vec_id") < starts[at + 4])
+    for at, first in enumerate(starts):
+        group = asked.where(F.col("vec_id") >= first)
+        if at + 1 < len(starts):
+            group = group.where(F.col("vec_id") < starts[at + 1])
         own = {r["vec_id"]: r["v"] for r in group.collect()}
         q_ids = np.array(sorted(own), np.int64)
         q = matrix([own[i] for i in q_ids.tolist()], dim)
         part = _answer(blocks, q_ids, q, pivots, pivot_lift, top, sample_ids, sample, k, dim)
-        if len(starts) > 4:
+        if len(starts) > 1:
             part = materialize(part, "answers")
         merged = part if merged is None else merged.union(part)
     return merged if merged is not None else spark.createDataFrame([], OUT)
 
 
-def _every_nth(n: int):
+def _runs_of(n: int):
+    """(first id, how many) of runs of at most ``n`` sorted ids of a task."""
     def run(frames):
-        at = 0
-        for df in frames:
-            first = (-at) % n
-            at += len(df)
-            yield df.iloc[first::n]
+        ids = [i for df in frames for i in df["vec_id"].tolist()]
+        yield pd.DataFrame({"first": ids[::n], "n": [len(ids[k:k + n]) for k in range(0, len(ids), n)]}).astype("int64")
     return run
 
 
