@@ -120,27 +120,31 @@ def _keys_of(b: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """(node, root) for every node of the edges (a, b); root is the smallest
-    node reached. Each round takes the smallest label around a node and then
-    that label's own label, so long chains halve; labels are written to the
-    shared folder, the hub of a star is split by map-side minima."""
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), name)
-    labels = materialize(both.groupBy(F.col("a").alias("node"))
-                         .agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), name)
-    while True:
-        near = (both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node"))
-                .agg(F.min("root").alias("m")))
-        low = labels.join(near, "node").select(
-            "node", F.least("root", "m").alias("low"), F.col("root").alias("was"))
-        jump = labels.select(F.col("node").alias("low"), F.col("root").alias("far"))
-        new = materialize(low.join(jump, "low").select(
-            "node", F.least("low", "far").alias("root"), "was"), name)
-        moved = new.where("root != was").limit(1).count()
-        release(labels.sparkSession, labels)
-        labels = new.drop("was")
-        if not moved:
-            release(labels.sparkSession, both)
-            return labels
+    """(node, root) for every node of the edges (a, b); nodes of a component
+    share a root. Each round hangs every node on its smallest neighbour, takes
+    one step up from there, and contracts the edges, so that only edges between
+    different parts go on; a star is done in two rounds, a chain shrinks at
+    least by half. Tables of a round are written to the shared folder."""
+    spark = edges.sparkSession
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    left = materialize(edges.select(low, high).where("a != b").distinct(), name)
+    roots = None
+    while roots is None or left.limit(1).count():
+        both = left.union(left.select(F.col("b"), F.col("a")))
+        up = materialize(both.groupBy(F.col("a").alias("node"))
+                         .agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("up")), name)
+        far = up.select(F.col("node").alias("up"), F.col("up").alias("root"))
+        up = materialize(up.join(far, "up").select("node", "root"), name)
+        step = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        moved = up if roots is None else materialize(
+            roots.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root")), name)
+        a = up.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+        b = up.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        rest = left.join(a, "a").join(b, "b").where("ra != rb")
+        rest = materialize(rest.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), name)
+        release(spark, left)
+        roots, left = moved, rest
+    return roots
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -226,30 +230,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     regs = sk.select(F.col("row").alias("node"), "registers").join(nodes.select("node"), "node")
     bands = materialize(regs.mapInArrow(per_batch(_keys_of), "key long, node long")
                         .withColumn("n", F.lit(1)), "bands")
-    shared = bands.groupBy("key").agg(F.count("n").alias("n"), F.min("node").alias("pivot")).where("n > 1")
-    member = materialize(bands.join(shared.drop("n"), "key").select("key", "node", "pivot"), "members")
+    # Aggregates that are joined back to their own rows are written first: the
+    # join then deals both sides itself and can split the rows of a hot key.
+    shared = materialize(bands.groupBy("key").agg(F.count("n").alias("n"), F.min("node").alias("pivot"))
+                         .where("n > 1").drop("n"), "shared")
+    member = materialize(bands.join(shared, "key").select("key", "node", "pivot"), "members")
     release(sk.sparkSession, bands)
-    star = member.where("node != pivot").select("pivot", "node").distinct()
+    star = materialize(member.where("node != pivot").select("pivot", "node").distinct(), "star")
     texts = sk.select(F.col("row").alias("node"), "packed")
     # two steps, so that only the candidates' texts are dealt again
-    wanted = materialize(texts.join(member.select("node").distinct(), "node"), "texts")
+    near = materialize(member.select("node").distinct(), "near")
+    wanted = materialize(texts.join(near, "node"), "texts")
 
-    chunks = star.groupBy("pivot").agg(F.ceil(F.count("node") / CHUNK).alias("chunks"))
-    dealt = star.join(chunks, "pivot").select(
-        "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node")
-    dealt = materialize(dealt, "star")
+    chunks = materialize(star.groupBy("pivot").agg(F.ceil(F.count("node") / CHUNK).alias("chunks")), "chunks")
+    dealt = materialize(star.join(chunks, "pivot").select(
+        "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node"), "dealt")
     rows = dealt.union(dealt.select("pivot", "chunk", F.col("pivot").alias("node")).distinct())
     links = materialize(rows.join(wanted, "node").groupBy("pivot", "chunk")
                         .applyInPandas(_against_pivot, "a long, b long"), "links")
     root = components(links, "components")
 
-    labelled = member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    left = materialize(labelled.join(mixed.select("key"), "key").select("pivot", "node", "root").distinct(), "mixed")
+    labelled = materialize(member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
+    mixed = materialize(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                        .where("lo != hi").select("key"), "mixed-keys")
+    left = materialize(labelled.join(mixed, "key").select("pivot", "node", "root").distinct(), "mixed")
     group = components(left.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")),
                        "groups").select("node", F.col("root").alias("group"))
     own = materialize(left.select("node", "root").distinct().join(group, "node"), "own")
-    size = own.groupBy("group").agg(F.ceil(F.count("node") / BLOCK).cast("int").alias("blocks"))
+    size = materialize(own.groupBy("group").agg(F.ceil(F.count("node") / BLOCK).cast("int").alias("blocks")), "sizes")
     own = own.join(size, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     own = own.select("*", other.alias("other")).select(
@@ -259,9 +267,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     final = components(links.union(more), "final")
 
     ids = sk.select("doc_id", "n_shingles", "row", "fingerprint")
-    placed = (ids.join(nodes, "fingerprint", "left").join(final, "node", "left")
-              .select("doc_id", "n_shingles", F.coalesce("root", "node", "row").alias("root")))
-    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    placed = materialize(ids.join(nodes, "fingerprint", "left").join(final, "node", "left")
+                         .select("doc_id", "n_shingles", F.coalesce("root", "node", "row").alias("root")), "placed")
+    least = materialize(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     return placed.join(least, "root").select(
         "doc_id", "n_shingles", "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
