@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnstream.llm import decontam, langid, linededup, neardup, packing
-from learnstream.llm.common import scratch_path, table
+from learnstream.llm.common import materialize, scratch_path, table
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,16 +38,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose ids are not in ``gone``. The ids are written first,
+    so Spark plans the join by their size and deals no texts if they are few."""
+    ids = materialize(gone.select("doc_id").distinct(), "gone")
+    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: that of the smallest id."""
-    gone = neardup.near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, neardup.near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold an item of the benchmark."""
-    found = decontam.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, decontam.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
