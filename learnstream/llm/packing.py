@@ -26,7 +26,6 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -120,12 +119,6 @@ class WordEncoder:
                 for t, own in zip(texts, split)]
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> WordEncoder:
-    """One for all tasks that a worker runs, with the words it has learned."""
-    return WordEncoder(path)
-
-
 def packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
@@ -149,7 +142,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
     def run(batches):
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        enc, stop = encoder(path), packed([end_id])
+        enc, stop = WordEncoder(path), packed([end_id])
         seen = [0] * (capacity + 1)
         for b in batches:
             doc_ids = b.column(0).to_pylist()
