@@ -17,5 +17,10 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="session")
+def small():
+    return SMALL
+
+
 def lines_df(spark, lines):
     return spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "pos bigint, value string")
