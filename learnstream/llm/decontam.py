@@ -2,13 +2,12 @@
 
 1. Every item's word 3-grams are seeds. One pass over the documents finds
    seeds; those close together make a passage, kept with the words around it.
-2. A seed weighs ln(1 + documents / passages that hold it), so rare seeds
-   count and common ones hardly do. Passages and items meet by a join on
-   seeds; a pair goes on if at least two different seeds with
-   ``SEED_SHARE`` of the item's weight match.
+2. Passages and items meet by a join on seeds; a pair goes on if at least two
+   different seeds match, however common they are.
 3. Smith-Waterman alignment of the item's words with the passage scores
    edited copies: the share of the score of an exact copy. From ``LEAK`` on the
-   pair is reported.
+   pair is reported. A pair with too few words in common to get there, whatever
+   their order, is not aligned.
 
 Seeds of at most ``SLICE_SEEDS`` are sent to the tasks at once; a larger
 benchmark is taken in slices, one pass each. Words are lower-cased runs of
@@ -22,6 +21,8 @@ pair, at their best score. Ties are kept. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +33,6 @@ from learnstream.llm.shingles import ngram_hashes, word_hashes
 
 SEED = 3
 MIN_WORDS = 4
-SEED_SHARE = 0.1
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAK = 0.4
 SLICE_SEEDS = 2_000_000      # 16 MB
@@ -155,8 +155,11 @@ FOUND = "doc_id long, item_id long, score double, n_equal long, n_words long, st
 def _aligned(b: pa.RecordBatch) -> pa.RecordBatch | None:
     rows = []
     for r in b.to_pylist():
-        item = r["item"].split(" ")
-        score, equal, first, stop = align(item, r["window"].split(" "))
+        item, window = r["item"].split(" "), r["window"].split(" ")
+        # every equal word is a MATCH at best
+        if (Counter(item) & Counter(window)).total() / len(item) < LEAK:
+            continue
+        score, equal, first, stop = align(item, window)
         share = score / (MATCH * len(item))
         if share >= LEAK:
             rows.append((r["doc_id"], r["item_id"], share, equal, len(item), r["start"] + first, r["start"] + stop))
@@ -174,11 +177,10 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     bench = materialize(item_seeds(items), "items")
     facts = bench.agg(F.sum(F.size("seeds")).alias("seeds"), F.max("n_words").alias("longest")).first()
     slices = -(-(facts["seeds"] or 0) // SLICE_SEEDS)
-    n_docs = docs.count() if slices else 0
     found = None
     for k in range(slices):
         own = bench.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(slices)) == k)
-        part = _slice(docs, own, n_docs, facts["longest"])
+        part = _slice(docs, own, facts["longest"])
         found = part if found is None else found.union(part)
     if found is None:
         return spark.createDataFrame([], FOUND)
@@ -187,22 +189,14 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         "doc_id", "item_id", "b.score", "b.n_equal", "b.n_words", (-F.col("b.col4")).alias("start"), "b.stop")
 
 
-def _slice(docs: DataFrame, bench: DataFrame, n_docs: int, longest: int) -> DataFrame:
+def _slice(docs: DataFrame, bench: DataFrame, longest: int) -> DataFrame:
     pairs = bench.select("item_id", "item", F.explode("seeds").alias("seed"))
     # SLICE_SEEDS at most, in expectation
     seeds = np.array([r["seed"] for r in pairs.select("seed").distinct().toLocalIterator()], np.int64)
     own = materialize(passages(docs, np.sort(seeds.view(np.uint64)), longest), "passages")
-    hits = own.select("passage", F.explode("seeds").alias("seed"), F.col("window").isNotNull().alias("whole"))
-    held = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
-    weighed = pairs.join(held, "seed", "left").withColumn(
-        "weight", F.log1p(F.lit(float(n_docs)) / F.coalesce("n", F.lit(1))))
-    weighed = materialize(weighed.drop("n"), "weights")
-    total = weighed.groupBy("item_id", "item").agg(F.sum("weight").alias("total"))
-    near = (hits.where("whole").join(weighed, "seed").groupBy("passage", "item_id", "item")
-            .agg(F.sum("weight").alias("got"), F.count(F.lit(1)).alias("n")).where("n > 1")
-            .join(total.withColumnsRenamed({"item_id": "i", "item": "t"}),
-                  F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item") == F.col("t")))
-            .where(F.col("got") >= SEED_SHARE * F.col("total")))
+    hits = own.where("window IS NOT NULL").select("passage", F.explode("seeds").alias("seed"))
+    near = (hits.join(pairs, "seed").groupBy("passage", "item_id", "item")
+            .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     windows = own.where("window IS NOT NULL").select("passage", "doc_id", "start", "window")
     return (near.select("passage", "item_id", "item").join(windows, "passage")
             .mapInArrow(per_batch(_aligned), FOUND))

@@ -82,3 +82,28 @@ def test_odd_rows_and_empty_tables(spark):
     assert sorted((r.doc_id or 0, r.item_id or 0) for r in rows) == [(0, 0), (9, 4)]
     assert decontam.leaks(docs, items_of(spark, [])).count() == 0
     assert decontam.leaks(spark.createDataFrame([], EMPTY), items).count() == 0
+
+
+@pytest.mark.parametrize("n_docs", [30, 900])
+def test_edited_copies_in_a_third_of_all_documents_equal_plain_alignment(spark, n_docs):
+    """Few seeds of the items survive, in many documents; whether a pair is
+    reported depends on its alignment alone, not on the size of the corpus."""
+    items = [(1, " ".join(f"p{k}" for k in range(15))), (2, " ".join(f"q{k}" for k in range(40))),
+             (3, " ".join(f"r{k}" for k in range(40)))]
+    fourth = " ".join("new" if k % 4 == 3 else f"p{k}" for k in range(15))
+    # one run of four words, two seeds, then two words of every three
+    two_seeds = " ".join("new" if k > 3 and k % 3 == 1 else f"q{k}" for k in range(40))
+    half = " ".join(f"r{k}" for k in range(20))
+    less = " ".join(f"r{k}" for k in range(12))
+    docs = [(k, f"a{k} b{k} " + (f"{fourth} x{k} {two_seeds} y{k} {half}" if k % 3 == 0 else less) + f" c{k}")
+            for k in range(n_docs)]
+    rows = decontam.leaks(docs_of(spark, docs), items_of(spark, items)).collect()
+    want = {}
+    for k, text in docs[:6]:
+        for i, item in items:
+            score = plain_alignment(item.split(), text.split()) / (decontam.MATCH * len(item.split()))
+            if score >= decontam.LEAK:
+                want[k, i] = score
+    assert len(want) == 6
+    assert {(r.doc_id, r.item_id): r.score for r in rows} == {
+        (k, i): want[k % 6, i] for k, _ in docs for i, _ in items if (k % 6, i) in want}
