@@ -1,8 +1,8 @@
 """Operator 3: near-duplicate documents by HyperMinHash sketches.
 
 A document's set is that of its distinct word shingles. Documents whose sets
-have ``100 * intersection >= 85 * union`` are linked; a document's component
-is the smallest id it reaches over links.
+have ``100 * intersection >= 85 * union`` are linked (the pipeline: 80); a
+document's component is the smallest id it reaches over links.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ from learnstream.llm.shingles import mix, shingle_set
 
 SHINGLE = 5
 SHARE, OF = 85, 100          # linked: OF * intersection >= SHARE * union
-REGISTERS, ROWS = 256, 6     # 42 bands of 6 registers; 4 registers are only estimated with
-BANDS = REGISTERS // ROWS
+REGISTERS, ROWS = 256, 6     # 42 bands of 6 registers; those left over are only estimated with
 MANTISSA = 10                # bits kept behind the leading one of a bucket's minimum
 PROBES = 4096
 
@@ -64,11 +63,12 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band and row of ``registers``."""
-    part = regs[:, :BANDS * ROWS].reshape(len(regs), BANDS, ROWS).astype(np.uint64)
-    key = np.arange(BANDS, dtype=np.uint64)[None, :] + np.zeros((len(regs), 1), np.uint64)
-    for k in range(ROWS):
+def band_keys(regs: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` registers and row of ``registers``."""
+    bands = REGISTERS // rows
+    part = regs[:, :bands * rows].reshape(len(regs), bands, rows).astype(np.uint64)
+    key = np.arange(bands, dtype=np.uint64)[None, :] + np.zeros((len(regs), 1), np.uint64)
+    for k in range(rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, :, k])
     return key
 
@@ -80,7 +80,11 @@ CHUNK = 128          # documents compared with a pivot in one group
 BLOCK = 512          # documents of one block of a group that is compared in blocks
 #: Two different minima of a bucket share 10 mantissa bits and a zero count so often.
 COLLISION = 1 / 3 / (1 << MANTISSA)
-ESTIMATE_MIN = SHARE / OF - SLACK * (SHARE / OF * (1 - SHARE / OF) / REGISTERS) ** 0.5
+
+
+def estimate_min(share: int) -> float:
+    return share / OF - SLACK * (share / OF * (1 - share / OF) / REGISTERS) ** 0.5
+
 
 SKETCH = "row long, doc_id long, n_shingles long, fingerprint binary, registers binary, packed binary"
 
@@ -112,11 +116,12 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
 
 
-def _keys_of(b: pa.RecordBatch) -> pa.RecordBatch:
+def _keys_of(b: pa.RecordBatch, rows: int) -> pa.RecordBatch:
     regs = np.frombuffer(b"".join(b.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    keys = band_keys(regs, rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(band_keys(regs).view(np.int64).ravel()),
-         pa.array(np.repeat(b.column("node").to_numpy(), BANDS))], ["key", "node"])
+        [pa.array(keys.view(np.int64).ravel()),
+         pa.array(np.repeat(b.column("node").to_numpy(), keys.shape[1]))], ["key", "node"])
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -147,12 +152,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return roots
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
+def similar(a: np.ndarray, b: np.ndarray, share: int) -> bool:
     """The exact test on two sorted sets."""
-    if OF * min(len(a), len(b)) < SHARE * max(len(a), len(b)):
+    if OF * min(len(a), len(b)) < share * max(len(a), len(b)):
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return OF * both >= SHARE * (len(a) + len(b) - both)
+    return OF * both >= share * (len(a) + len(b) - both)
 
 
 def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -167,17 +172,17 @@ def unpacked_sets(packed) -> list[np.ndarray]:
     return [shingle_set(zstd.decompress(p).decode("utf-8", "surrogatepass"), SHINGLE) for p in packed]
 
 
-def _against_pivot(pdf: pd.DataFrame) -> pd.DataFrame:
+def _against_pivot(pdf: pd.DataFrame, share: int) -> pd.DataFrame:
     sets = unpacked_sets(pdf["packed"])
     nodes = pdf["node"].to_numpy()
     at = int(np.flatnonzero(nodes == pdf["pivot"].iloc[0])[0])
     regs = registers(sets)
-    near = estimate(regs[at], regs) >= ESTIMATE_MIN
-    hit = [k for k in np.flatnonzero(near) if k != at and similar(sets[at], sets[k])]
+    near = estimate(regs[at], regs) >= estimate_min(share)
+    hit = [k for k in np.flatnonzero(near) if k != at and similar(sets[at], sets[k], share)]
     return pd.DataFrame({"a": nodes[at], "b": nodes[hit]})
 
 
-def _in_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+def _in_blocks(pdf: pd.DataFrame, share: int) -> pd.DataFrame:
     """Links of two blocks of a group (or within one) that join components
     not yet joined here."""
     nodes, roots, side = (pdf[c].to_numpy() for c in ("node", "root", "side"))
@@ -197,16 +202,17 @@ def _in_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
         rest = others if len(others) else left[k + 1:]
         rest = rest[roots[rest] != roots[at]]
         if len(rest):
-            for j in rest[estimate(regs[at], regs[rest]) >= ESTIMATE_MIN]:
+            for j in rest[estimate(regs[at], regs[rest]) >= estimate_min(share)]:
                 a, b = find(roots[at]), find(roots[j])
-                if a != b and similar(sets[at], sets[j]):
+                if a != b and similar(sets[at], sets[j], share):
                     parent[a] = b
                     out.append((nodes[at], nodes[j]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per document.
+def near_duplicates(docs: DataFrame, share: int = SHARE, rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per document. Documents
+    are linked from ``share`` of 100 on; bands have ``rows`` registers.
 
     1. sketch every document and write the sketches; equal sets are one node;
     2. nodes that share the key of a band are candidates: every bucket's
@@ -217,8 +223,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     4. components over all links, carried back to the documents.
 
     A register pair agrees with the probability of the sets' similarity, so
-    at 0.85 a pair shares none of 42 bands of 6 with probability 2e-9, and an
-    estimate is 6 standard errors too low with 1e-9. Every link is confirmed
+    at 0.85 a pair shares none of 42 bands of 6 with probability 2e-9 (at 0.8,
+    none of 51 bands of 5), and an estimate is 6 standard errors too low with 1e-9. Every link is confirmed
     on the full sets.
 
     Nulls: a null text, and one without words, has an empty set and no links;
@@ -228,7 +234,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = sk.where("n_shingles > 0").groupBy("fingerprint").agg(F.min("row").alias("node"))
     nodes = materialize(nodes, "nodes")
     regs = sk.select(F.col("row").alias("node"), "registers").join(nodes.select("node"), "node")
-    bands = materialize(regs.mapInArrow(per_batch(_keys_of), "key long, node long")
+    bands = materialize(regs.mapInArrow(per_batch(lambda b: _keys_of(b, rows)), "key long, node long")
                         .withColumn("n", F.lit(1)), "bands")
     # Aggregates that are joined back to their own rows are written first: the
     # join then deals both sides itself and can split the rows of a hot key.
@@ -245,9 +251,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     chunks = materialize(star.groupBy("pivot").agg(F.ceil(F.count("node") / CHUNK).alias("chunks")), "chunks")
     dealt = materialize(star.join(chunks, "pivot").select(
         "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node"), "dealt")
-    rows = dealt.union(dealt.select("pivot", "chunk", F.col("pivot").alias("node")).distinct())
-    links = materialize(rows.join(wanted, "node").groupBy("pivot", "chunk")
-                        .applyInPandas(_against_pivot, "a long, b long"), "links")
+    each = dealt.union(dealt.select("pivot", "chunk", F.col("pivot").alias("node")).distinct())
+    links = materialize(each.join(wanted, "node").groupBy("pivot", "chunk")
+                        .applyInPandas(lambda pdf: _against_pivot(pdf, share), "a long, b long"), "links")
     root = components(links, "components")
 
     labelled = materialize(member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
@@ -263,7 +269,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = own.select("*", other.alias("other")).select(
         "group", "node", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"))
-    more = own.join(wanted, "node").groupBy("group", "i", "j").applyInPandas(_in_blocks, "a long, b long")
+    more = own.join(wanted, "node").groupBy("group", "i", "j").applyInPandas(
+        lambda pdf: _in_blocks(pdf, share), "a long, b long")
     final = components(links.union(more), "final")
 
     ids = sk.select("doc_id", "n_shingles", "row", "fingerprint")

@@ -56,3 +56,15 @@ def test_extra_columns_pass_through(spark, small):
         assert docs.columns[-len(names):] == names
         assert docs.where(" OR ".join(f"{c} != concat('{c}', doc_id)" for c in names)).count() == 0
     assert 0 < docs.count() <= ids
+
+
+def test_near_copies_from_80_of_100_on_go(spark):
+    base = [f"b{k}" for k in range(204)]                     # 200 shingles
+    # j words more leave 200 of 200 + j shingles
+    rows = [(10 * g + k, " ".join(f"{w}g{g}" for w in base + [f"x{k}{j}" for j in range(n)]))
+            for g in range(40) for k, n in enumerate([0, 45 if g % 2 else 50])]
+    rows += [(10 * g, " ".join(f"{w}g{g}" for w in base)) for g in range(40, 50)]
+    rows += [(10 * g + 1, " ".join(f"{w}g{g}" for w in base + [f"x{j}" for j in range(51)])) for g in range(40, 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = sorted(r.doc_id for r in pipeline.near_duplicates(spark, docs, "").collect())
+    assert ids == sorted([10 * g for g in range(50)] + [10 * g + 1 for g in range(40, 50)])
