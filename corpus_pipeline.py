@@ -7,7 +7,7 @@ all that its predecessor kept; all but the last return the columns of
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnstream.llm import decontam, langid, linededup, neardup, packing
@@ -40,21 +40,33 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose ids are not in ``gone``. The ids are written first,
-    so Spark plans the join by their size and deals no texts if they are few."""
-    ids = materialize(gone.select("doc_id").distinct(), "gone")
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    """The documents whose id and text (as ``mark``) are not in ``gone``. The ids
+    are written first, so Spark plans the join by their size and deals no texts
+    if they are few."""
+    ids = materialize(gone.select("doc_id", "mark").distinct(), "gone")
+    return docs.join(ids, same(docs, ids), "left_anti")
+
+
+def same(docs: DataFrame, ids: DataFrame) -> Column:
+    return docs["doc_id"].cast("long").eqNullSafe(ids["doc_id"]) & (F.xxhash64(docs["text"]) == ids["mark"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: that of the smallest id."""
-    found = neardup.near_duplicates(docs.select("doc_id", "text"), SHARE, ROWS)
-    return without(docs, found.where(~F.col("kept")))
+    """Keep one row of each group: one of the smallest id."""
+    found = materialize(neardup.documents(docs.select("doc_id", "text"), SHARE, ROWS)
+                        .where(~F.col("kept") | (F.col("n_rows") > 1)), "found")
+    rest = without(docs, found)
+    again = materialize(found.where("kept").select("doc_id", "mark"), "again")
+    if not again.limit(1).count():
+        return rest
+    # rows that repeat an id and a text
+    one = docs.join(again, same(docs, again), "left_semi").withColumn("_mark", F.xxhash64("text"))
+    return rest.union(one.dropDuplicates(["doc_id", "_mark"]).select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold an item of the benchmark."""
-    return without(docs, decontam.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
+    return without(docs, decontam.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"), by_text=True))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

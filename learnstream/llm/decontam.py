@@ -76,7 +76,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
         per_batch(run), "item_id long, item string, n_words long, seeds array<long>")
 
 
-PASSAGE = "passage long, doc_id long, start long, seeds array<long>, window string"
+PASSAGE = "passage long, doc_id long, mark long, start long, seeds array<long>, window string"
 
 
 def passages(docs: DataFrame, seeds: np.ndarray, reach: int) -> DataFrame:
@@ -89,7 +89,7 @@ def passages(docs: DataFrame, seeds: np.ndarray, reach: int) -> DataFrame:
         at = TaskContext.get().partitionId() << 40
         own = Seeds(sent.value)
         for b in batches:
-            ids, rows = b.column(0).to_pylist(), []
+            ids, marks, rows = b.column(0).to_pylist(), b.column(2).to_pylist(), []
             for base, group in text_groups([t or "" for t in b.column(1).to_pylist()]):
                 split = [words(t) for t in group]
                 ends = np.cumsum([len(w) for w in split])
@@ -112,14 +112,15 @@ def passages(docs: DataFrame, seeds: np.ndarray, reach: int) -> DataFrame:
                     if len(found) > 1:
                         stop = int(hits[hi - 1]) - first + SEED + reach
                         window = b" ".join(split[k][start:stop]).decode("utf-8", "replace")
-                    rows.append((at, ids[base + k], start, found, window))
+                    rows.append((at, ids[base + k], marks[base + k], start, found, window))
                     at += 1
             if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string()]
+                kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                                  [c.split()[0] for c in PASSAGE.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PASSAGE)
+    own = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
+    return own.mapInArrow(run, PASSAGE)
 
 
 def align(item: list[str], window: list[str]) -> tuple[int, int, int, int]:
@@ -149,7 +150,7 @@ def align(item: list[str], window: list[str]) -> tuple[int, int, int, int]:
     return score, int(equal), j, int(end)
 
 
-FOUND = "doc_id long, item_id long, score double, n_equal long, n_words long, start long, stop long"
+FOUND = "doc_id long, mark long, item_id long, score double, n_equal long, n_words long, start long, stop long"
 
 
 def _aligned(b: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -162,16 +163,19 @@ def _aligned(b: pa.RecordBatch) -> pa.RecordBatch | None:
         score, equal, first, stop = align(item, window)
         share = score / (MATCH * len(item))
         if share >= LEAK:
-            rows.append((r["doc_id"], r["item_id"], share, equal, len(item), r["start"] + first, r["start"] + stop))
+            rows.append((r["doc_id"], r["mark"], r["item_id"], share, equal, len(item), r["start"] + first,
+                         r["start"] + stop))
     if rows:
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                           [c.split()[0] for c in FOUND.split(", ")])
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, by_text: bool = False) -> DataFrame:
     """doc_id, item_id, score (1: an exact copy), n_equal, n_words (of the
-    item), start and stop (words of the document) of every leaked item."""
+    item), start and stop (words of the document) of every leaked item. With
+    ``by_text`` a document is an id and a text, and a mark (xxhash64 of the text)
+    comes behind doc_id."""
     spark = docs.sparkSession
     bound_batches(spark)
     bench = materialize(item_seeds(items), "items")
@@ -183,10 +187,11 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         part = _slice(docs, own, facts["longest"])
         found = part if found is None else found.union(part)
     if found is None:
-        return spark.createDataFrame([], FOUND)
+        found = spark.createDataFrame([], FOUND)
+    key = ["doc_id", "mark", "item_id"] if by_text else ["doc_id", "item_id"]
     best = F.max(F.struct("score", "n_equal", "n_words", -F.col("start"), "stop")).alias("b")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", "b.score", "b.n_equal", "b.n_words", (-F.col("b.col4")).alias("start"), "b.stop")
+    return found.groupBy(*key).agg(best).select(
+        *key, "b.score", "b.n_equal", "b.n_words", (-F.col("b.col4")).alias("start"), "b.stop")
 
 
 def _slice(docs: DataFrame, bench: DataFrame, longest: int) -> DataFrame:
@@ -197,6 +202,6 @@ def _slice(docs: DataFrame, bench: DataFrame, longest: int) -> DataFrame:
     hits = own.where("window IS NOT NULL").select("passage", F.explode("seeds").alias("seed"))
     near = (hits.join(pairs, "seed").groupBy("passage", "item_id", "item")
             .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    windows = own.where("window IS NOT NULL").select("passage", "doc_id", "start", "window")
+    windows = own.where("window IS NOT NULL").select("passage", "doc_id", "mark", "start", "window")
     return (near.select("passage", "item_id", "item").join(windows, "passage")
             .mapInArrow(per_batch(_aligned), FOUND))

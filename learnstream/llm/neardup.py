@@ -86,11 +86,11 @@ def estimate_min(share: int) -> float:
     return share / OF - SLACK * (share / OF * (1 - share / OF) / REGISTERS) ** 0.5
 
 
-SKETCH = "row long, doc_id long, n_shingles long, fingerprint binary, registers binary, packed binary"
+SKETCH = "row long, doc_id long, mark long, n_shingles long, fingerprint binary, registers binary, packed binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document: set size, a 128-bit fingerprint of the whole set,
+    """One row per document: a hash of the text (mark), set size, a 128-bit fingerprint of the whole set,
     the registers and the compressed text, under a row number of its own."""
     bound_batches(docs.sparkSession)
 
@@ -105,15 +105,16 @@ def sketches(docs: DataFrame) -> DataFrame:
                 own = iter(regs)
                 k = len(group)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(range(row, row + k), pa.int64()), b.column(0).slice(at, k),
+                    pa.array(range(row, row + k), pa.int64()), b.column(0).slice(at, k), b.column(2).slice(at, k),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([next(own).tobytes() if len(s) else None for s in sets], pa.binary()),
                     pa.array([zstd.compress(t.encode("utf-8", "surrogatepass")) for t in group], pa.binary())],
-                    ["row", "doc_id", "n_shingles", "fingerprint", "registers", "packed"])
+                    ["row", "doc_id", "mark", "n_shingles", "fingerprint", "registers", "packed"])
                 row += k
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
+    own = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
+    return own.mapInArrow(run, SKETCH)
 
 
 def _keys_of(b: pa.RecordBatch, rows: int) -> pa.RecordBatch:
@@ -230,6 +231,27 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, rows: int = ROWS) -> Da
     Nulls: a null text, and one without words, has an empty set and no links;
     a null id is never the smallest and is kept only if alone without one.
     Repeated rows are equal sets. Extra columns are ignored."""
+    placed = _placed(docs, share, rows)
+    least = materialize(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
+    return placed.join(least, "root").select(
+        "doc_id", "n_shingles", "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def documents(docs: DataFrame, share: int = SHARE, rows: int = ROWS) -> DataFrame:
+    """doc_id, mark (xxhash64 of the text), n_rows, kept: one row per id and
+    text, of which one a component is kept, that of the smallest id (a null id
+    is the largest), then of the smallest mark."""
+    own = materialize(_placed(docs, share, rows).groupBy("doc_id", "mark").agg(
+        F.min("root").alias("root"), F.count(F.lit(1)).alias("n_rows")), "documents")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    least = materialize(own.groupBy("root").agg(first), "least")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    return own.join(least, "root").select("doc_id", "mark", "n_rows", kept.alias("kept"))
+
+
+def _placed(docs: DataFrame, share: int, rows: int) -> DataFrame:
+    """doc_id, mark, n_shingles, root: documents of a component share a root."""
     sk = materialize(sketches(docs), "sketch")
     nodes = sk.where("n_shingles > 0").groupBy("fingerprint").agg(F.min("row").alias("node"))
     nodes = materialize(nodes, "nodes")
@@ -273,10 +295,7 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, rows: int = ROWS) -> Da
         lambda pdf: _in_blocks(pdf, share), "a long, b long")
     final = components(links.union(more), "final")
 
-    ids = sk.select("doc_id", "n_shingles", "row", "fingerprint")
-    placed = materialize(ids.join(nodes, "fingerprint", "left").join(final, "node", "left")
-                         .select("doc_id", "n_shingles", F.coalesce("root", "node", "row").alias("root")), "placed")
-    least = materialize(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    return placed.join(least, "root").select(
-        "doc_id", "n_shingles", "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    ids = sk.select("doc_id", "mark", "n_shingles", "row", "fingerprint")
+    placed = ids.join(nodes, "fingerprint", "left").join(final, "node", "left")
+    return materialize(placed.select("doc_id", "mark", "n_shingles", F.coalesce("root", "node", "row").alias("root")),
+                       "placed")

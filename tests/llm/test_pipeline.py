@@ -68,3 +68,18 @@ def test_near_copies_from_80_of_100_on_go(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     ids = sorted(r.doc_id for r in pipeline.near_duplicates(spark, docs, "").collect())
     assert ids == sorted([10 * g for g in range(50)] + [10 * g + 1 for g in range(40, 50)])
+
+
+def test_rows_go_by_id_and_text(spark, tmp_path):
+    """Null ids, repeated rows, and an id with different texts."""
+    a, b, c, d, e, leak = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcdel")
+    rows = [(None, a), (1, a), (None, b), (None, c), (None, c), (2, d), (2, d), (3, d), (3, e), (4, ""), (4, ""),
+            (5, None), (5, None), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in pipeline.near_duplicates(spark, docs, "").collect()]
+    want = [(1, a), (None, b), (None, c), (2, d), (3, e), (4, ""), (5, None), (None, None)]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, leak), (None, a), (6, leak), (6, b), (7, None)], docs.schema)
+    kept = [tuple(r) for r in pipeline.decontaminate(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept, key=str) == sorted([(None, a), (6, b), (7, None)], key=str)
