@@ -37,7 +37,10 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from learnstream.llm.common import bound_batches, materialize, per_batch, running_total
 
 MIN_WORDS = 10
-DOC = ["doc_id", "mark"]     # mark: hash of the text, so that a repeated id does no harm
+#: known: whether there is an id (doc_id is 0 without), so that joins keep such
+#: documents and they sort first; mark: hash of the text, so that a repeated id
+#: does no harm.
+DOC = ["known", "doc_id", "mark"]
 
 
 def signed(x: int) -> int:
@@ -68,8 +71,9 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
                    pa.array(hashes, pa.int64()), pa.array(np.concatenate(aheads)), pa.array(np.concatenate(backs))]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "place", "line", "ahead", "back"])
 
-    return (docs.where(F.col("text").isNotNull()).select("doc_id", "text")
+    rows = (docs.where(F.col("text").isNotNull()).select("doc_id", "text")
             .mapInArrow(per_batch(run), "doc_id long, mark long, place long, line long, ahead long, back long"))
+    return rows.withColumns({"known": F.col("doc_id").isNotNull(), "doc_id": F.coalesce("doc_id", F.lit(0))})
 
 
 def ranked(rows: DataFrame, key: list[str], name: str) -> DataFrame:
@@ -114,7 +118,9 @@ def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                                                 F.count(F.lit(1)).alias("times"))
                         .where("times > 1").drop("times"), "first")
     return (found.join(first, key).where(~F.struct(*DOC, "place").eqNullSafe(F.col("first")))
-            .select(*DOC, "place", (F.col("place") + F.col("n")).alias("end"), F.col("first.doc_id").alias("source")))
+            .select(F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "mark", "place",
+                    (F.col("place") + F.col("n")).alias("end"),
+                    F.when(F.col("first.known"), F.col("first.doc_id")).alias("source")))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS,
@@ -124,7 +130,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS,
     deleted intervals of lines, the ids of the documents whose lines they repeat."""
     bound_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in names]
-    cut = (copies(docs, min_words).groupBy(*DOC)
+    cut = (copies(docs, min_words).groupBy("doc_id", "mark")
            .agg(F.collect_set(F.struct("place", "end")).alias("_lines"), F.collect_set("source").alias("_sources"))
            .withColumnsRenamed({"doc_id": "_id", "mark": "_mark"}))
     fields = [docs.schema[c] for c in kept]

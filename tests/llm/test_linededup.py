@@ -72,3 +72,11 @@ def test_odd_rows_and_empty_table(spark):
     texts = sorted(r.text for r in linededup.dedup_lines(docs_of(spark, twice)).collect())
     assert texts == ["", "word " * 12, "word " * 12]                 # equal rows are one document
     assert linededup.dedup_lines(spark.createDataFrame([], EMPTY)).count() == 0
+
+
+def test_a_document_without_id_comes_first(spark):
+    run, other = ("\n".join(f"{x}{j} b c d e f" for j in range(3)) for x in "ab")
+    rows = [(None, run + "\nx"), (0, run + "\ny"), (-7, "z\n" + run), (None, "p\n" + other + "\nq\n" + other)]
+    got = {r.text: (r.doc_id, r.n_deleted, r.sources) for r in linededup.dedup_lines(docs_of(spark, rows)).selectExpr(
+        "text", "doc_id", "size(deleted) AS n_deleted", "sources").collect()}
+    assert got == {run + "\nx": (None, 0, []), "y": (0, 1, []), "z": (-7, 1, []), "p\n" + other + "\nq": (None, 1, [])}
