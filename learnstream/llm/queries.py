@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnstream.llm import chat, decontam, langid, linededup, neardup, packing, pii, tokens, topk, warc
+from learnstream.llm import chat, decontam, langid, linededup, neardup, packing, pii, runs, tokens, topk, warc
 from learnstream.llm.common import scratch_path, table
 from learnstream.llm.oracle import SQL  # noqa: F401
 
@@ -75,3 +75,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_chat_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(chat.derived(table(spark, sf_dir, "conversations")), chat.TOOLS)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(runs.planted(table(spark, sf_dir, "documents"))))
