@@ -127,3 +127,27 @@ SELECT d.doc_id, CAST(coalesce(len(l), 0) AS INTEGER) AS n_lines, CAST(coalesce(
        CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
 FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+# every term of every item against every document that holds it
+SQL["op13_ranked_search"] = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+f AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS l FROM n),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * f.nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+      FROM tf, f GROUP BY term, f.nn),
+m AS (SELECT doc_id, 100 - 75 + (75 * n * f.nn) // f.l AS m FROM n, f),
+s AS (
+  SELECT q.item_id, tf.doc_id,
+         CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY q.item_id, tf.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""

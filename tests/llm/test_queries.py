@@ -7,13 +7,13 @@ from learnstream.llm import queries
 
 
 def test_every_operator_has_its_query():
-    assert {int(n.split("_")[0][2:]) for n in queries.QUERIES} == set(range(1, 11)) | {12}
+    assert {int(n.split("_")[0][2:]) for n in queries.QUERIES} == set(range(1, 11)) | {12, 13}
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_duckdb(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "conversations"):
+    for t in ("documents", "pages", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small}/{t}.parquet')")
     df = queries.QUERIES[name](spark, small)
     rel = con.sql(queries.SQL[name])
