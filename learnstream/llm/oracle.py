@@ -151,3 +151,30 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
 """
+
+# as op3: all pairs that share a shingle (of three words), components by transitive closure
+SQL["op11_token_group_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(len(w) - 2), lambda i: array_to_string(w[i + 1:i + 3], ' ')) END)) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (shingle)
+  WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 90 * (x.n + y.n - k)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a AS doc_id, b AS other FROM edges
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce(l.other, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least l USING (doc_id)
+"""

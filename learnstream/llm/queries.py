@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnstream.llm import chat, decontam, langid, linededup, neardup, packing, pii, ranked, runs, tokens, topk, warc
+from learnstream.llm import chat, decontam, groupjoin, langid, linededup, neardup, packing, pii, ranked, runs, tokens, topk, warc
 from learnstream.llm.common import scratch_path, table
 from learnstream.llm.oracle import SQL  # noqa: F401
 
@@ -85,3 +85,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groupjoin.join(table(spark, sf_dir, "documents"))
