@@ -5,12 +5,12 @@ A document's set is that of its distinct word shingles. Two documents link when
 smallest id it reaches over links.
 
 1. Sets are cut into parts by the hash of their tokens. Sets that link differ
-   in at most ``(100 - share) / (100 + share)`` of their summed sizes, so
-   with one part more than that number some part is the same in both. Every part
+   in at most ``(100 - share) / (100 + share)`` of their summed sizes, so of
+   more parts than that number some are the same in both. Every part
    has a signature; the number of parts is that of the pair's larger size class (a
-   set close below a class takes part in it, too). Sets that share no signature
-   are no candidates: no link is lost, and a passage that many documents share fills a
-   whole part by chance only.
+   set close below a class takes part in it, too). Sets that share fewer signatures than a
+   link leaves are no candidates: no link is lost, and a passage that many documents share
+   fills a whole part by chance only.
 2. Candidates are partitioned into groups: a document goes to the document it shares
    most signatures with, among those that are the smallest of a signature; large groups
    are split. The matrix has one row a group: its members and the union of their
@@ -49,6 +49,7 @@ from learnstream.llm.shingles import PLACES, mix, shingle_set
 
 SHINGLE = 3
 SHARE, OF = 90, 100
+SPARE = 2                # parts more than a link needs (and an eighth): so links share several
 GROUP = 128              # members of a group, about, at most
 GROUP_TOKENS = 1 << 20   # summed sizes of a group's sets, about, at most
 QUERIES = 512            # query documents that meet a group in one task, about
@@ -62,41 +63,51 @@ def most_different(a: int, b: int, share: int) -> int:
 
 
 def classes(size: int, share: int):
-    """(class, parts) of every size class in which a set of ``size`` may meet one as
-    large or larger; a class reaches from c to about 1.5 c."""
+    """(class, parts, need) of every size class in which a set of ``size`` may meet one as
+    large or larger; a class reaches from c to about 1.5 c. Sets of the class that link
+    differ in so few tokens that they have ``need`` parts or more in common."""
     low, k = 1, 0
     while share * low <= OF * size:
         high = max(low + 1, low * 3 // 2)
         if size < high:
             d = most_different(high - 1, high - 1, share)
             if d:        # sets that may not differ are equal: one node
-                yield k, d + 1
+                parts = d + 1 + SPARE + d // 8
+                yield k, parts, parts - most_different(size, min(OF * size // share, high - 1), share)
         low, k = high, k + 1
 
 
-def signatures(tokens: np.ndarray, share: int) -> np.ndarray:
-    """Of every part of a sorted set one 64-bit signature."""
+def signatures(tokens: np.ndarray, share: int) -> tuple[np.ndarray, int]:
+    """64-bit signatures of the parts of a sorted set, and how many of them a set that links with it
+    has at least. Empty parts are left out (and not counted) as long as one is left."""
     total = np.zeros(len(tokens) + 1, np.uint64)
     np.cumsum(mix(tokens + PLACES[3]), out=total[1:])
     high = tokens >> np.uint64(32)
-    out = []
-    for k, parts in classes(len(tokens), share):
+    out, least = [np.zeros(0, np.uint64)], None
+    for k, parts, need in classes(len(tokens), share):
         edge = np.searchsorted((high * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1))
         held = total[edge[1:]] - total[edge[:-1]]
         place = np.arange(1, parts + 1, dtype=np.uint64) * PLACES[1]
         level = np.full(parts, k + 1, np.uint64) * PLACES[2]
-        out.append(mix(held * PLACES[0] + place + level))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        filled = edge[1:] > edge[:-1]
+        need -= int((~filled).sum())
+        if need < 1:
+            filled[:], need = True, 1
+        out.append(mix(held * PLACES[0] + place + level)[filled])
+        least = need if least is None else min(least, need)
+    return np.concatenate(out), least or 0
 
 
-SKETCH = "row long, doc_id long, n_shingles long, node long, sigs binary, also binary, firsts binary, packed binary"
+SKETCH = ("row long, doc_id long, n_shingles long, node long, need int, "
+          "sigs binary, also binary, firsts binary, packed binary")
 
 
 def sketches(docs: DataFrame, share: int) -> DataFrame:
     """One row per document: its set's size and 64-bit hash (``node``; null if empty). The first of
-    equal sets of a batch has its compressed text and ``sigs``, the signatures that no document before
-    it in the batch has; those that one has are in ``also``, with that one's node in ``firsts``. So a
-    batch gives one posting a signature, however many copies it holds."""
+    equal sets of a batch has its compressed text, the number of signatures that a link shares at least
+    (``need``) and ``sigs``, the signatures that no document before it in the batch has; those that one
+    has are in ``also``, with that one's node in ``firsts``. So a batch gives one posting a signature,
+    however many near copies it holds."""
     bound_batches(docs.sparkSession)
 
     def run(batches):
@@ -110,8 +121,8 @@ def sketches(docs: DataFrame, share: int) -> DataFrame:
                 _, first = np.unique(nodes, return_index=True)
                 first = [i for i in np.sort(first).tolist() if len(sets[i])]
                 own = {i: signatures(sets[i], share) for i in first}
-                of = np.repeat(np.array(first, np.int64), [len(own[i]) for i in first])
-                sigs = np.concatenate([*own.values(), np.zeros(0, np.uint64)])
+                of = np.repeat(np.array(first, np.int64), [len(own[i][0]) for i in first])
+                sigs = np.concatenate([*(x for x, _ in own.values()), np.zeros(0, np.uint64)])
                 _, lead, which = np.unique(sigs, return_index=True, return_inverse=True)
                 pivot = of[lead[which]] if len(sigs) else of
                 columns = {"sigs": [None] * k, "also": [None] * k, "firsts": [None] * k, "packed": [None] * k}
@@ -127,8 +138,9 @@ def sketches(docs: DataFrame, share: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(range(row, row + k), pa.int64()), b.column(0).slice(at, k),
                     pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes.view(np.int64), mask=empty),
+                    pa.array([own[i][1] if i in own else None for i in range(k)], pa.int32()),
                     *[pa.array(c, pa.binary()) for c in columns.values()]],
-                    ["row", "doc_id", "n_shingles", "node", *columns])
+                    ["row", "doc_id", "n_shingles", "node", "need", *columns])
                 row += k
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
@@ -160,6 +172,19 @@ def members(sk: DataFrame) -> DataFrame:
     return shared.union(near).distinct()
 
 
+def pruned(member: DataFrame, first: DataFrame) -> DataFrame:
+    """The members that can have a link: a set that shares fewer signatures than one
+    needs has none, and a signature of one set left is not shared any more."""
+    for _ in range(2):
+        own = materialize(member.groupBy("node").agg(F.count("sig").alias("n")).join(first, "node")
+                          .where("n >= need").select("node"), "alive")
+        member = materialize(member.join(own, "node"), "members-left")
+        alive = materialize(member.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+                            .where("lo != hi").select("sig"), "shared")
+        member = materialize(member.join(alive, "sig"), "members-left")
+    return member
+
+
 # ---- groups and their unions -----------------------------------------------------
 
 def unpacked(packed) -> list[np.ndarray]:
@@ -256,20 +281,20 @@ def _open(pdf: pd.DataFrame, share: int) -> pd.DataFrame:
     return pd.DataFrame(joined.found, columns=["a", "b"]).astype("int64")
 
 
-def grouped(sk: DataFrame, member: DataFrame, pivots: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
-    """(node, group) and the matrix of all candidates."""
+def grouped(sk: DataFrame, first: DataFrame, member: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+    """(node, group, need) and the matrix of all candidates."""
+    pivots = materialize(member.groupBy("sig").agg(F.min("node").alias("pivot")), "pivots")
     votes = member.join(pivots, "sig").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
     lead = votes.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("lead"))
-    first = sk.where("sigs IS NOT NULL").groupBy("node").agg(
-        F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"))
     own = materialize(lead.join(first, "node"), "leads")
     size = own.groupBy("lead").agg(F.greatest(
         F.ceil(F.count("node") / GROUP), F.ceil(F.sum("n_shingles") / GROUP_TOKENS)).alias("parts"))
-    own = materialize(own.join(size, "lead").select("node", "row", F.xxhash64(
+    own = materialize(own.join(size, "lead").select("node", "row", "need", F.xxhash64(
         "lead", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("group")), "group-of")
+    # a merge join at every size: the compressed texts are dealt once
     texts = sk.select("row", "packed").join(own.hint("merge"), "row").select("node", "group", "packed")
     matrix = materialize(texts.groupBy("group").applyInPandas(lambda pdf: _group_row(pdf, share), MATRIX), "matrix")
-    return own.select("node", "group"), matrix
+    return own.select("node", "group", "need"), matrix
 
 
 def opened(pairs: DataFrame, matrix: DataFrame, share: int) -> DataFrame:
@@ -291,14 +316,15 @@ def opened(pairs: DataFrame, matrix: DataFrame, share: int) -> DataFrame:
 def links_of(sk: DataFrame, share: int) -> DataFrame:
     """(node, root) of every set with a link."""
     spark = sk.sparkSession
-    member = materialize(members(sk), "members")
-    pivots = materialize(member.groupBy("sig").agg(F.min("node").alias("pivot")), "pivots")
-    group, matrix = grouped(sk, member, pivots, share)
+    first = materialize(sk.where("sigs IS NOT NULL").groupBy("node").agg(
+        F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"), F.max("need").alias("need")), "nodes")
+    member = pruned(materialize(members(sk), "members"), first)
+    group, matrix = grouped(sk, first, member, share)
     inner = materialize(matrix.select(F.inline("links")), "inner-links")
     root = components(inner, "roots")
 
     def labelled(root: DataFrame) -> DataFrame:
-        out = member.join(group, "node").join(root, "node", "left")
+        out = member.join(group.drop("need"), "node").join(root, "node", "left")
         out = materialize(out.select("sig", "node", "group", F.coalesce("root", "node").alias("root")), "labelled")
         mixed = materialize(out.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                                    F.min(F.struct("node", "group")).alias("first"))
@@ -314,13 +340,17 @@ def links_of(sk: DataFrame, share: int) -> DataFrame:
     root = components(links, "roots")
     release(spark, left)
 
-    # what is still in several components queries all groups it shares a signature with
+    # what is still in several components queries all groups it shares enough signatures with
     left = labelled(root).groupBy("sig", "group").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     left = materialize(left, "mixed-groups")
     a = left.select("sig", F.col("group").alias("query"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
     b = left.select("sig", F.col("group").alias("of"), "lo", "hi")
     pairs = a.join(b, "sig").where("query > of AND NOT (lo_a = hi_a AND lo = hi AND lo_a = lo)")
-    pairs = materialize(pairs.select("query", "of").distinct(), "pairs").join(star, ["query", "of"], "left_anti")
+    pairs = materialize(pairs.groupBy("query", "of").agg(F.count("sig").alias("shared")), "pairs")
+    need = materialize(group.groupBy("group").agg(F.min("need").alias("need")), "needs")
+    for side in ("query", "of"):
+        pairs = pairs.join(need.withColumnRenamed("group", side), side).where("shared >= need").drop("need")
+    pairs = pairs.select("query", "of").join(star, ["query", "of"], "left_anti")
     more = materialize(opened(pairs, matrix, share), "more-links")
     return components(links.union(more), "final")
 
