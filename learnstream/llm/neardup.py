@@ -7,13 +7,12 @@ document's component is the smallest id it reaches over links.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnstream.llm.common import bound_batches, materialize, per_batch, release, text_groups
@@ -86,12 +85,13 @@ def estimate_min(share: int) -> float:
     return share / OF - SLACK * (share / OF * (1 - share / OF) / REGISTERS) ** 0.5
 
 
-SKETCH = "row long, doc_id long, mark long, n_shingles long, fingerprint binary, registers binary, packed binary"
+SKETCH = "row long, doc_id long, mark long, n_shingles long, node long, registers binary, packed binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document: a hash of the text (mark), set size, a 128-bit fingerprint of the whole set,
-    the registers and the compressed text, under a row number of its own."""
+    """One row per document, under a row number of its own: a hash of the text
+    (mark), its set's size and 64-bit hash (node; null if empty); the first of equal
+    sets of a batch has the registers and the compressed text."""
     bound_batches(docs.sparkSession)
 
     def run(batches):
@@ -101,16 +101,20 @@ def sketches(docs: DataFrame) -> DataFrame:
             texts = b.column(1).to_pylist()
             for at, group in text_groups([t or "" for t in texts]):
                 sets = [shingle_set(t, SHINGLE) for t in group]
-                regs = registers([s for s in sets if len(s)])
-                own = iter(regs)
+                nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64)
                 k = len(group)
+                empty = np.array([not len(s) for s in sets], bool)
+                first = np.zeros(k, bool)
+                first[np.unique(nodes, return_index=True)[1]] = True
+                first &= ~empty
+                regs = iter(registers([s for s, own in zip(sets, first) if own]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(range(row, row + k), pa.int64()), b.column(0).slice(at, k), b.column(2).slice(at, k),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    pa.array([next(own).tobytes() if len(s) else None for s in sets], pa.binary()),
-                    pa.array([zstd.compress(t.encode("utf-8", "surrogatepass")) for t in group], pa.binary())],
-                    ["row", "doc_id", "mark", "n_shingles", "fingerprint", "registers", "packed"])
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes.view(np.int64), mask=empty),
+                    pa.array([next(regs).tobytes() if own else None for own in first], pa.binary()),
+                    pa.array([zstd.compress(t.encode("utf-8", "surrogatepass")) if own else None
+                              for t, own in zip(group, first)], pa.binary())],
+                    ["row", "doc_id", "mark", "n_shingles", "node", "registers", "packed"])
                 row += k
 
     own = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
@@ -118,11 +122,31 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _keys_of(b: pa.RecordBatch, rows: int) -> pa.RecordBatch:
+    """(key, node, posted): one posted row a key, that of its first node in the
+    batch; a key of several nodes has its other rows, and its first one again, unposted."""
     regs = np.frombuffer(b"".join(b.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
     keys = band_keys(regs, rows)
+    nodes = np.repeat(b.column("node").to_numpy(), keys.shape[1])
+    own, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(n[which.ravel()] > 1)
+    key = np.concatenate([own, keys.ravel()[several]])
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys.view(np.int64).ravel()),
-         pa.array(np.repeat(b.column("node").to_numpy(), keys.shape[1]))], ["key", "node"])
+        [pa.array(key.view(np.int64)), pa.array(np.concatenate([nodes[first], nodes[several]])),
+         pa.array(np.arange(len(key)) < len(own))], ["key", "node", "posted"])
+
+
+def buckets(sk: DataFrame, rows: int) -> DataFrame:
+    """(key, node) of all band keys that different nodes share. A batch posts a key once, so the rows of
+    one key are few where they meet; they are dealt once."""
+    keys = sk.where("registers IS NOT NULL").select("node", "registers").mapInArrow(
+        per_batch(lambda b: _keys_of(b, rows)), "key long, node long, posted boolean")
+    keys = materialize(keys, "bands")
+    w = Window.partitionBy("key")
+    shared = (keys.where("posted").withColumn("lo", F.min("node").over(w)).withColumn("hi", F.max("node").over(w))
+              .where("lo != hi").select("key", "node"))
+    out = materialize(shared.union(keys.where("NOT posted").select("key", "node")).distinct(), "buckets")
+    release(sk.sparkSession, keys)
+    return out
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -173,16 +197,31 @@ def unpacked_sets(packed) -> list[np.ndarray]:
     return [shingle_set(zstd.decompress(p).decode("utf-8", "surrogatepass"), SHINGLE) for p in packed]
 
 
-def _against_pivot(pdf: pd.DataFrame, share: int) -> pd.DataFrame:
-    sets = unpacked_sets(pdf["packed"])
+def _near_pivot(pdf: pd.DataFrame, share: int) -> pd.DataFrame:
+    """Nodes of a chunk whose registers say that they may link with the pivot."""
     nodes = pdf["node"].to_numpy()
+    regs = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(-1, REGISTERS)
     at = int(np.flatnonzero(nodes == pdf["pivot"].iloc[0])[0])
-    regs = registers(sets)
-    near = estimate(regs[at], regs) >= estimate_min(share)
-    hit = [k for k in np.flatnonzero(near) if k != at and similar(sets[at], sets[k], share)]
+    near = (estimate(regs[at], regs) >= estimate_min(share)) & (nodes != nodes[at])
+    return pd.DataFrame({"pivot": nodes[at], "node": nodes[near]})
+
+
+def _against_pivot(pdf: pd.DataFrame, share: int) -> pd.DataFrame:
+    sets, nodes = unpacked_sets(pdf["packed"]), pdf["node"].to_numpy()
+    at = int(np.flatnonzero(nodes == pdf["pivot"].iloc[0])[0])
+    hit = [k for k in range(len(nodes)) if k != at and similar(sets[at], sets[k], share)]
     return pd.DataFrame({"a": nodes[at], "b": nodes[hit]})
 
 
+def in_chunks(star: DataFrame, rows: DataFrame) -> DataFrame:
+    """(pivot, chunk, node, ...) of stars (pivot, node): a chunk has some nodes of a
+    pivot and the pivot, with their ``rows``."""
+    chunks = materialize(star.groupBy("pivot").agg(F.ceil(F.count("node") / CHUNK).alias("chunks")), "chunks")
+    dealt = materialize(star.join(chunks, "pivot").select(
+        "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node"), "dealt")
+    return dealt.union(dealt.select("pivot", "chunk", F.col("pivot").alias("node")).distinct()).join(rows, "node")
+
+
 def _in_blocks(pdf: pd.DataFrame, share: int) -> pd.DataFrame:
     """Links of two blocks of a group (or within one) that join components
     not yet joined here."""
@@ -215,9 +254,11 @@ def near_duplicates(docs: DataFrame, share: int = SHARE, rows: int = ROWS) -> Da
     """doc_id, n_shingles, component_id, kept; one row per document. Documents
     are linked from ``share`` of 100 on; bands have ``rows`` registers.
 
-    1. sketch every document and write the sketches; equal sets are one node;
+    1. sketch every document and write the sketches; equal sets are one node (a
+       64-bit hash of the set);
     2. nodes that share the key of a band are candidates: every bucket's
-       members are compared with its smallest node, in chunks;
+       members are compared with its smallest node, in chunks, by their registers
+       first and those that are left in full;
     3. buckets whose members are then still in several components are
        gathered to groups, and each group is compared in blocks of 512: no
        pair becomes a row but those found similar;
@@ -253,29 +294,23 @@ def documents(docs: DataFrame, share: int = SHARE, rows: int = ROWS) -> DataFram
 def _placed(docs: DataFrame, share: int, rows: int) -> DataFrame:
     """doc_id, mark, n_shingles, root: documents of a component share a root."""
     sk = materialize(sketches(docs), "sketch")
-    nodes = sk.where("n_shingles > 0").groupBy("fingerprint").agg(F.min("row").alias("node"))
-    nodes = materialize(nodes, "nodes")
-    regs = sk.select(F.col("row").alias("node"), "registers").join(nodes.select("node"), "node")
-    bands = materialize(regs.mapInArrow(per_batch(lambda b: _keys_of(b, rows)), "key long, node long")
-                        .withColumn("n", F.lit(1)), "bands")
+    first = sk.where("registers IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"))
+    member = buckets(sk, rows)
     # Aggregates that are joined back to their own rows are written first: the
     # join then deals both sides itself and can split the rows of a hot key.
-    shared = materialize(bands.groupBy("key").agg(F.count("n").alias("n"), F.min("node").alias("pivot"))
-                         .where("n > 1").drop("n"), "shared")
-    member = materialize(bands.join(shared, "key").select("key", "node", "pivot"), "members")
-    release(sk.sparkSession, bands)
+    pivots = materialize(member.groupBy("key").agg(F.min("node").alias("pivot")), "pivots")
+    member = materialize(member.join(pivots, "key"), "members")
     star = materialize(member.where("node != pivot").select("pivot", "node").distinct(), "star")
-    texts = sk.select(F.col("row").alias("node"), "packed")
-    # two steps, so that only the candidates' texts are dealt again
-    near = materialize(member.select("node").distinct(), "near")
-    wanted = materialize(texts.join(near, "node"), "texts")
-
-    chunks = materialize(star.groupBy("pivot").agg(F.ceil(F.count("node") / CHUNK).alias("chunks")), "chunks")
-    dealt = materialize(star.join(chunks, "pivot").select(
-        "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), "node"), "dealt")
-    each = dealt.union(dealt.select("pivot", "chunk", F.col("pivot").alias("node")).distinct())
-    links = materialize(each.join(wanted, "node").groupBy("pivot", "chunk")
-                        .applyInPandas(lambda pdf: _against_pivot(pdf, share), "a long, b long"), "links")
+    near = materialize(member.select("node").distinct().join(first, "node"), "near")
+    # a merge join at every size: registers and texts are dealt once, those of candidates again
+    wanted = materialize(sk.select("row", "registers", "packed").join(near.hint("merge"), "row").drop("row"), "wanted")
+
+    # registers first; only what they leave is compared in full
+    close = in_chunks(star, wanted.select("node", "registers")).groupBy("pivot", "chunk").applyInPandas(
+        lambda pdf: _near_pivot(pdf, share), "pivot long, node long")
+    close = materialize(close, "close")
+    links = materialize(in_chunks(close, wanted.select("node", "packed")).groupBy("pivot", "chunk").applyInPandas(
+        lambda pdf: _against_pivot(pdf, share), "a long, b long"), "links")
     root = components(links, "components")
 
     labelled = materialize(member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
@@ -291,11 +326,10 @@ def _placed(docs: DataFrame, share: int, rows: int) -> DataFrame:
     own = own.select("*", other.alias("other")).select(
         "group", "node", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"))
-    more = own.join(wanted, "node").groupBy("group", "i", "j").applyInPandas(
+    more = own.join(wanted.select("node", "packed"), "node").groupBy("group", "i", "j").applyInPandas(
         lambda pdf: _in_blocks(pdf, share), "a long, b long")
     final = components(links.union(more), "final")
 
-    ids = sk.select("doc_id", "mark", "n_shingles", "row", "fingerprint")
-    placed = ids.join(nodes, "fingerprint", "left").join(final, "node", "left")
+    placed = sk.select("doc_id", "mark", "n_shingles", "row", "node").join(final, "node", "left")
     return materialize(placed.select("doc_id", "mark", "n_shingles", F.coalesce("root", "node", "row").alias("root")),
                        "placed")
