@@ -4,7 +4,8 @@ Every language has a probability for each piece of a fixed public vocabulary.
 A word's probability is the sum over all ways to cut it into pieces of the
 product of their probabilities (forward algorithm); a text's is the product
 over its words. The probabilities are learned by expectation maximisation on
-the words of a bounded, hashed sample of labelled documents.
+the words of a bounded, hashed sample of labelled documents (long words, as those of
+scripts without spaces, in pieces).
 
 Words are the runs between white space, ASCII punctuation, digits and
 controls, with A-Z lower-cased.
@@ -35,7 +36,8 @@ ROUNDS = 2               # of expectation maximisation
 FLOOR = 1e-3             # share of every distribution that is spread over all pieces
 UNKNOWN = 1e-9           # probability of a character that is no piece
 CACHE_WORDS, CACHE_BYTES = 300_000, 32 << 20
-LONG = 40                # characters; longer words are scored one by one in logarithms
+CUT = 30                 # characters; longer words are learned from in pieces of that length
+SMALLEST = 690           # -log of the smallest number that plain products may come to
 UNDETERMINED = "und"
 
 SPACE = "▁"
@@ -112,7 +114,7 @@ class Pieces:
         return first, first + lens, edges
 
     def log_probabilities(self, words: list[str], p: np.ndarray) -> np.ndarray:
-        """log P(word | language), words x languages, for words up to LONG."""
+        """log P(word | language), words x languages, for words up to ``plain_length``."""
         first, last, edges = self.lattice(words)
         alpha = np.zeros((int(last[-1]) + 1 if len(words) else 0, p.shape[1]))
         alpha[first] = 1
@@ -121,6 +123,11 @@ class Pieces:
                 alpha[dst] += alpha[src] * p[piece]
         return np.log(alpha[last])
 
+    @staticmethod
+    def plain_length(p: np.ndarray) -> int:
+        """Characters of a word whose probability cannot underflow, whatever they are."""
+        return int(SMALLEST / -np.log(p.min()))
+
     def long_log_probability(self, word: str, p: np.ndarray) -> np.ndarray:
         """The same for one word of any length: every node is kept relative
         to the nodes it can be reached from, so nothing underflows."""
@@ -134,7 +141,7 @@ class Pieces:
 
     def expected(self, words: list[str], counts: np.ndarray, lang: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected piece counts, pieces x languages, of weighted words that
-        each belong to one language."""
+        each belong to one language and have about CUT characters at most."""
         first, last, edges = self.lattice(words)
         nodes = int(last[-1]) + 1
         of = np.repeat(lang, last - first + 1)
@@ -155,6 +162,10 @@ class Pieces:
         return out
 
 
+def cut(word: str) -> list[str]:
+    return [word[k:k + CUT] for k in range(0, len(word), CUT)]
+
+
 def smoothed(counts: np.ndarray) -> np.ndarray:
     """Piece probabilities from counts; the last row is the unknown character."""
     known = counts[:-1]
@@ -184,7 +195,7 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS) -> tuple[lis
         held: Counter = Counter()
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             held.update((lang, w) for w in words_of(text))
-        rows = [(lang, w.decode("utf-8", "replace"), n) for (lang, w), n in held.items() if len(w) < LONG]
+        rows = [(lang, part, n) for (lang, w), n in held.items() for part in cut(SPACE + w.decode("utf-8", "replace"))]
         return pa.RecordBatch.from_pylist([dict(zip(("lang", "word", "n"), r)) for r in rows],
                                           pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
 
@@ -201,7 +212,7 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS) -> tuple[lis
                 of = df["lang"].map({lang: k for k, lang in enumerate(langs)}).to_numpy()
                 for at in range(0, len(df), 20_000):
                     own = slice(at, at + 20_000)
-                    total += pieces.expected([SPACE + w for w in df["word"].iloc[own]],
+                    total += pieces.expected(df["word"].iloc[own].tolist(),
                                              df["n"].to_numpy(float)[own], of[own], sent.value)
             piece, lang = np.nonzero(total)
             yield pd.DataFrame({"piece": piece, "lang": lang, "n": total[piece, lang]})
@@ -217,7 +228,7 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS) -> tuple[lis
 
 class Scorer:
     def __init__(self, path: str, p: np.ndarray):
-        self.pieces, self.p = Pieces(path), p
+        self.pieces, self.p, self.plain = Pieces(path), p, Pieces.plain_length(p)
         self.clear()
 
     def clear(self) -> None:
@@ -229,12 +240,13 @@ class Scorer:
             own = words[at:at + 20_000]
             text = [SPACE + w.decode("utf-8", "replace") for w in own]
             logs = np.zeros((len(own), self.p.shape[1]))
-            short = [k for k, w in enumerate(text) if len(w) <= LONG]
+            short = [k for k, w in enumerate(text) if len(w) <= self.plain]
             if short:
                 logs[short] = self.pieces.log_probabilities([text[k] for k in short], self.p)
             for k, w in enumerate(text):
-                if len(w) > LONG:
+                if len(w) > self.plain:
                     logs[k] = self.pieces.long_log_probability(w, self.p)
+            assert np.isfinite(logs).all()
             while self.used + len(own) > len(self.logs):
                 self.logs = np.concatenate([self.logs, np.zeros_like(self.logs)])
             self.logs[self.used:self.used + len(own)] = logs
@@ -252,9 +264,11 @@ class Scorer:
         if missing := [w for w in set(words) if w not in index]:
             self.learn(missing)
         rows = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        ends = np.cumsum([len(own) for own in split])
-        sums = np.vstack([np.zeros(self.p.shape[1]), np.cumsum(self.logs[rows], axis=0)])
-        return sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
+        sizes = np.array([len(own) for own in split])
+        out, some = np.zeros((len(texts), self.p.shape[1])), np.flatnonzero(sizes)
+        if len(some):        # each text's sum of its own words, whatever texts are around it
+            out[some] = np.add.reduceat(self.logs[rows], (np.cumsum(sizes) - sizes)[some], axis=0)
+        return out
 
 
 def scorer(langs: list[str], path: str, sent):

@@ -68,6 +68,37 @@ def test_prediction_uses_the_text_alone(spark, small):
     assert [x[:3] for x in a] == [x[:3] for x in b] and np.allclose([x[3] for x in a], [x[3] for x in b])
 
 
+def test_long_unknown_words_stay_finite_and_alone():
+    """30 to 45 characters that are no piece, beside ordinary texts: no text's
+    score depends on its neighbours."""
+    pieces, p = table()
+    own = langid.Scorer(PATH, p)
+    plain = ["bonjour le monde", "", "the hello of it"]
+    alone = [own.texts([t])[0] for t in plain]
+    for n in range(28, 46):
+        odd = "\u1200" * n
+        got = own.texts([odd, plain[0], odd + " x", plain[1], plain[2]])
+        assert np.isfinite(got).all()
+        for k, want in zip((1, 3, 4), alone):
+            assert (got[k] == want).all()
+        assert np.allclose(got[0], pieces.long_log_probability(langid.SPACE + odd, p))
+
+
+def test_scripts_without_spaces_are_learned(spark):
+    """Texts that are one run of 60 to 200 characters, in two alphabets of one script."""
+    rnd = np.random.default_rng(5)
+    own = [p for p in langid.Pieces(PATH).index if len(p) == 1 and "\u4e00" <= p <= "\u9fff"]
+    half = len(own) // 2
+    rows = []
+    for i in range(300):
+        chars = own[:half + half // 2] if i % 2 else own[half // 2:]
+        rows.append((i, "".join(rnd.choice(chars, int(rnd.integers(60, 200)))), "ab"[i % 2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.identify(docs, PATH).collect()}
+    held = [(r.lang_pred, rows[i][2]) for i, r in got.items() if r.held_out]
+    assert len(held) > 30 and sum(a == b for a, b in held) >= 0.95 * len(held)
+
+
 def test_odd_rows_and_empty_table(spark, small):
     known = spark.read.parquet(f"{small}/documents.parquet")
     odd = docs_of(spark, ODD, extra=False).selectExpr("doc_id + 100000 AS doc_id", "text", "CAST(NULL AS STRING) AS lang")
