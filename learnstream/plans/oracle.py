@@ -91,6 +91,7 @@ UNION ALL SELECT pos, '[1]' FROM page_base WHERE pos % 31 = 0
 UNION ALL SELECT pos, '' FROM page_base WHERE pos % 37 = 0
 UNION ALL SELECT pos, '{"uid":"' || u || '","page_id":' || page || '}' FROM page_base WHERE pos % 41 = 0
 UNION ALL SELECT pos, line || ' x' FROM page_base WHERE pos % 43 = 0
+UNION ALL SELECT pos, line || '] junk' FROM page_base WHERE pos % 53 = 0
 """)
 
 cte("learn_base", """
@@ -121,6 +122,10 @@ UNION ALL SELECT id, '{"uid":"' || u || '","cwareid":"' || (id % 4) || '","video
 UNION ALL SELECT id, head || edu || mid || times || tail || ' x' FROM learn_base WHERE id % 43 = 0
 UNION ALL SELECT id, head || edu || mid || times || ',"ps":' || (ps + 30) || ',"pe":' || (ps + 10) || '}'
   FROM learn_base WHERE id % 47 = 0
+UNION ALL SELECT id, head || edu || mid || times || tail || ']' FROM learn_base WHERE id % 53 = 0
+UNION ALL SELECT id, head || edu || mid || ',"ts":-9223372036854775808,"te":9223372036854775807' || tail
+  FROM learn_base WHERE id % 59 = 0
+UNION ALL SELECT id, head || edu || mid || times || ',"ps":-2147483648,"pe":1e12}' FROM learn_base WHERE id % 61 = 0
 """)
 
 cte("province_range", """
@@ -176,6 +181,12 @@ LEARN_COLS = ", ".join(
     [f"coalesce({_whole_sql(f, 'INTEGER')}, 0) AS {f}" for f in LEARN_INTS]
     + ["json_extract_string(value, '$.sourceType') AS sourcetype"]
     + [f"{_whole_sql(f, 'BIGINT')} AS {f}" for f in ("ts", "te")])
+# numbers beyond their bounds: 32 bits, a thousand million seconds of video, the year 9999
+LEARN_BEYOND = " OR ".join(
+    f"coalesce(trunc(TRY_CAST(json_extract_string(value, '$.{f}') AS DOUBLE)) NOT BETWEEN {low} AND {high}, false)"
+    for low, high, fields in ((-2147483648, 2147483647, LEARN_INTS[:-2]), (-1000000000, 1000000000, ("ps", "pe")),
+                              (0, 253402300799999, ("ts", "te")))
+    for f in fields)
 
 
 def _json_objects(feed: str) -> str:
@@ -194,7 +205,8 @@ def _learn_rows_sql(feed: str) -> str:
     return f"""
 SELECT *, (te - ts) // 1000 AS secs FROM (
   SELECT {LEARN_COLS}
-  FROM ({_json_objects(feed)}))
+  FROM ({_json_objects(feed)})
+  WHERE NOT ({LEARN_BEYOND}))
 WHERE ts IS NOT NULL AND te IS NOT NULL"""
 
 

@@ -20,6 +20,7 @@ from learnstream.functions.scalar import TAB, TIME_FORMAT, epoch_millis
 # Fixed values of the feed rules (FIXTURES.md section 3).
 PAGE_OF_EVENT = {"click": 1, "view": 2, "purchase": 3}
 CORRECT_EVENTS = ("purchase", "view")                     # istrue = 1 for these
+LEAST_LONG, LARGEST_LONG = "-9223372036854775808", "9223372036854775807"
 SOURCE_TYPES = ("PC", "APP", "Other")                     # sourceType by id % 3
 
 
@@ -98,7 +99,8 @@ def page_lines(events: DataFrame) -> DataFrame:
                  F.when(i % 31 == 0, F.lit("[1]")),
                  F.when(i % 37 == 0, F.lit("")),
                  F.when(i % 41 == 0, _json([("uid", u, True), ("page_id", p, False)])),
-                 F.when(i % 43 == 0, F.concat(full, F.lit(" x"))))
+                 F.when(i % 43 == 0, F.concat(full, F.lit(" x"))),
+                 F.when(i % 53 == 0, F.concat(full, F.lit("] junk"))))
 
 
 def learn_lines(events: DataFrame) -> DataFrame:
@@ -117,6 +119,9 @@ def learn_lines(events: DataFrame) -> DataFrame:
     full = _json(head + edu + mid + times + tail)
     text = [(name, value, True) for name, value, _ in head + edu + mid + times]
     half = [("ps", F.concat(_s(ps), F.lit(".5")), False), ("pe", ps + 20, False)]
+    # numbers that a long, and an int, cannot subtract
+    far = [("ts", F.lit(LEAST_LONG), False), ("te", F.lit(LARGEST_LONG), False)]
+    wide = [("ps", F.lit(-2147483648), False), ("pe", F.lit("1e12"), False)]
     back = [("ps", ps + 30, False), ("pe", ps + 10, False)]
     return _emit(e, i, full,
                  F.when(i % 29 == 0, F.lit("not json")),
@@ -124,7 +129,10 @@ def learn_lines(events: DataFrame) -> DataFrame:
                  F.when(i % 37 == 0, _json(head + mid + times + tail)),
                  F.when(i % 41 == 0, _json(text + half)),
                  F.when(i % 43 == 0, F.concat(full, F.lit(" x"))),
-                 F.when(i % 47 == 0, _json(head + edu + mid + times + back)))
+                 F.when(i % 47 == 0, _json(head + edu + mid + times + back)),
+                 F.when(i % 53 == 0, F.concat(full, F.lit("]"))),
+                 F.when(i % 59 == 0, _json(head + edu + mid + far + tail)),
+                 F.when(i % 61 == 0, _json(head + edu + mid + times + wide)))
 
 
 def province_ranges(nation: DataFrame) -> DataFrame:

@@ -2,7 +2,12 @@
 
 Each parser is a narrow projection, a one-element generator and a filter, in
 one whole-stage-codegen span with the scan. ``keep_rejects=True`` keeps malformed rows
-with ``valid = false`` instead of dropping them, for reject counts.
+with ``valid = false`` and every row's ``line`` instead of dropping them, for reject
+counts and quarantine.
+
+A number that its column cannot hold rejects its record: integers beyond 32 bits,
+stamps outside ``0 .. MAX_STAMP`` and places in a video beyond ``MAX_PLACE`` seconds. What passes
+can be subtracted and summed without overflow.
 """
 
 from __future__ import annotations
@@ -18,7 +23,11 @@ from learnstream.functions.scalar import channel_of, field, tsv_width, watched_s
 REGISTER_WIDTH = 3
 QZ_WIDTH = 6
 
+END = "_end"             # a mark of the parser behind a text, see ``_json_object``
 PAGE_FIELDS = ("uid", "app_id", "device_id", "ip", "last_page_id", "page_id", "next_page_id")
+MAX_STAMP = 253_402_300_799_999      # the last millisecond of the year 9999
+MAX_PLACE = 1_000_000_000            # two of them differ by less than 2^31
+MAX_INT = 2_147_483_647
 LEARN_INTS = ("uid", "cwareid", "videoid", "chapterid", "edutypeid", "subjectid", "speed", "ps", "pe")
 LEARN_COLUMNS = ("uid", "cwareid", "videoid", "chapterid", "edutypeid", "subjectid", "sourcetype",
                  "speed", "ts", "te", "ps", "pe", "secs")
@@ -45,6 +54,7 @@ def parse_register(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
         channel_of(field(v, 1)).alias("channel"),
         field(v, 2).alias("createtime"),
         ok.alias("_ok"),
+        *_line(keep_rejects),
     )
     return _finish(out, F.col("_ok"), keep_rejects).drop("_ok")
 
@@ -60,51 +70,72 @@ def parse_qz(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
         field(v, 4).alias("istrue"),
         field(v, 5).alias("createtime"),
         (tsv_width(v) == QZ_WIDTH).alias("_ok"),
+        *_line(keep_rejects),
     )
     ok = (F.col("_ok") & F.col("userid").isNotNull() & F.col("courseid").isNotNull()
           & F.col("pointid").isNotNull())
     return _finish(out, ok, keep_rejects).drop("_ok")
 
 
+def _line(keep_rejects: bool) -> list[Column]:
+    return [F.col("value").alias("line")] if keep_rejects else []
+
+
 def _json_object(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
     """``j``: the text's JSON object with these fields as text; ``_ok``: whether
-    the text is one JSON object and nothing else. Read as an array of one
-    element, so that text behind the object makes it malformed."""
-    schema = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-    read = lines.select(F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), schema).alias("j"))
-    return read.select(F.get("j", F.lit(0)).alias("j"), (F.size("j") == 1).alias("_ok")).withColumn(
+    the text is one JSON object and nothing else. Read as the first of two elements of an
+    array: text behind the object makes it malformed, or hides the closing mark (a
+    hash of the text, which the text cannot well hold itself), or adds an element."""
+    schema = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in (*fields, END)]))
+    mark = F.xxhash64("value").cast("string")
+    text = F.concat(F.lit("["), F.col("value"), F.lit(f',{{"{END}":"'), mark, F.lit('"}]'))
+    read = lines.select("value", F.from_json(text, schema).alias("j"))
+    closed = (F.size("j") == 2) & (F.get("j", F.lit(1))[END] == mark)
+    return read.select("value", F.get("j", F.lit(0)).alias("j"), closed.alias("_ok")).withColumn(
         "_ok", F.col("_ok") & F.col("j").isNotNull())
 
 
-def _whole(text: Column, kind: str) -> Column:
-    """Text of a number as ``kind``; decimals are cut toward zero, text that
-    is no number is null."""
-    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+
+def _whole(text: Column, low: int, high: int) -> tuple[Column, Column]:
+    """(number, too large): text of a number as a whole one between two bounds,
+    decimals cut toward zero; null for text that is no number, and for a number
+    outside the bounds, which is flagged."""
+    n, d = text.try_cast("bigint"), text.try_cast("double")
+    # decimals and whole numbers beyond a long; NaN is no number
+    other = F.when(d.isNotNull() & ~F.isnan(d), F.greatest(F.least(d, F.lit(9e18)), F.lit(-9e18)).cast("bigint"))
+    whole = F.coalesce(n, other)
+    return F.when(whole.between(low, high), whole), F.coalesce(~whole.between(low, high), F.lit(False))
 
 
 def parse_page(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """P4 + P5: JSON objects only; seven text fields, absent or null -> ''."""
     out = _json_object(lines, PAGE_FIELDS).select(
-        *[F.coalesce(F.col("j")[f], F.lit("")).alias(f) for f in PAGE_FIELDS], "_ok")
+        *[F.coalesce(F.col("j")[f], F.lit("")).alias(f) for f in PAGE_FIELDS], "_ok", *_line(keep_rejects))
     return _finish(out, F.col("_ok"), keep_rejects).drop("_ok")
 
 
 def parse_learn(lines: DataFrame, keep_rejects: bool = False,
                 columns: Sequence[str] = LEARN_COLUMNS) -> DataFrame:
     """P4 + P6 + P8: JSON objects with both ``ts`` and ``te``; numbers may be
-    written as text; absent ints, and those that are no number, -> 0. ``secs``
-    is whole watched seconds. Only the fields that ``columns`` need are read."""
-    name = {"sourcetype": "sourceType"}
-    need = [name.get(c, c) for c in LEARN_COLUMNS if c in ("ts", "te") or c in columns and c != "secs"]
+    written as text; absent ints, and those that are no number, -> 0; numbers beyond
+    their bounds reject the record, whichever columns are asked for. ``secs``
+    is whole watched seconds. Only the number fields and those that ``columns`` need are read."""
     g = F.col("j")
-    made = {c: F.coalesce(_whole(g[c], "int"), F.lit(0)) for c in LEARN_INTS}
-    made |= {"sourcetype": g["sourceType"], "ts": _whole(g["ts"], "bigint"), "te": _whole(g["te"], "bigint")}
-    held = [c for c in LEARN_COLUMNS if name.get(c, c) in need]
-    out = _json_object(lines, need).select(*[made[c].alias(c) for c in held], "_ok")
+    need = [*LEARN_INTS, "ts", "te", *(["sourceType"] if "sourcetype" in columns else [])]
+    bounds = dict.fromkeys(LEARN_INTS, (-MAX_INT - 1, MAX_INT)) | dict.fromkeys(("ps", "pe"), (-MAX_PLACE, MAX_PLACE))
+    bounds |= dict.fromkeys(("ts", "te"), (0, MAX_STAMP))
+    made, wrong = {}, F.lit(False)
+    for c, (low, high) in bounds.items():
+        made[c], beyond = _whole(g[c], low, high)
+        wrong = wrong | beyond
+    made |= {c: F.coalesce(made[c].cast("int"), F.lit(0)) for c in LEARN_INTS} | {"sourcetype": g["sourceType"]}
+    held = [c for c in LEARN_COLUMNS if c in ("ts", "te") or c in columns and c != "secs"]
+    out = _json_object(lines, need).select(
+        *[made[c].alias(c) for c in held], (F.col("_ok") & ~wrong).alias("_ok"), *_line(keep_rejects))
     out = out.withColumn("_ok", F.col("_ok") & F.col("ts").isNotNull() & F.col("te").isNotNull())
     rows = _finish(out, F.col("_ok"), keep_rejects)
     rows = rows.withColumn("secs", watched_seconds(F.col("ts"), F.col("te")))
-    return rows.select(*columns, *(["valid"] if keep_rejects else []))
+    return rows.select(*columns, *(["line", "valid"] if keep_rejects else []))
 
 
 PARSERS = {
@@ -113,3 +144,9 @@ PARSERS = {
     "page": parse_page,
     "course_learn": parse_learn,
 }
+
+
+def rejected(lines: DataFrame, feed: str) -> DataFrame:
+    """The lines of a feed that its parser rejects, as ``value``."""
+    flagged = PARSERS[feed](lines, keep_rejects=True)
+    return flagged.where(~F.col("valid")).select(F.col("line").alias("value"))

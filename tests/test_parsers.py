@@ -79,3 +79,33 @@ def test_rejects_are_flagged_in_every_parser(spark):
     assert [r.valid for r in page.collect()] == [True, False]
     reg = parse.parse_register(lines_df(spark, [f"1\t1\t{T}", "1"]), keep_rejects=True)
     assert [r.valid for r in reg.collect()] == [True, False]
+
+
+def test_text_behind_an_object_is_never_dropped(spark):
+    good = ['{"uid":"1"}', ' {"uid":"2"} ', '{"uid":"3","_end":"2"}', '{"uid":"4","x":{"_end":"1"}}']
+    bad = ['{"uid":"1"}] junk', '{"uid":"2"}]', '{"uid":"1"},{"_end":"1"}', '{"uid":"1"},', '{"uid":"1"}]]', '{"uid":"1"',
+           '{"uid":"1"},{"_end":"1"}] x', ',{"uid":"1"}', '{"uid":"1"} {"uid":"2"}', '[{"uid":"1"}]', '"x"', '1', '{', '}']
+    flagged = parse.parse_page(lines_df(spark, good + bad), keep_rejects=True).collect()
+    assert {r.line: r.valid for r in flagged} == dict.fromkeys(good, True) | dict.fromkeys(bad, False)
+    learn = [x[:-1] + ',"ts":0,"te":1}' for x in good[:1]] + bad
+    assert [r.valid for r in parse.parse_learn(lines_df(spark, learn), keep_rejects=True).collect()] == [
+        True] + [False] * len(bad)
+
+
+HOSTILE = ['"ts":-9223372036854775808,"te":9223372036854775807', '"ts":0,"te":1e300', '"ts":"-1","te":5',
+           '"ts":0,"te":253402300800000', '"ts":0,"te":5,"ps":-2147483648,"pe":2147483647', '"ts":0,"te":5,"pe":1e12',
+           '"ts":0,"te":5,"uid":99999999999', '"ts":0,"te":5,"speed":"1e400"', '"ts":0,"te":5,"pe":1000000001']
+
+
+def test_numbers_beyond_their_bounds_cost_their_record(spark):
+    from learnstream.operators import watch
+    good = ['{"uid":1,"ts":0,"te":253402300799999,"ps":-1000000000,"pe":1000000000}', '{"uid":1,"ts":1,"te":"NaN"}',
+            '{"uid":"NaN","ts":0,"te":5000,"pe":7.9}']
+    lines = lines_df(spark, good + ["{%s}" % x for x in HOSTILE])
+    flagged = parse.parse_learn(lines, keep_rejects=True).collect()
+    assert [r.valid for r in flagged] == [True, False, True] + [False] * len(HOSTILE)
+    # whichever columns a query needs
+    assert parse.parse_learn(lines, columns=["chapterid", "secs"]).count() == 2
+    assert watch.watch_detail(parse.parse_learn(lines)).count() == 2
+    assert sorted(r.value for r in parse.rejected(lines, "course_learn").collect()) == sorted(
+        good[1:2] + ["{%s}" % x for x in HOSTILE])
