@@ -37,17 +37,14 @@ def view_total(rows: DataFrame) -> DataFrame:
 def convert_rate(totals: DataFrame) -> DataFrame:
     """Home page gets 100%; order page n2/n1; payment page n3/n2, as
     whole-percent text rounded half to even, 0% on a zero denominator; other
-    pages no rate. The three counts are sums over the page totals, which are
-    one row a page, so the feed is read once."""
-    whole = Window.partitionBy(F.lit(0))
-
+    pages no rate. The three counts are one row, a scalar subquery over the page totals."""
     def n_of(p):
-        return F.sum(F.when(F.col("page_id") == p, F.col("num")).otherwise(0)).over(whole).cast("long")
-    j = totals.select("page_id", "num", n_of(HOME).alias("n1"), n_of(ORDER).alias("n2"), n_of(PAYMENT).alias("n3"))
+        return F.coalesce(F.sum(F.when(F.col("page_id") == p, F.col("num"))), F.lit(0)).cast("long")
+    n = totals.agg(F.struct(n_of(HOME).alias("n1"), n_of(ORDER).alias("n2"), n_of(PAYMENT).alias("n3")).alias("n")).scalar()
     rate = (F.when(F.col("page_id") == HOME, F.lit(HOME_RATE))
-            .when(F.col("page_id") == ORDER, half_even_percent(F.col("n2"), F.col("n1")))
-            .when(F.col("page_id") == PAYMENT, half_even_percent(F.col("n3"), F.col("n2"))))
-    return j.select("page_id", "num", rate.alias("jump_rate"))
+            .when(F.col("page_id") == ORDER, half_even_percent(n["n2"], n["n1"]))
+            .when(F.col("page_id") == PAYMENT, half_even_percent(n["n3"], n["n2"])))
+    return totals.select("page_id", "num", rate.alias("jump_rate"))
 
 
 def locate(ip_counts: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -8,16 +8,18 @@ queries.
 * J3 practice: streaming aggregation in ``update`` mode; Spark's state store
   keeps the per-key totals and question sets, each trigger emits only the
   changed keys.
-* J4 pages: one query; every batch adds its transition counts and its clicks
-  per province, the tables are made of them on reading.
-* J5 watch time: every batch folds its plays into the state of the keys it
-  touches (totals, covered intervals) and writes those keys only; rollups add
-  up over batches.
+* J4 pages: every batch adds its transition counts and its clicks
+  per province, the tables are made of them on reading. The page rows (first
+  neighbours, views, rates) are keyed state of their own query.
+* J5 watch time: totals and covered intervals per key in the state store,
+  rollups as a streaming aggregation of their own query.
 
 Every job takes a feed (``stream_feed``), a checkpoint location under the
 shared checkpoint folder, and a trigger (3 s by default, ``availableNow`` in
-tests). J2-J5 write change logs per batch id (``state.ChangeLog``): a batch that
-is run again after a failure rewrites its own rows.
+tests). A malformed record costs that record: every job counts the lines it keeps and
+rejects on the parse itself (``observedMetrics`` of its progress, ``line_counts``), and
+``rejects_job`` writes the rejected lines. Change logs and sinks are written per batch
+id: a batch that is run again after a failure rewrites its own rows.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from learnstream.operators.state import ChangeLog
 from learnstream.session import ensure_checkpoint_dir
 from learnstream.sources import parse
 from learnstream.sources.feeds import BATCH_SECONDS
+from learnstream.streaming import page_state, watch_state
 from learnstream.streaming.sinks import Sink
 
 
@@ -44,13 +47,49 @@ def _trigger(writer, available_now: bool):
     return writer.trigger(processingTime=f"{BATCH_SECONDS} seconds")
 
 
+def _checkpoint(spark: SparkSession, root: str | None, name: str) -> str:
+    return f"{_root(spark, root)}/{name}/_checkpoint"
+
+
+# ---- malformed records -------------------------------------------------------
+
+def _rows(feed: DataFrame, kind: str, **options) -> DataFrame:
+    """The feed's valid rows; both kinds of lines are counted where they are parsed."""
+    flagged = parse.PARSERS[kind](feed, keep_rejects=True, **options).drop("line")
+    counted = flagged.observe("lines", F.count_if("valid").alias("kept"), F.count_if(~F.col("valid")).alias("rejected"))
+    return counted.where("valid").drop("valid")
+
+
+def line_counts(query: StreamingQuery) -> dict[str, int]:
+    """Lines kept and rejected over the triggers a query still remembers."""
+    out = {"kept": 0, "rejected": 0}
+    for p in query.recentProgress:
+        if row := p["observedMetrics"].get("lines"):
+            out = {k: n + row[k] for k, n in out.items()}
+    return out
+
+
+def rejects_job(feed: DataFrame, kind: str, *, root: str | None = None, name: str | None = None,
+                available_now: bool = False) -> StreamingQuery:
+    """Every rejected line of a feed, once, as text files (``rejects`` reads them)."""
+    spark, name = feed.sparkSession, name or f"rejects_{kind}"
+    w = (parse.rejected(feed, kind).writeStream.format("text").outputMode("append")
+         .option("path", f"{_root(spark, root)}/{name}/lines")
+         .option("checkpointLocation", _checkpoint(spark, root, name)))
+    return _trigger(w, available_now).start()
+
+
+def rejects(spark: SparkSession, kind: str, root: str | None = None, name: str | None = None) -> DataFrame:
+    return spark.read.schema("value string").text(f"{_root(spark, root)}/{name or f'rejects_{kind}'}/lines")
+
+
 # ---- J1, J2 ----------------------------------------------------------------
 
 def register_total_job(feed: DataFrame, *, root: str | None = None, sink: str = "memory",
                        name: str = "register_channel_total",
                        available_now: bool = False) -> StreamingQuery:
     spark = feed.sparkSession
-    agg = registrations.channel_total(parse.parse_register(feed))
+    agg = registrations.channel_total(_rows(feed, "register"))
     w = (agg.writeStream.outputMode("complete").format(sink).queryName(name)
          .option("checkpointLocation", f"{_root(spark, root)}/{name}/_checkpoint"))
     if sink == "console":
@@ -62,17 +101,27 @@ def _log(spark: SparkSession, root: str | None, name: str, keys, add=(), every:
     return ChangeLog(spark, f"{_root(spark, root)}/{name}", keys, add, every)
 
 
+def _hand_on(sink: Sink | None, log: ChangeLog, batch_id: int) -> None:
+    """Give the sink what a batch wrote to a change log."""
+    if sink:
+        sink(log.spark.read.parquet(f"{log.path}/b={batch_id}"), batch_id)
+
+
 def pane_log(spark: SparkSession, root: str | None = None, name: str = "register_channel_window") -> ChangeLog:
     return _log(spark, root, f"{name}/panes", ["pane", "channel"], ["n"])
 
 
 def register_window_job(feed: DataFrame, *, root: str | None = None,
                         name: str = "register_channel_window",
-                        available_now: bool = False) -> StreamingQuery:
-    """J2; ``register_windows`` reads the windows."""
+                        available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
+    """J2; ``register_windows`` reads the windows. The sink gets a batch's panes."""
     log = pane_log(feed.sparkSession, root, name)
-    w = (parse.parse_register(feed).writeStream
-         .foreachBatch(lambda df, n: log.write(registrations.channel_panes(df), n))
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        log.write(registrations.channel_panes(df), batch_id)
+        _hand_on(sink, log, batch_id)
+
+    w = (_rows(feed, "register").writeStream.foreachBatch(write)
          .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()
 
@@ -109,10 +158,9 @@ def practice_job(feed: DataFrame, *, root: str | None = None, name: str = "qz_po
 
     def write(df: DataFrame, batch_id: int) -> None:
         log.write(df, batch_id)
-        if sink:
-            sink(df.sparkSession.read.parquet(f"{log.path}/b={batch_id}"), batch_id)
+        _hand_on(sink, log, batch_id)
 
-    w = (practice_stream(parse.parse_qz(feed)).writeStream.outputMode("update")
+    w = (practice_stream(_rows(feed, "qz")).writeStream.outputMode("update")
          .foreachBatch(write)
          .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()
@@ -127,8 +175,8 @@ def page_logs(spark: SparkSession, root: str | None = None, name: str = "page")
 
 
 def page_job(feed: DataFrame, ranges: DataFrame, *, root: str | None = None,
-             name: str = "page", available_now: bool = False) -> StreamingQuery:
-    """J4; ``page_tables`` reads the results."""
+             name: str = "page", available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
+    """J4; ``page_tables`` reads the results. The sink gets a batch's transition counts."""
     jumps, provinces = page_logs(feed.sparkSession, root, name)
 
     def add(df: DataFrame, batch_id: int) -> None:
@@ -136,10 +184,11 @@ def page_job(feed: DataFrame, ranges: DataFrame, *, root: str | None = None,
         try:
             jumps.write(pages.jump_count(df), batch_id)
             provinces.write(pages.province_clicks(df, ranges), batch_id)
+            _hand_on(sink, jumps, batch_id)
         finally:
             df.unpersist()
 
-    w = (parse.parse_page(feed).writeStream.foreachBatch(add)
+    w = (_rows(feed, "page").writeStream.foreachBatch(add)
          .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()
 
@@ -152,32 +201,48 @@ def page_tables(spark: SparkSession, root: str | None = None, name: str = "page"
             "province_clicks_top3": pages.top_of(provinces)}
 
 
-# ---- J5 --------------------------------------------------------------------
+def _keyed(rows: DataFrame, checkpoint: str, available_now: bool, sink: Sink | None) -> StreamingQuery:
+    """A keyed-state query: its result is its state; the sink gets the rows a trigger changed."""
+    w = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return _trigger(w.foreachBatch(sink) if sink else w.format("noop"), available_now).start()
+
+
+def page_state_job(feed: DataFrame, *, root: str | None = None, name: str = "page_state",
+                   available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
+    """J4's page rows; ``page_rows`` reads them."""
+    watch_state.use_rocksdb(feed.sparkSession)
+    return _keyed(page_state.folded(_rows(feed, "page")), _checkpoint(feed.sparkSession, root, name),
+                  available_now, sink)
 
-def watch_logs(spark: SparkSession, root: str | None = None, name: str = "watch") -> tuple[ChangeLog, ChangeLog]:
-    """State per video key, and rollup totals."""
-    return (_log(spark, root, f"{name}/video_state", watch.KEY),
-            _log(spark, root, f"{name}/rollup", ["dim", "key"], ["totaltime"]))
 
+def page_rows(spark: SparkSession, root: str | None = None, name: str = "page_state") -> DataFrame:
+    return page_state.stored(spark, _checkpoint(spark, root, name))
+
+
+# ---- J5 --------------------------------------------------------------------
 
 def watch_job(feed: DataFrame, *, root: str | None = None, name: str = "watch",
-              available_now: bool = False) -> StreamingQuery:
-    """J5. Batch n reads the state of its own keys after batch n-1, folds its
-    plays in and writes these keys; ``watch_logs(...)[k].read()`` has the
-    current rows."""
-    spark = feed.sparkSession
-    video, rolls = watch_logs(spark, root, name)
+              available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
+    """J5 per video key; ``watch_rows`` reads the current rows."""
+    watch_state.use_rocksdb(feed.sparkSession)
+    plays = watch.plays(_rows(feed, "course_learn"))
+    changed = watch_state.with_intervals(watch_state.folded(plays))
+    return _keyed(changed, _checkpoint(feed.sparkSession, root, name), available_now, sink)
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        rows = parse.parse_learn(batch).persist()
-        try:
-            keys = watch.plays(rows).select(*watch.KEY).distinct()
-            old = video.read(before=batch_id, keys=keys) if batch_id else None
-            video.write(watch.state_from(rows) if old is None else watch.incremental(old, rows), batch_id)
-            rolls.write(watch.rollup(rows), batch_id)
-        finally:
-            rows.unpersist()
 
-    w = (feed.writeStream.foreachBatch(fold)
-         .option("checkpointLocation", f"{_root(spark, root)}/{name}/_checkpoint"))
-    return _trigger(w, available_now).start()
+def watch_rows(spark: SparkSession, root: str | None = None, name: str = "watch") -> DataFrame:
+    return watch_state.stored(spark, _checkpoint(spark, root, name))
+
+
+def watch_rollup_job(feed: DataFrame, *, root: str | None = None, name: str = "watch_rollup",
+                     available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
+    """J5's five totals as one aggregation by (dim, key); ``watch_rollup`` reads them."""
+    rows = _rows(feed, "course_learn", columns=[*watch.ROLLUP_DIMS, "secs"])
+    dims = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("key")) for d in watch.ROLLUP_DIMS])
+    totals = rows.select("secs", F.inline(dims)).groupBy("dim", "key").agg(F.sum("secs").alias("totaltime"))
+    return _keyed(totals, _checkpoint(feed.sparkSession, root, name), available_now, sink)
+
+
+def watch_rollup(spark: SparkSession, root: str | None = None, name: str = "watch_rollup") -> DataFrame:
+    state = spark.read.format("statestore").load(_checkpoint(spark, root, name))
+    return state.select("key.*", "value.*").toDF("dim", "key", "totaltime")

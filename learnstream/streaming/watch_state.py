@@ -25,6 +25,11 @@ HELD = "totaltime long, effecttime long, completetime long, starts array<int>, e
 CHANGED = f"userid int, cwareid int, videoid int, {HELD}"
 
 
+def state_of(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    """(key, value) of a state variable after the last trigger, read from the checkpoint."""
+    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", variable).load()
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """Keyed state needs this store; a session that names another one keeps its own."""
     if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
@@ -101,6 +106,6 @@ def with_intervals(held: DataFrame) -> DataFrame:
 
 
 def stored(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """The state of every key after the last trigger, read from the checkpoint."""
-    state = (spark.read.format("statestore").option("path", checkpoint).option("stateVarName", VARIABLE).load())
+    """The state of every key after the last trigger."""
+    state = state_of(spark, checkpoint, VARIABLE)
     return with_intervals(state.select(*[F.col(f"key.{k}").alias(k) for k in watch.KEY], "value.*"))

@@ -1,16 +1,18 @@
 """Streaming = batch, and restart/replay without double counting."""
 
 import tempfile
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
 from learnstream.operators import watch
 from learnstream.plans import catalog
 from learnstream.sources import adapters
-from learnstream.sources.feeds import replay_to_dir, stream_feed
+from learnstream.sources.feeds import replay_to_dir, stream_feed, topic_cap
 from learnstream.streaming import jobs
-from learnstream.streaming.sinks import staging_writer
+from learnstream.streaming.sinks import latest, partition_writer, staging_writer
 
 
 def _feed_dir(spark, feed, parts):
@@ -55,26 +57,149 @@ def test_practice_stream_equals_batch_and_replays(spark):
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_watch_stream_matches_batch(spark):
+def _watch_of(spark, df):
+    return {(r.userid, r.cwareid, r.videoid): (r.totaltime, r.completetime, r.iv) for r in df.select(
+        *watch.KEY, "totaltime", "completetime", watch.interval_text(F.col("intervals")).alias("iv")).collect()}
+
+
+def test_watch_stream_matches_batch_and_restarts(spark):
+    """Three triggers and a restart between; totals, completed time and intervals do not depend on
+    batch cuts. Effective time of one trigger is that of the batch query."""
     d = _feed_dir(spark, "course_learn", 3)
     root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
-    feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
-    jobs.watch_job(feed, root=root, name="w", available_now=True).awaitTermination(300)
-    video, rolls = jobs.watch_logs(spark, root, "w")
-    state = video.read()
-    batch = catalog.CATALOG["video_watch_detail"](spark, SMALL)
-    ivs = catalog.CATALOG["video_intervals"](spark, SMALL)
-    # completed and total time and intervals do not depend on batch cuts
-    got = {(r.userid, r.cwareid, r.videoid): (r.totaltime, r.completetime, r.iv) for r in
-           state.select(*watch.KEY, "totaltime", "completetime",
-                        watch.interval_text(F.col("intervals")).alias("iv")).collect()}
-    iv = {(r.userid, r.cwareid, r.videoid): r.play_interval for r in ivs.collect()}
-    want = {(r.userid, r.cwareid, r.videoid): (r.totaltime, r.completetime,
-                                               iv[(r.userid, r.cwareid, r.videoid)])
-            for r in batch.collect()}
-    assert got == want
-    assert sorted(map(tuple, rolls.read().collect()), key=str) == sorted(
+    for folder in ("part[01]", "part[012]"):
+        feed = stream_feed(spark, directory=f"{d}/{folder}", files_per_trigger=1)
+        for job in (jobs.watch_job, jobs.watch_rollup_job):
+            job(feed, root=root, name=job.__name__, available_now=True).awaitTermination(300)
+    rows = catalog.rows(spark, SMALL, "course_learn")
+    assert _watch_of(spark, jobs.watch_rows(spark, root, "watch_job")) == _watch_of(spark, watch.state_from(rows))
+    assert sorted(map(tuple, jobs.watch_rollup(spark, root, "watch_rollup_job").collect()), key=str) == sorted(
         map(tuple, catalog.CATALOG["learn_rollup"](spark, SMALL).collect()), key=str)
+    one = stream_feed(spark, directory=f"{d}/*")
+    jobs.watch_job(one, root=root, name="once", available_now=True).awaitTermination(300)
+    want = catalog.CATALOG["video_watch_detail"](spark, SMALL)
+    got = jobs.watch_rows(spark, root, "once").select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_watch_stream_with_a_third_of_the_plays_on_one_key(spark):
+    d = tempfile.mkdtemp(prefix="feed-hot-", dir="/tmp")
+    line = '{"uid":%d,"cwareid":1,"videoid":1,"ts":%d,"te":%d,"ps":%d,"pe":%d}'
+    plays = [line % (1 if k % 3 else 2 + k, k * 1000, k * 1000 + 9000, k * 7 % 600, k * 7 % 600 + k % 23 - 3)
+             for k in range(900)]
+    for part in range(3):
+        spark.createDataFrame([(p,) for p in plays[part::3][::-1] + plays[part:40:3]], "value string").coalesce(1).write.text(
+            f"{d}/{part}")
+    root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
+    jobs.watch_job(feed, root=root, name="hot", available_now=True).awaitTermination(300)
+    from learnstream.sources import parse
+    rows = parse.parse_learn(spark.read.text(f"{d}/*"))
+    assert _watch_of(spark, jobs.watch_rows(spark, root, "hot")) == _watch_of(spark, watch.state_from(rows))
+
+
+def test_a_stream_of_every_malformed_line_ends_and_counts(spark):
+    """All fixtures' odd lines, and hostile numbers; counts are those of the batch query."""
+    from test_parsers import HOSTILE
+    counts = {r.feed: (r.kept, r.rejected) for r in catalog.CATALOG["feed_reject_count"](spark, SMALL).collect()}
+    root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    ranges = adapters.province_ranges(catalog.table(spark, SMALL, "nation"))
+    todo = {"register": jobs.register_total_job, "qz": jobs.practice_job, "course_learn": jobs.watch_job,
+            "page": lambda feed, **o: jobs.page_job(feed, ranges, **o)}
+    extra = {"course_learn": ["{%s}" % x for x in HOSTILE] + ['{"uid":"1","ts":1,"te":2}]'], "page": ['{"uid":"1"}] junk']}
+    for kind, job in todo.items():
+        d = _feed_dir(spark, kind, 2)
+        odd = extra.get(kind, [])
+        spark.createDataFrame([(x,) for x in odd], "value string").coalesce(1).write.text(f"{d}/odd")
+        feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
+        q = job(feed, root=root, name=f"odd_{kind}", available_now=True)
+        q.awaitTermination(300)
+        assert jobs.line_counts(q) == {"kept": counts[kind][0], "rejected": counts[kind][1] + len(odd)}
+        for _ in range(2):                       # a second start adds nothing
+            jobs.rejects_job(feed, kind, root=root, available_now=True).awaitTermination(300)
+        held = [r.value for r in jobs.rejects(spark, kind, root).collect()]
+        assert len(held) == counts[kind][1] + len(odd) and set(odd) <= set(held)
+
+
+def test_page_rows_in_state_follow_the_merge_rule(spark):
+    """Any split of the feed: the stream's table is the batches merged one after the other."""
+    from learnstream.operators import pages
+    from learnstream.sources import parse
+    d = tempfile.mkdtemp(prefix="feed-page-", dir="/tmp")
+    lines = catalog.lines(spark, SMALL, "page")
+    cuts = [(0, 1), (1, 300), (300, 310), (310, 10 ** 9)]
+    root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    state = None
+    for k, (a, b) in enumerate(cuts):
+        part = lines.where(f"pos >= {a} AND pos < {b}").select("value")
+        # further page ids, and neighbours that a later batch would choose otherwise
+        more = '{"page_id":"%d","last_page_id":"%d","next_page_id":"9"}' % (7 + k % 2, 5 - k)
+        part = part.union(spark.createDataFrame([(more,), (more.replace("7", "x").replace("8", "x"),)], "value string"))
+        part.coalesce(1).write.text(f"{d}/{k}")
+        feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
+        jobs.page_state_job(feed, root=root, available_now=True).awaitTermination(300)
+        new = pages.page_batch(pages.jump_count(parse.parse_page(part)))
+        state = spark.createDataFrame((new if state is None else pages.merge_pages(state, new)).collect(), new.schema)
+    got = jobs.page_rows(spark, root)
+    assert sorted(map(tuple, got.select(*state.columns).collect())) == sorted(map(tuple, state.collect()))
+
+
+class Broken(Exception):
+    pass
+
+
+def test_a_batch_that_fails_behind_its_write_stands_once(spark):
+    """The sink writes and fails in batch 1; started again, every batch's rows are there once."""
+    ranges = adapters.province_ranges(catalog.table(spark, SMALL, "nation"))
+    todo = {"register": jobs.register_window_job, "qz": jobs.practice_job, "course_learn": jobs.watch_job,
+            "page": lambda feed, **o: jobs.page_job(feed, ranges, **o)}
+    for kind, job in todo.items():
+        d, root = _feed_dir(spark, kind, 3), tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+        write = partition_writer(f"{root}/table")
+        seen = []
+
+        def sink(df, batch_id, write=write, seen=seen):
+            write(df, batch_id)
+            seen.append(batch_id)
+            if seen == [0, 1]:
+                raise Broken(batch_id)
+
+        for _ in range(2):
+            feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
+            q = job(feed, root=root, name="t", available_now=True, sink=sink)
+            try:
+                q.awaitTermination(300)
+            except Exception as e:                # noqa: BLE001  wrapped by the query
+                assert "Broken" in str(e)
+        assert seen == [0, 1, 1, 2]
+        table = spark.read.parquet(f"{root}/table")
+        keys = [c for c in table.columns if c in {"pane", "channel", *jobs.practice.KEY, *watch.KEY, "last_page_id", "page_id",
+                                                   "next_page_id"}]
+        assert table.groupBy("batch_id", *keys).count().where("count > 1").count() == 0
+        assert sorted(r.batch_id for r in table.select("batch_id").distinct().collect()) == [0, 1, 2]
+        if kind == "qz":
+            want = catalog.CATALOG["qz_point_detail"](spark, SMALL)
+            last = latest(table, jobs.practice.KEY).select(*want.columns)
+            assert sorted(map(tuple, last.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_folder_cap_by_bytes_and_topic_cap(spark):
+    d = tempfile.mkdtemp(prefix="feed-bytes-", dir="/tmp") + "/lines"
+    replay_to_dir(catalog.lines(spark, SMALL, "register"), d)
+    size = max(f.stat().st_size for f in Path(d).glob("part-*"))
+    root = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    feed = stream_feed(spark, directory=d, bytes_per_trigger=2 * size)
+    q = jobs.register_total_job(feed, root=root, name="reg_bytes", available_now=True)
+    q.awaitTermination(120)
+    rows = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    most = max(sum(1 for _ in f.open()) for f in Path(d).glob("part-*"))
+    assert len(rows) >= 4 and max(rows) <= 3 * most
+    assert topic_cap("page", 4) == 100 * 3 * 4
+    for wrong in (("qz", None), ("qz", 0), (None, 4), ("quiz", 4)):
+        with pytest.raises(ValueError):
+            topic_cap(*wrong)
+    with pytest.raises(ValueError):
+        stream_feed(spark, directory=d, files_per_trigger=1, bytes_per_trigger=1)
 
 
 def test_register_window_stream_equals_batch(spark):
