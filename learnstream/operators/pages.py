@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnstream.functions.scalar import half_even_percent, ip_to_long
@@ -47,14 +47,46 @@ def convert_rate(totals: DataFrame) -> DataFrame:
     return totals.select("page_id", "num", rate.alias("jump_rate"))
 
 
+def _blocks() -> Column:
+    """The /16 blocks a range touches."""
+    return F.sequence(F.shiftright("ip_from", IP_BUCKET_BITS), F.shiftright("ip_to", IP_BUCKET_BITS))
+
+
+def flatten(ranges: DataFrame) -> DataFrame:
+    """Nested and overlapping ranges -> disjoint ones of the most specific province:
+    every address goes to the smallest range that holds it (ties: the smaller start, then
+    the province's name). A range with ``ip_from`` behind ``ip_to``, or a null end, holds nothing.
+
+    Ranges are cut at /16 blocks; a block's starts and ends cut it into pieces, a range
+    names the pieces from its own start to its own end, and a piece keeps the smallest
+    range that names it. Work is the number of pieces times the ranges around a piece: for
+    nested ranges, their depth."""
+    b = IP_BUCKET_BITS
+    cut = (ranges.where("ip_from <= ip_to").select("*", F.explode(_blocks()).alias("block"))
+           .select("block", F.greatest(F.col("ip_from"), F.shiftleft("block", b)).alias("low"),
+                   (F.least(F.col("ip_to"), F.shiftleft(F.col("block") + 1, b) - 1) + 1).alias("high"),
+                   F.struct((F.col("ip_to") - F.col("ip_from")).alias("size"), "ip_from", "province").alias("own")))
+    edges = cut.select("block", F.explode(F.array("low", "high")).alias("at")).distinct()
+    order = Window.partitionBy("block").orderBy("at")
+    pieces = edges.select("block", "at", F.row_number().over(order).alias("piece"), F.lead("at").over(order).alias("next"))
+    first = pieces.select("block", F.col("at").alias("low"), F.col("piece").alias("i"))
+    last = pieces.select("block", F.col("at").alias("high"), F.col("piece").alias("j"))
+    named = cut.join(first, ["block", "low"]).join(last, ["block", "high"])
+    named = named.select("block", F.explode(F.sequence(F.col("i"), F.col("j") - 1)).alias("piece"), "own")
+    best = named.groupBy("block", "piece").agg(F.min("own").alias("own"))
+    return best.join(pieces, ["block", "piece"]).select(
+        F.col("own.province").alias("province"), F.col("at").alias("ip_from"), (F.col("next") - 1).alias("ip_to"))
+
+
 def locate(ip_counts: DataFrame, ranges: DataFrame) -> DataFrame:
     """Attach the province whose ``[ip_from, ip_to]`` holds ``ip_num``
-    (inner: IPs outside every range drop). Ranges are disjoint, so an IP's
+    (inner: IPs outside every range drop). Ranges are disjoint (``flatten`` makes
+    them so), so an IP's
     range is the last that starts at or before it: ranges, once per /16 block
     they touch, and distinct IPs are ordered in their block. A block holds at
     most 65,536 IPs and as many ranges."""
     b = IP_BUCKET_BITS
-    blocks = F.explode(F.sequence(F.shiftright("ip_from", b), F.shiftright("ip_to", b)))
+    blocks = F.explode(_blocks())
     span = F.struct("province", "ip_to")
     starts = (ranges.select("*", blocks.alias("bucket"))
               .select("bucket", F.greatest(F.col("ip_from"), F.shiftleft("bucket", b)).alias("at"),

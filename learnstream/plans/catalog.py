@@ -198,6 +198,13 @@ def province_clicks_top3(spark, sf_dir):
     return pages.province_top(rows(spark, sf_dir, "page"), ranges)
 
 
+@query("province_clicks_nested")
+def province_clicks_nested(spark, sf_dir):
+    """Clicks per most specific province of nested and overlapping ranges."""
+    ranges = adapters.nested_ranges(table(spark, sf_dir, "nation"))
+    return pages.province_clicks(rows(spark, sf_dir, "page"), pages.flatten(ranges))
+
+
 @query("page_view_incremental")
 def page_view_incremental(spark, sf_dir):
     hist, batch = halves(spark, sf_dir, "page")

@@ -438,6 +438,23 @@ FROM (SELECT {IP_NUM} AS ip_num FROM page_rows) p
 JOIN province_range r ON p.ip_num BETWEEN r.ip_from AND r.ip_to
 GROUP BY r.province ORDER BY n DESC, r.province LIMIT 3""")
 
+cte("nested_range", """
+SELECT 'ANY' AS province, CAST(10 * 16777216 AS BIGINT) AS ip_from, CAST(10 * 16777216 + 16777215 AS BIGINT) AS ip_to
+UNION ALL SELECT province, ip_from, ip_to FROM province_range
+UNION ALL SELECT province || ' CITY', ip_from + 65536, ip_from + 2 * 65536 + 32767 FROM province_range
+UNION ALL SELECT province || ' PARK', ip_from + 2 * 65536 + 4096, ip_from + 2 * 65536 + 20479 FROM province_range
+UNION ALL SELECT province || ' EDGE', ip_from + 5 * 65536 + 32768, ip_from + 6 * 65536 + 16383 FROM province_range
+""")
+
+# of every click the smallest range around it
+q("province_clicks_nested", f"""
+SELECT province, count(*) AS n FROM (
+  SELECT p.id, arg_min(r.province, struct_pack(size := r.ip_to - r.ip_from, f := r.ip_from, p := r.province)) AS province
+  FROM (SELECT row_number() OVER () AS id, {IP_NUM} AS ip_num FROM page_rows) p
+  JOIN nested_range r ON p.ip_num BETWEEN r.ip_from AND r.ip_to
+  GROUP BY p.id)
+GROUP BY province""")
+
 q("page_view_incremental", f"""
 SELECT page_id, CAST(sum(num) AS BIGINT) AS num FROM (
   {_view_total_sql('page_hist_rows')} UNION ALL {_view_total_sql('page_batch_rows')})

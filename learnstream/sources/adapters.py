@@ -146,6 +146,23 @@ def province_ranges(nation: DataFrame) -> DataFrame:
     )
 
 
+def nested_ranges(nation: DataFrame) -> DataFrame:
+    """Ranges within and across those of ``province_ranges``: one around all of them, per
+    nation an inner one with one more inside, and a small one across its border."""
+    n, base = F.col("n_nationkey").cast("long"), 10 * 16777216
+    at = lambda a, b: F.lit(base) + (n * 6 + a) * 65536 + b
+
+    def per_nation(name: str, low: Column, high: Column) -> DataFrame:
+        return nation.select(F.concat(F.col("n_name"), F.lit(name)).alias("province"),
+                             low.alias("ip_from"), high.alias("ip_to"))
+    whole = nation.agg(F.min("n_name")).select(F.lit("ANY").alias("province"), F.lit(base).cast("long").alias("ip_from"),
+                                               F.lit(base + 255 * 65536 + 65535).cast("long").alias("ip_to"))
+    return (whole.union(province_ranges(nation))
+            .union(per_nation(" CITY", at(1, 0), at(2, 32767)))
+            .union(per_nation(" PARK", at(2, 4096), at(2, 20479)))
+            .union(per_nation(" EDGE", at(5, 32768), at(6, 16383))))
+
+
 FEEDS = {
     "register": register_lines,
     "qz": qz_lines,

@@ -176,8 +176,13 @@ def page_logs(spark: SparkSession, root: str | None = None, name: str = "page")
 
 def page_job(feed: DataFrame, ranges: DataFrame, *, root: str | None = None,
              name: str = "page", available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
-    """J4; ``page_tables`` reads the results. The sink gets a batch's transition counts."""
-    jumps, provinces = page_logs(feed.sparkSession, root, name)
+    """J4; ``page_tables`` reads the results. Ranges may be nested. The sink gets a batch's transition counts."""
+    spark = feed.sparkSession
+    jumps, provinces = page_logs(spark, root, name)
+    # nested ranges are flattened once, not in every batch
+    flat = f"{_root(spark, root)}/{name}/ranges"
+    pages.flatten(ranges).write.mode("overwrite").parquet(flat)
+    ranges = spark.read.parquet(flat)
 
     def add(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
