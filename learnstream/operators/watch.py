@@ -173,16 +173,37 @@ def state_from(rows: DataFrame) -> DataFrame:
     return watch_detail(rows).join(intervals(rows), KEY).select(*KEY, *TOTALS, "intervals")
 
 
+def covered_before(state: DataFrame, points: DataFrame) -> DataFrame:
+    """(key, x, before): the length that the stored intervals of a key cover ahead of x. Starts of
+    intervals and points are one ordered scan a key: a point's length is the sum of those that
+    started, less what the last of them has behind x. Both are bounded by the video's seconds."""
+    none = F.lit(None).cast("int")
+    starts = state.select(*KEY, F.inline("intervals")).select(
+        *KEY, F.col("s").alias("x"), F.lit(0).alias("point"), F.col("e"), (F.col("e") - F.col("s")).alias("length"))
+    events = starts.unionByName(points.select(*KEY, "x", F.lit(1).alias("point"), none.alias("e"), F.lit(0).alias("length")))
+    w = Window.partitionBy(*KEY).orderBy("x", "point").rowsBetween(Window.unboundedPreceding, 0)
+    behind = F.greatest(F.coalesce(F.last("e", ignorenulls=True).over(w) - F.col("x"), F.lit(0)), F.lit(0))
+    return events.select(*KEY, "x", "point", (F.sum("length").over(w) - behind).alias("before")).where("point = 1").drop("point")
+
+
+def _covered(scanned: DataFrame, batch: DataFrame, state: DataFrame) -> DataFrame:
+    """Adds ``_covered``: what history covers of a play from ``lo`` to ``pe``. Plays meet
+    the lengths of their own ends only, one row each, however many intervals are stored. (``lo`` is
+    a play's own start or an earlier one's end.)"""
+    points = batch.select(*KEY, F.explode(F.array("ps", "pe")).alias("x")).distinct()
+    length = covered_before(state, points)
+    for end in ("lo", "pe"):
+        own = length.select(*KEY, F.col("x").alias(end), F.col("before").alias(f"_at_{end}"))
+        scanned = scanned.join(own, [*KEY, end], "left")
+    return scanned.withColumn("_covered", F.coalesce(F.col("_at_pe") - F.col("_at_lo"), F.lit(0)))
+
+
 def incremental(state: DataFrame, rows: DataFrame) -> DataFrame:
     """Merge a batch of plays into watch state (totals and ``intervals`` per
-    key). Returns the new state over the keys of both sides. Every play meets
-    its key's one state row, whose intervals the video's length bounds."""
-    p = scan_plays(plays(rows)).join(state.select(*KEY, "intervals"), KEY, "left")
-    lo, pe = F.col("lo"), F.col("pe")
-    covered = F.aggregate(
-        F.coalesce("intervals", F.array().cast("array<struct<s:int,e:int>>")), F.lit(0),
-        lambda n, h: n + F.greatest(F.lit(0), F.least(pe, h["e"]) - F.greatest(lo, h["s"])))
-    totals = merge(state, _totals(_with_new(p, covered)), KEY, accumulate=TOTALS)
+    key). Returns the new state over the keys of both sides."""
+    batch = plays(rows)
+    p = _covered(scan_plays(batch), batch, state)
+    totals = merge(state, _totals(_with_new(p, F.col("_covered"))), KEY, accumulate=TOTALS)
     old = state.select(*KEY, F.inline_outer("intervals"))
-    new = plays(rows).select(*KEY, F.col("ps").alias("s"), _reach().alias("e"))
+    new = batch.select(*KEY, F.col("ps").alias("s"), _reach().alias("e"))
     return totals.join(_unite(old.unionByName(new)), KEY).select(*KEY, *TOTALS, "intervals")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from learnstream.operators import registrations as reg
 from learnstream.operators import pages, practice, state, watch
+from learnstream.session import ensure_checkpoint_dir
 from learnstream.sources import adapters, parse
 from learnstream.sources.feeds import replay_frame
 
@@ -118,8 +119,10 @@ def video_intervals(spark, sf_dir):
 @query("video_watch_incremental")
 def video_watch_incremental(spark, sf_dir):
     hist, batch = halves(spark, sf_dir, "course_learn")
-    state = watch.state_from(parse.parse_learn(hist, columns=WATCH)).persist()  # read three times
-    merged = watch.incremental(state, parse.parse_learn(batch, columns=WATCH))
+    ensure_checkpoint_dir(spark)
+    # written once each, as they are read several times: both halves' plays and the stored state
+    old, new = (parse.parse_learn(half, columns=WATCH).checkpoint() for half in (hist, batch))
+    merged = watch.incremental(watch.state_from(old).checkpoint(), new)
     return merged.select(*watch.KEY, "totaltime", "effecttime", "completetime",
                          watch.interval_text(F.col("intervals")).alias("play_interval"))
 

@@ -111,3 +111,28 @@ def test_one_key_with_a_third_of_the_plays(spark):
         df = df.union(other)
     r = watch.watch_detail(df).where("userid = 1").first()
     assert r.completetime == brute(hot)[0]
+
+
+def test_many_stored_intervals_of_one_key(spark):
+    """10,000 stored intervals, plays across some, in some and beyond all of them."""
+    stored = [(k * 10, k * 10 + 1 + k % 9) for k in range(10_000)]
+    held = [(0, 35_005, 1, 9), (17, 18, 2, 4), (50_003, 50_700, 3, 50), (99_990, 120_000, 4, 7), (30_000, 60_000, 5, 3),
+            (200_000, 200_010, 6, 1), (7, 7, 7, 2), (9, 3, 8, 2)]
+    r = watch.incremental(history(spark, stored), plays_df(spark, held)).first()
+    cells = {x for s, e in stored for x in range(s, e)}
+    news, eff = 0, 0
+    for ps, pe, _, secs in sorted(held):
+        new = set(range(ps, pe)) - cells
+        cells |= new
+        news += len(new)
+        eff += int(secs / (pe - ps) * len(new)) if pe != ps else 0
+    assert (r.completetime, r.effecttime, r.totaltime) == (news, eff, sum(p[3] for p in held))
+    assert sum(x.e - x.s for x in r.intervals) == len(cells)
+
+
+def test_lengths_ahead_of_a_point(spark):
+    points = spark.createDataFrame([(1, 1, 1, x) for x in range(0, 45)] + [(2, 1, 1, 5)],
+                                   "userid int, cwareid int, videoid int, x int")
+    got = {(r.userid, r.x): r.before for r in watch.covered_before(history(spark, [(10, 20), (30, 40)]), points).collect()}
+    cells = {*range(10, 20), *range(30, 40)}
+    assert got == {(1, x): len([c for c in cells if c < x]) for x in range(45)} | {(2, 5): 0}
