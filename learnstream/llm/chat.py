@@ -19,6 +19,9 @@ conversation. Every message, call and result becomes one row:
 Rows are ordered by (conv_id, level, turn, nth) when read; no conversation is
 gathered in one task.
 
+A text that starts as JSON but is none, nests too deeply to be walked, or holds NaN, infinity
+or half a surrogate pair is a plain message.
+
 Nulls: a null conv_id is a conversation of its own, a null turn comes first,
 a null role or text is written as null. Repeated rows are duplicates of the
 call or result they repeat. Text that is no JSON object is a plain message.
@@ -43,7 +46,11 @@ KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(
 
 
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Sorted keys, no spaces. ValueError for what JSON in UTF-8 cannot hold: NaN,
+    infinity, half a surrogate pair."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    text.encode()
+    return text
 
 
 def type_of(value) -> str:
@@ -96,13 +103,20 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
 
 
 def records_of(conv_id, turn, role, text, tools: dict[str, dict]) -> list[tuple]:
-    """The rows of one message."""
-    body = None
+    """The rows of one message; a text whose JSON cannot be read, walked or written again is a
+    plain message."""
     if text and text.lstrip()[:1] == "{":
         try:
-            body = json.loads(text)
-        except (ValueError, RecursionError):
+            rows = _records_of(conv_id, turn, role, text, json.loads(text), tools)
+            for row in rows:
+                "".join(x for x in (row[4], row[6], *row[5]) if x).encode()
+            return rows
+        except (ValueError, RecursionError, OverflowError):
             pass
+    return _records_of(conv_id, turn, role, text, None, tools)
+
+
+def _records_of(conv_id, turn, role, text, body, tools: dict[str, dict]) -> list[tuple]:
     rows = []
     if isinstance(body, dict) and isinstance(body.get("tool_calls"), list):
         for n, call in enumerate(c for c in body["tool_calls"] if isinstance(c, dict)):

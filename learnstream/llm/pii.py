@@ -52,6 +52,14 @@ DOTTED = re.compile(r"[0-9][0-9.]*+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 NUMBER = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+# Characters of an IBAN by country (public registry).
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22,
+    DK=18, DO=28, EE=20, EG=29, ES=24, FI=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HR=21, HU=28,
+    IE=22, IL=23, IQ=23, IS=26, IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, MC=27, MD=24,
+    ME=22, MK=19, MR=27, MT=31, MU=30, NL=18, NO=15, PK=24, PL=28, PS=29, PT=25, QA=29, RO=24, RS=22, SA=24, SC=31,
+    SE=24, SI=19, SK=24, SM=27, ST=25, SV=28, TL=23, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20)
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -107,14 +115,31 @@ def phones(text: str) -> Iterator[Span]:
 
 
 def ibans(text: str) -> Iterator[Span]:
-    for m in IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield m.span()
+    """As many characters as the country's have, with single spaces between; of a country
+    without a known length, all there are."""
+    free = 0
+    for m in IBAN_START.finditer(text):
+        at, n = m.start(), IBAN_LENGTHS.get(m[0][:2])
+        if at < free:
+            continue
+        if n:
+            own = IBAN_OF[n].match(text, at)
+        else:
+            own = IBAN.match(text, at)
+        if own and mod97(own[0].replace(" ", "")):
+            free = own.end()
+            yield own.span()
+
+
+IBAN_OF = {n: re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4)) for n in set(IBAN_LENGTHS.values())}
 
 
 def ssns(text: str) -> Iterator[Span]:
+    """Without the areas, groups and serials that are never issued."""
     for m in SSN.finditer(text):
-        yield m.span()
+        area, group, serial = m[0].split("-")
+        if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
+            yield m.span()
 
 
 def score(text: str, kind: str, span: Span) -> float:

@@ -135,7 +135,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     rows = materialize(usable(vectors).withColumn(
         "norm", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), "vectors")
     facts = rows.agg(F.max("norm").alias("m"), F.max(F.size("v")).alias("dim")).first()
-    top, dim = facts["m"] or 0.0, facts["dim"] or 0
+    top, dim = facts["m"] or 0.0, max(facts["dim"] or 0, 1)
     draw = rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("vec_id", "v").limit(SAMPLE).collect()
     if not draw:
         return spark.createDataFrame([], OUT)
@@ -167,7 +167,8 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
             yield out(cell)
 
     blocks = materialize(rows.select("vec_id", "v").mapInPandas(block, "ids binary, x binary, d binary"), "pivot-table")
-    asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "v")
+    # one vector a query id, the least one, before any come to the driver
+    asked = materialize(rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     # runs of ids in order, put together to blocks of at most QUERY_BLOCK
     runs = (asked.select("vec_id").distinct().sort("vec_id")
             .mapInPandas(_runs_of(QUERY_BLOCK // 4), "first long, n long"))

@@ -88,3 +88,14 @@ def test_derived_conversations_link_as_by_hand(spark, small):
         body = json.loads(got[k].json)
         assert body["arguments"]["limit"] == w and body["arguments"]["query"] == (rows[k].text or "")
         assert got[k].json == chat.canonical(body)
+
+
+def test_hostile_json_is_a_plain_message(spark):
+    call = '{"tool_calls":[{"id":"a","name":"search","arguments":%s}]}'
+    texts = [call % '"\\ud800"', call % ("[" * 3000 + "]" * 3000), call % '{"limit":NaN}', call % '{"limit":1e999}',
+             '{"tool_call_id":"\\udfff","content":1}', '{"tool_call_id":"a","content":Infinity}', '{"a":' * 5000,
+             call % ("1" * 5000), '{"tool_calls":[{"id":"\\ud83d","name":"x"}]}']
+    rows = [(1, k, "assistant", t) for k, t in enumerate(texts)]
+    got = chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), chat.TOOLS).collect()
+    assert sorted((r.turn, r.kind) for r in got) == [(k, "message") for k in range(len(texts))]
+    assert all(json.loads(r.json)["content"] == texts[r.turn] for r in got)

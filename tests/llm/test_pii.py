@@ -48,6 +48,10 @@ def test_added_kinds_need_a_checksum_or_context():
     assert pii.find("iban GB83 WEST 1234 5698 7654 32.") == []
     assert [s[0] for s in pii.find("social security 078-05-1120")] == ["ssn"]
     assert pii.find("part 078-05-1120") == []
+    for behind in ("", ".", " BIC COBADEFF", " und", " 12"):
+        assert [(k, a, b) for k, a, b, _ in pii.find("IBAN DE89 3704 0044 0532 0130 00" + behind)] == [("iban", 5, 32)]
+    assert pii.find("IBAN DE89 3704 0044 0532 0130 001") == []
+    assert all(pii.find(f"ssn {x}") == [] for x in ("000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"))
     with_words, without = (pii.find(t)[0][3] for t in ("my visa card 4111111111111111", "order 4111111111111111"))
     assert with_words > without
 

@@ -41,3 +41,14 @@ def test_few_rows_and_empty_table(spark):
     check(spark, [(0, [1.0]), (1, [2.0])])
     check(spark, [(0, [1.0])])
     check(spark, [])
+
+
+def test_conflicting_rows_of_a_query_and_empty_vectors(spark):
+    """The least vector of a query's id, however rows are dealt; vectors without components score 0."""
+    rows = [(0, [2.0, 0.0]), (0, [1.0, 5.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0])]
+    want = sorted(brute([rows[1], *rows[2:]]))
+    for order in (rows, rows[::-1], [rows[2], rows[1], rows[3], rows[0], rows[4]]):
+        for n in (1, 3):
+            df = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(n)
+            assert sorted(map(tuple, topk.top_k(df).collect())) == want
+    check(spark, [(0, []), (1, []), (2, [])])
