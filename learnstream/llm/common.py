@@ -22,6 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, made longer until they are none of ``columns`` in any case of letters."""
+    held = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that very long texts fit a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-from learnstream.llm.common import bound_batches, materialize, per_batch, running_total
+from learnstream.llm.common import bound_batches, free_names, materialize, per_batch, running_total
 
 MIN_WORDS = 10
 #: known: whether there is an id (doc_id is 0 without), so that joins keep such
@@ -126,20 +126,21 @@ def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS,
                 names: tuple[str, str, str] = ("n_lines", "deleted", "sources")) -> DataFrame:
     """All columns of ``docs`` with the later copies cut out of ``text``, then,
-    as ``names`` (columns of these names are replaced): the number of lines, the
+    as ``names`` (columns of these names, in any case of letters, are replaced): the number of lines, the
     deleted intervals of lines, the ids of the documents whose lines they repeat."""
     bound_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in names]
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    lines_, sources_, id_, mark_, own_ = free_names(docs.columns, "_lines", "_sources", "_id", "_mark", "_own")
     cut = (copies(docs, min_words).groupBy("doc_id", "mark")
-           .agg(F.collect_set(F.struct("place", "end")).alias("_lines"), F.collect_set("source").alias("_sources"))
-           .withColumnsRenamed({"doc_id": "_id", "mark": "_mark"}))
+           .agg(F.collect_set(F.struct("place", "end")).alias(lines_), F.collect_set("source").alias(sources_))
+           .withColumnsRenamed({"doc_id": id_, "mark": mark_}))
     fields = [docs.schema[c] for c in kept]
     at = kept.index("text")
 
     def mark(b: pa.RecordBatch) -> pa.RecordBatch:
         own = [None if t is None else signed(xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")))
                for t in b.column(at).to_pylist()]
-        return pa.RecordBatch.from_arrays([*b.columns, pa.array(own, pa.int64())], [*b.schema.names, "_own"])
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(own, pa.int64())], [*b.schema.names, own_])
 
     span = StructType().add("place", LongType()).add("end", LongType())
     out = (StructType(list(fields)).add(names[0], IntegerType()).add(names[1], ArrayType(span))
@@ -148,7 +149,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS,
 
     def cut_out(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, n_lines, deleted = [], [], []
-        for text, spans in zip(b.column(at).to_pylist(), b.column("_lines").to_pylist()):
+        for text, spans in zip(b.column(at).to_pylist(), b.column(lines_).to_pylist()):
             lines = [] if text is None else text.split("\n")
             spans = merged(spans or [])
             n_lines.append(len(lines))
@@ -161,14 +162,14 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS,
                 text = "\n".join(rest + lines[free:])
             texts.append(text)
         columns = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(len(kept))]
-        sources = [sorted(x for x in s if x is not None) if s else [] for s in b.column("_sources").to_pylist()]
+        sources = [sorted(x for x in s if x is not None) if s else [] for s in b.column(sources_).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*columns, pa.array(n_lines, pa.int32()), pa.array(deleted, span_type),
              pa.array(sources, pa.list_(pa.int64()))], [*kept, *names])
 
-    marked = docs.select(*kept).mapInArrow(per_batch(mark), StructType(list(fields)).add("_own", LongType()))
-    joined = marked.join(cut, marked["doc_id"].eqNullSafe(cut["_id"]) & (marked["_own"] == cut["_mark"]), "left")
-    return joined.select(*[marked[c] for c in kept], "_lines", "_sources").mapInArrow(per_batch(cut_out), out)
+    marked = docs.select(*kept).mapInArrow(per_batch(mark), StructType(list(fields)).add(own_, LongType()))
+    joined = marked.join(cut, marked["doc_id"].eqNullSafe(cut[id_]) & (marked[own_] == cut[mark_]), "left")
+    return joined.select(*[marked[c] for c in kept], lines_, sources_).mapInArrow(per_batch(cut_out), out)
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:

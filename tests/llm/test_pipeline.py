@@ -48,7 +48,8 @@ def test_an_empty_table_passes_all_stages(spark, small):
 
 def test_extra_columns_pass_through(spark, small):
     from pyspark.sql import functions as F
-    names = ["score", "lang_pred", "n_lines", "deleted", "sources", "node", "key", "rank", "kept", "item_id"]
+    names = ["score", "lang_pred", "n_lines", "deleted", "sources", "node", "key", "rank", "kept", "item_id", "_own",
+             "_lines", "_sources", "_id", "_mark", "_language", "_Language_Score", "_n_lines", "_Deleted", "_mark_"]
     docs = pipeline.table(spark, small, "documents").withColumns({c: F.concat(F.lit(c), "doc_id") for c in names})
     ids = docs.count()
     for name, stage in pipeline.STAGES[:-1]:
