@@ -2,6 +2,10 @@
 decontamination, packing. Each stage takes (spark, docs, sf_dir) and works on
 all that its predecessor kept; all but the last return the columns of
 ``documents``.
+
+Null and empty texts have no letter and go in the first stage; null ids pass all stages; columns
+beside doc_id, text and lang pass through whatever their names (n_chars follows a cut text), and do
+not reach the packed pieces. An empty table passes as one.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnstream.llm import decontam, langid, linededup, neardup, packing
-from learnstream.llm.common import materialize, scratch_path, table
+from learnstream.llm.common import free_names, materialize, scratch_path, table
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,16 +26,18 @@ MIN_SCORE = 0.5              # share of the best language that a document needs
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those no language has half of."""
     langs, p = langid.train(docs, VOCABULARY)
-    told = langid.with_language(docs, langs, p, VOCABULARY, ("_language", "_language_score"))
-    kept = told.where((F.col("_language") != langid.UNDETERMINED) & (F.col("_language_score") >= MIN_SCORE))
+    name, score = free_names(docs.columns, "_language", "_language_score")
+    told = langid.with_language(docs, langs, p, VOCABULARY, (name, score))
+    kept = told.where((F.col(name) != langid.UNDETERMINED) & (F.col(score) >= MIN_SCORE))
     # without any labelled document there is nothing to decide by
     return (kept if langs else told).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut later copies of line runs; documents of which nothing is left go."""
-    out = linededup.dedup_lines(docs, names=("_n_lines", "_deleted", "_copied"))
-    whole = F.size("_deleted") == 0
+    names = free_names(docs.columns, "_n_lines", "_deleted", "_copied")
+    out = linededup.dedup_lines(docs, names=tuple(names))
+    whole = F.size(names[1]) == 0
     kept = out.where(whole | (F.length(F.trim("text")) > 0))
     if "n_chars" in docs.columns:
         n_chars = F.when(whole, F.col("n_chars")).otherwise(F.length("text"))
@@ -60,8 +66,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if not again.limit(1).count():
         return rest
     # rows that repeat an id and a text
-    one = docs.join(again, same(docs, again), "left_semi").withColumn("_mark", F.xxhash64("text"))
-    return rest.union(one.dropDuplicates(["doc_id", "_mark"]).select(*docs.columns))
+    mark, = free_names(docs.columns, "_mark")
+    one = docs.join(again, same(docs, again), "left_semi").withColumn(mark, F.xxhash64("text"))
+    return rest.union(one.dropDuplicates(["doc_id", mark]).select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
