@@ -9,7 +9,7 @@ data size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnstream.functions.scalar import TIME_FORMAT, two_decimals
@@ -91,35 +91,50 @@ def dedup_rate(rows: DataFrame, per_point: int = QUESTIONS_PER_POINT) -> DataFra
 
 
 # ---- state and incremental merge ------------------------------------------
+#
+# A key's question set (A4) is a bitmap in rows: one row for 64 whole-number ids
+# (``word`` is the id div 64, ``bits`` the ids in it), one row, with ``bits`` 1,
+# for any other text, a null included. Sets unite by OR; no array is built.
+
+STATE = [*KEY, "word", "text"]
+
+
+def _bitmap(q: Column) -> list[Column]:
+    """word, text and bit of a question id. Only a number's usual form is taken
+    as one: 7 and 07 are different questions."""
+    num = q.try_cast("long")
+    whole = F.coalesce(num.cast("string") == q, F.lit(False))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), num.bitwiseAND(63).cast("int"))
+    return [F.when(whole, F.shiftright(num, 6)).alias("word"), F.when(~whole, q).alias("text"),
+            F.when(whole, bit).otherwise(F.lit(1).cast("long")).alias("bit")]
+
 
 def state_from(rows: DataFrame) -> DataFrame:
-    """Practice state per key: question set, attempts, right attempts, first
-    create time."""
-    return per_question(rows).groupBy(*KEY).agg(
-        _sorted_questions(F.col("questionid")).alias("questions"),
-        F.sum("n").cast("long").alias("qz_sum"),
-        F.sum("right").cast("long").alias("qz_istrue"),
-        F.min("first_time").alias("createtime"))
+    """Practice state: bitmap rows of the questions, with their attempts, right
+    attempts and first create time. One aggregation, combined map-side."""
+    own = rows.select(*KEY, *_bitmap(F.col("questionid")), _right(F.col("istrue")).alias("right"), "createtime")
+    return own.groupBy(*STATE).agg(
+        F.bit_or("bit").alias("bits"), F.count(F.lit(1)).alias("n"),
+        F.sum("right").cast("long").alias("right"), F.min("createtime").alias("createtime"))
 
 
 def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Merge M: sums accumulate, question sets unite, the first create time
-    of the stored row is kept (S9)."""
-    o = old.select(*KEY, *[F.col(c).alias(f"o_{c}") for c in ("questions", "qz_sum", "qz_istrue", "createtime")])
-    n = new.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in ("questions", "qz_sum", "qz_istrue", "createtime")])
-    j = o.join(n, KEY, "full_outer")
-    union = F.array_union(F.coalesce(F.col("o_questions"), F.array().cast("array<string>")),
-                          F.coalesce(F.col("n_questions"), F.array().cast("array<string>")))
-    srt = F.transform(F.sort_array(F.transform(union, lambda q: F.struct(
-        q.try_cast("long").alias("num"), q.alias("q")))), lambda x: x["q"])
-    return j.select(
-        *KEY, srt.alias("questions"),
-        (F.coalesce(F.col("o_qz_sum"), F.lit(0)) + F.coalesce(F.col("n_qz_sum"), F.lit(0))).cast("long").alias("qz_sum"),
-        (F.coalesce(F.col("o_qz_istrue"), F.lit(0)) + F.coalesce(F.col("n_qz_istrue"), F.lit(0))).cast("long").alias("qz_istrue"),
-        F.coalesce(F.col("o_createtime"), F.col("n_createtime")).alias("createtime"))
+    """Merge M: sums accumulate, bitmaps unite, the first create time of a
+    stored key is kept (S9). The sides are dealt once, by key."""
+    both = (old.withColumn("stored", F.lit(True)).unionByName(new.withColumn("stored", F.lit(False)))
+            .repartition(*KEY))
+    one = both.groupBy(*STATE).agg(
+        F.bit_or("bits").alias("bits"), F.sum("n").alias("n"), F.sum("right").alias("right"),
+        F.min(F.when(F.col("stored"), F.col("createtime"))).alias("before"),
+        F.min(F.when(~F.col("stored"), F.col("createtime"))).alias("now"))
+    key = Window.partitionBy(*KEY)
+    first = F.coalesce(F.min("before").over(key), F.min("now").over(key))
+    return one.select(*STATE, "bits", "n", "right", first.alias("createtime"))
 
 
 def detail_of_state(state: DataFrame, per_point: int = QUESTIONS_PER_POINT) -> DataFrame:
-    cnt = F.size("questions").cast("long")
-    return state.select(*KEY, "qz_sum", cnt.alias("qz_count"), "qz_istrue",
-                        *rates(F.col("qz_sum"), cnt, F.col("qz_istrue"), per_point), "createtime")
+    agg = state.groupBy(*KEY).agg(
+        F.sum("n").cast("long").alias("qz_sum"), F.sum(F.bit_count("bits")).cast("long").alias("qz_count"),
+        F.sum("right").cast("long").alias("qz_istrue"), F.min("createtime").alias("createtime"))
+    return agg.select(*KEY, "qz_sum", "qz_count", "qz_istrue",
+                      *rates(F.col("qz_sum"), F.col("qz_count"), F.col("qz_istrue"), per_point), "createtime")
