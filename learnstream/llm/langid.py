@@ -226,6 +226,17 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS) -> tuple[lis
     return langs, p
 
 
+def with_background(langs: list[str], p: np.ndarray | None) -> tuple[list[str], np.ndarray | None]:
+    """The languages and, as ``und``, one in which every piece is as likely as
+    any. What it explains best is in none of the languages: pieces that they do
+    not have cost them 1 / ``FLOOR`` more than it."""
+    if not langs:
+        return langs, p
+    size = len(p) - 1
+    even = np.append(np.full(size, 1 / size), UNKNOWN / FLOOR)
+    return [*langs, UNDETERMINED], np.column_stack([p, even])
+
+
 class Scorer:
     def __init__(self, path: str, p: np.ndarray):
         self.pieces, self.p, self.plain = Pieces(path), p, Pieces.plain_length(p)

@@ -31,6 +31,20 @@ def test_stages_on_the_small_tables(spark, small):
     assert ids["pack"] == ids["decontaminate"]
 
 
+def test_texts_of_no_learned_language_go(spark, small):
+    import random
+    rnd = random.Random(8)
+    docs = pipeline.table(spark, small, "documents").select("doc_id", "text", "lang")
+    letters = ["".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(rnd.randint(4, 9))) for _ in range(60)]
+    odd = [(10**9, "Ελληνικό κείμενο που κανείς δεν έμαθε εδώ", None), (10**9 + 1, " ".join(letters), None),
+           (10**9 + 2, "ሀ" * 40, None), (10**9 + 3, "12 34 !", None), (10**9 + 4, None, None)]
+    out = pipeline.language(spark, docs.union(spark.createDataFrame(odd, docs.schema)), small)
+    kept = {r.doc_id for r in out.select("doc_id").collect()}
+    assert not kept & {i for i, _, _ in odd}
+    clean = {r.doc_id for r in docs.where("text RLIKE '[A-Za-z]{2,}'").select("doc_id").collect()}
+    assert len(clean - kept) <= 0.005 * len(clean), (len(clean - kept), len(clean))
+
+
 def test_run_is_registered_and_ends_with_the_packed_pieces(spark, small):
     rows = entry.queries()["pipeline"](spark, small).collect()
     ends = defaultdict(int)
