@@ -24,8 +24,9 @@ MIN_SCORE = 0.5              # share of the best language that a document needs
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those no language has half of."""
-    langs, p = langid.train(docs, VOCABULARY)
+    """Drop documents without a letter, those no language has half of, and those
+    that pieces drawn alike explain better than any language."""
+    langs, p = langid.with_background(*langid.train(docs, VOCABULARY))
     name, score = free_names(docs.columns, "_language", "_language_score")
     told = langid.with_language(docs, langs, p, VOCABULARY, (name, score))
     kept = told.where((F.col(name) != langid.UNDETERMINED) & (F.col(score) >= MIN_SCORE))
@@ -72,8 +73,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold an item of the benchmark."""
-    return without(docs, decontam.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"), by_text=True))
+    """Drop documents that hold an item of the benchmark. An item of fewer than
+    ``decontam.MIN_WORDS`` words is too common a phrase to drop documents for."""
+    found = decontam.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"), by_text=True)
+    return without(docs, found.where(F.col("n_words") >= decontam.MIN_WORDS))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
