@@ -22,11 +22,14 @@ rows share is one pair, and joins back split its rows.
 
 Nulls: a null text has no lines and stays null; a null id comes first. Rows
 that repeat an id and a text are one document and get one result. Words are
-counted by spaces; a blank line has none. Extra columns are kept.
+the runs between ASCII white space; of characters of scripts without spaces
+(``UNSPACED``) two are a word. A blank line has none. Extra columns are kept.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -37,6 +40,9 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from learnstream.llm.common import bound_batches, free_names, materialize, per_batch, running_total
 
 MIN_WORDS = 10
+#: Thai and Lao, Burmese, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+                      "\U00020000-\U0003ffff]")
 #: known: whether there is an id (doc_id is 0 without), so that joins keep such
 #: documents and they sort first; mark: hash of the text, so that a repeated id
 #: does no harm.
@@ -47,6 +53,13 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def n_words(line: str) -> int:
+    if line.isascii():
+        return len(line.encode().split())
+    spaced, n = UNSPACED.subn(" ", line)
+    return len(spaced.encode("utf-8", "surrogatepass").split()) + (n + 1) // 2
+
+
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     """One row per line: its hash, the lines of the shortest run with enough
     words from it on (ahead) and up to it (back); null where the document ends."""
@@ -55,7 +68,7 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
         for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             lines = text.split("\n")
             n = len(lines)
-            words = np.fromiter((x.count(" ") + 1 if x.strip() else 0 for x in lines), np.int64, n)
+            words = np.fromiter(map(n_words, lines), np.int64, n)
             before = np.concatenate([[0], np.cumsum(words)])
             place = np.arange(n)
             ahead = np.searchsorted(before, before[:-1] + min_words) - place

@@ -99,7 +99,8 @@ SQL["op9_line_dedup"] = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 lines AS (
   SELECT doc_id, place, line, w, sum(w) OVER (PARTITION BY doc_id ORDER BY place) AS upto
-  FROM (SELECT *, CASE WHEN trim(line) = '' THEN 0 ELSE len(line) - len(replace(line, ' ', '')) + 1 END AS w
+  FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{20000}-\x{3FFFF}]+'))
+          + (len(regexp_extract_all(line, '[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{20000}-\x{3FFFF}]')) + 1) // 2 AS w
         FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS place FROM d))),
 runs AS (
   SELECT a.doc_id, a.place AS s, min(b.place) + 1 AS e FROM lines a JOIN lines b

@@ -7,7 +7,15 @@ from learnstream.llm import linededup
 
 
 def n_words(line):
-    return line.count(" ") + 1 if line.strip() else 0
+    """Words one character at a time."""
+    spaced, n, inside = 0, 0, False
+    for c in line:
+        unspaced = any(a <= ord(c) <= b for a, b in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF),
+                                                     (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0x20000, 0x3FFFF)))
+        word = not unspaced and c not in " \t\n\v\f\r"
+        spaced += word and not inside
+        n, inside = n + unspaced, word
+    return spaced + (n + 1) // 2
 
 
 def brute(rows, min_words):
@@ -43,6 +51,26 @@ def check(spark, rows, min_words=10):
             assert kept == len(want[i]) and got[i].text == "\n".join(want[i]), i
 
 
+MIXED = ["一" * 20, "一" * 19 + " a", "一" * 17 + "。x", "a\tb\tc\td\te\tf\tg\th\ti\tj", "ไทย" * 7, "a  b   c d e f g h i",
+         "カタカナ hiragana ひらがな 漢字 𠀀 é è", " \t ", "a\u00a0b\u3000c\x1cd", "한국어 는 띄어쓰기 가 있다"]
+
+
+def test_words_of_lines_equal_the_plain_count_and_sql():
+    import re
+    import duckdb
+    from learnstream.llm.oracle import SQL
+    counts = [n_words(x) for x in MIXED]
+    assert [linededup.n_words(x) for x in MIXED] == counts and counts[:4] == [10, 11, 10, 10]
+    form = re.search(r"SELECT \*, (.*?) AS w", SQL["op9_line_dedup"], re.S).group(1)
+    got = [duckdb.execute(f"SELECT {form} FROM (SELECT ? AS line)", [x]).fetchone()[0] for x in MIXED]
+    assert got == counts
+
+
+def test_lines_without_spaces_equal_brute_force(spark):
+    rnd = random.Random(9)
+    check(spark, [(k, "\n".join(rnd.choice(MIXED) for _ in range(rnd.randint(1, 5)))) for k in range(40)])
+
+
 def test_random_lines_equal_brute_force(spark):
     rnd = random.Random(8)
     lines = ["a b c", "d e", "f", "", "g h i j k", "l m n o p q r s t u v w", "x y"]
