@@ -6,8 +6,8 @@ queries.
   up over batches; a window is ten panes on reading. Panes are few (14,400 a
   day and channel), so late rows need no watermark and none is dropped.
 * J3 practice: streaming aggregation in ``update`` mode; Spark's state store
-  keeps the per-key totals and question sets, each trigger emits only the
-  changed keys.
+  keeps totals and question bitmaps, one row for 64 questions of a key, each
+  trigger emits only the changed rows. Rows per key are added up on reading.
 * J4 pages: every batch adds its transition counts and its clicks
   per province, the tables are made of them on reading. The page rows (first
   neighbours, views, rates) are keyed state of their own query.
@@ -134,33 +134,29 @@ def register_windows(spark: SparkSession, root: str | None = None,
 
 # ---- J3 --------------------------------------------------------------------
 
-def practice_stream(rows: DataFrame, per_point: int = practice.QUESTIONS_PER_POINT) -> DataFrame:
-    """Streaming form of ``qz_point_detail`` (state in the state store)."""
-    right = F.when(F.col("istrue") == "1", 1).otherwise(0)
-    agg = rows.groupBy(*practice.KEY).agg(
-        F.count(F.lit(1)).cast("long").alias("qz_sum"),
-        F.size(F.collect_set("questionid")).cast("long").alias("qz_count"),
-        F.sum(right).cast("long").alias("qz_istrue"),
-        F.min("createtime").alias("createtime"))
-    return agg.select(*practice.KEY, "qz_sum", "qz_count", "qz_istrue",
-                      *practice.rates(F.col("qz_sum"), F.col("qz_count"), F.col("qz_istrue"),
-                                      per_point), "createtime")
+def practice_log(spark: SparkSession, root: str | None = None, name: str = "qz_point_detail") -> ChangeLog:
+    """Bitmap rows (``practice.state_from``) that batches changed."""
+    return _log(spark, root, f"{name}/changes", practice.STATE)
 
 
-def practice_log(spark: SparkSession, root: str | None = None, name: str = "qz_point_detail") -> ChangeLog:
-    return _log(spark, root, f"{name}/changes", practice.KEY)
+def practice_rows(spark: SparkSession, root: str | None = None, name: str = "qz_point_detail") -> DataFrame:
+    """The current row per key."""
+    return practice.detail_of_state(practice_log(spark, root, name).read())
 
 
 def practice_job(feed: DataFrame, *, root: str | None = None, name: str = "qz_point_detail",
                  available_now: bool = False, sink: Sink | None = None) -> StreamingQuery:
-    """J3; ``practice_log(...).read()`` has the current row per key."""
+    """J3; ``practice_rows`` reads the rows per key. The sink gets those of the keys a batch changed."""
     log = practice_log(feed.sparkSession, root, name)
 
     def write(df: DataFrame, batch_id: int) -> None:
         log.write(df, batch_id)
-        _hand_on(sink, log, batch_id)
+        if sink:
+            changed = log.spark.read.parquet(f"{log.path}/b={batch_id}").select(*practice.KEY).distinct()
+            held = log.read(before=batch_id + 1).join(changed, practice.KEY, "left_semi")
+            sink(practice.detail_of_state(held), batch_id)
 
-    w = (practice_stream(_rows(feed, "qz")).writeStream.outputMode("update")
+    w = (practice.state_from(_rows(feed, "qz")).writeStream.outputMode("update")
          .foreachBatch(write)
          .option("checkpointLocation", f"{_root(feed.sparkSession, root)}/{name}/_checkpoint"))
     return _trigger(w, available_now).start()

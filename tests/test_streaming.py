@@ -1,5 +1,6 @@
 """Streaming = batch, and restart/replay without double counting."""
 
+import random
 import tempfile
 from pathlib import Path
 
@@ -52,11 +53,33 @@ def test_practice_stream_equals_batch_and_replays(spark):
     lines.where("pos >= 500").select("value").coalesce(1).write.text(f"{d}/b")
     feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
     jobs.practice_job(feed, root=root, name="qz", available_now=True).awaitTermination(120)
-    got = jobs.practice_log(spark, root, "qz").read()
+    got = jobs.practice_rows(spark, root, "qz")
     want = catalog.CATALOG["qz_point_detail"](spark, SMALL)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_practice_stream_holds_odd_question_ids_and_a_hot_key(spark):
+    """A third of the attempts on one key, ids beyond one bitmap row, ids that are no number's usual form."""
+    rnd = random.Random(8)
+    ids = ["0", "7", "07", "63", "64", "-1", "128", "x", "", "9223372036854775807", "9223372036854775808"]
+    rows = [(1 if k % 3 == 0 else rnd.randrange(2, 6), 1, rnd.choice(ids), k) for k in range(600)]
+    text = ["\t".join([str(u), "1", str(p), q, rnd.choice("01"), f"2019-07-12 11:{k // 60:02d}:{k % 60:02d}"])
+            for u, p, q, k in rows]
+    d, root = tempfile.mkdtemp(prefix="feed-qz-", dir="/tmp"), tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    for k, part in enumerate((text[:100], text[100:101], text[101:])):
+        spark.createDataFrame([(x,) for x in part], "value string").coalesce(1).write.text(f"{d}/{k}")
+    feed = stream_feed(spark, directory=f"{d}/*", files_per_trigger=1)
+    jobs.practice_job(feed, root=root, name="qz", available_now=True).awaitTermination(120)
+    names = [*jobs.practice.KEY, "qz_sum", "qz_count", "qz_istrue", "createtime"]
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in jobs.practice_rows(spark, root, "qz").select(*names).collect()}
+    want: dict = {}
+    for line in text:
+        u, c, p, q, right, at = line.split("\t")
+        n, questions, rights, first = want.get((int(u), int(c), int(p)), (0, set(), 0, at))
+        want[int(u), int(c), int(p)] = (n + 1, questions | {q}, rights + (right == "1"), min(first, at))
+    assert {k: (n, len(q), r, at) for k, (n, q, r, at) in want.items()} == got
+
+
 def _watch_of(spark, df):
     return {(r.userid, r.cwareid, r.videoid): (r.totaltime, r.completetime, r.iv) for r in df.select(
         *watch.KEY, "totaltime", "completetime", watch.interval_text(F.col("intervals")).alias("iv")).collect()}
