@@ -2,7 +2,10 @@
 
 Records are put in one total order (id, digest, url). The running sum of
 their bytes along it cuts the shards, so shards depend on the rows alone, not
-on how Spark dealt them. A task writes its shards in order, one gzip member a
+on how Spark dealt them. Consecutive shards are a range; at most ``RANGES``
+first keys tell a record's range where it is read, so payloads are dealt once,
+to the plan's rows of the same range. A task merges the two in their order,
+writes its shards, one gzip member a
 record, and rolls files by compressed size, under temporary names. The rows
 it returns are the manifest: only those of task attempts that Spark committed
 are in it. A second job renames exactly these files (again, if an executor is
@@ -26,20 +29,21 @@ import hashlib
 import posixpath
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnstream.llm.common import bound_batches, materialize, per_batch, running_total
+from learnstream.llm.common import BATCH_ROWS, bound_batches, materialize, per_batch, running_total
 
 MIN_PAYLOAD = 1000
 SHARD_BYTES = 32 << 20       # payload bytes of a shard, about
 ROLL_BYTES = 16 << 20        # compressed bytes of a file, about
+RANGES = 1 << 16             # ranges of shards, at most: one first key of each is sent to the tasks
 LEVEL = 6
 DATE = "1970-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -51,6 +55,11 @@ RECORD = ("page_id long, payload_bytes long, payload_digest string, record_type
           "refers_to long, url string")
 
 
+def arrow_schema(columns: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "string": pa.string()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in columns.split(", "))])
+
+
 def record_name(page_id: int | None) -> str:
     return f"<urn:page:{'none' if page_id is None else page_id}>"
 
@@ -79,11 +88,20 @@ def record(page_id, url, payload: bytes, n: int, digest: str, refers_to=None) ->
     return gz.compress(head.encode() + block + b"\r\n\r\n") + gz.flush()
 
 
-def _responses(b: pa.RecordBatch) -> pa.RecordBatch:
-    """The rows with their response record in place of the payload."""
-    made = [record(i, u, p, n, d) for i, u, n, d, p in zip(*(c.to_pylist() for c in b.columns))]
-    return pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(made, pa.binary())],
-                                      [*b.schema.names[:4], "member"])
+def _order(page_id: int | None, digest: str) -> tuple:
+    """The sort key of a record; no id comes first."""
+    return (page_id is not None, page_id or 0, digest)
+
+
+def _responses(starts: list[tuple], ranges: list[int]):
+    """The rows with their range and their response record in place of the payload."""
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        ids, urls, ns, digests, payloads = (c.to_pylist() for c in b.columns)
+        own = [ranges[bisect_right(starts, _order(i, d)) - 1] for i, d in zip(ids, digests)]
+        made = [record(i, u, p, n, d) for i, u, n, d, p in zip(ids, urls, ns, digests, payloads)]
+        return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *b.columns[:4], pa.array(made, pa.binary())],
+                                          ["range", *b.schema.names[:4], "member"])
+    return run
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
@@ -145,20 +163,24 @@ def write(pages: DataFrame, out: str) -> DataFrame:
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long"), "url", F.octet_length(payload).cast("long").alias("n"),
                         F.sha1(payload).alias("digest"), payload.alias("payload"))
-    planned = plan(rows.select("page_id", "n", "digest"))
-    planned = materialize(planned, "plan").withColumnsRenamed({"page_id": "p", "digest": "d"})
+    planned = materialize(plan(rows.select("page_id", "n", "digest")), "plan")
+    shards = (planned.agg(F.max("shard")).first()[0] or 0) + 1
+    n_ranges = min(shards, RANGES)
+    planned = planned.withColumn("range", F.floor(F.col("shard") * n_ranges / shards).cast("int"))
+    # at most RANGES rows
+    firsts = planned.groupBy("range").agg(F.min(F.struct("page_id", "digest")).alias("first")).orderBy("range").collect()
+    starts, ranges = [_order(*r["first"]) for r in firsts], [r["range"] for r in firsts]
     # compressed before they are dealt; what turns out a revisit is left behind
-    packed = rows.mapInArrow(per_batch(_responses), "page_id long, url string, n long, digest string, member binary")
-    full = packed.join(planned, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
-    slim = F.when(F.col("refers_to").isNull(), F.col("member"))
-    shards = max(1, (planned.agg(F.max("shard")).first()[0] or 0) + 1)
-    dealt = (full.select("shard", "page_id", "digest", "url", "n", "refers_to", slim.alias("member"))
-             .repartitionByRange(shards, "shard")
-             .sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest",
-                                   F.col("url").asc_nulls_first()))
+    packed = rows.mapInArrow(per_batch(_responses(starts, ranges)),
+                             "range int, page_id long, url string, n long, digest string, member binary")
+    dealt = (packed.unionByName(planned, allowMissingColumns=True)
+             .repartitionById(n_ranges, "range")
+             .sortWithinPartitions(F.col("page_id").asc_nulls_first(), "digest", F.col("shard").asc_nulls_last(),
+                                   F.col("url").asc_nulls_first())
+             .select("page_id", "url", "n", "digest", "member", "refers_to", "shard"))
     temporary = f"_temporary-{uuid.uuid4().hex[:12]}"
 
-    def save(frames):
+    def save(batches):
         store, root = fs.FileSystem.from_uri(out)
         store.create_dir(f"{root}/{temporary}", recursive=True)
         attempt, file, rows = uuid.uuid4().hex[:12], None, []
@@ -166,33 +188,34 @@ def write(pages: DataFrame, out: str) -> DataFrame:
         def close():
             nonlocal file
             if file:
-                file["stream"].close()
-                rows.append((file["shard"], file["name"], file["at"], file["records"], file["bytes"],
-                             file["sha1"].hexdigest()))
+                file.pop("stream").close()
+                rows.append({**file, "sha1": file["sha1"].hexdigest()})
             file = None
 
-        shard, nth = None, 0
-        for df in frames:
-            for r in df.itertuples():
-                if file and (r.shard != shard or file["bytes"] >= ROLL_BYTES):
+        shard = refers_to = None
+        nth = 0
+        for b in batches:
+            for page_id, url, n, digest, member, refers, own in zip(*(c.to_pylist() for c in b.columns)):
+                if own is not None:             # the plan's row ahead of its records
+                    shard, nth, refers_to = own, nth if own == shard else 0, refers
+                    continue
+                if file and (file["shard"] != shard or file["bytes"] >= ROLL_BYTES):
                     close()
-                shard, nth = r.shard, nth if r.shard == shard else 0
                 if file is None:
                     name = f"shard-{shard:06d}-{nth:04d}.warc.gz"
                     at = f"{temporary}/{name}.{attempt}"
-                    file = {"shard": shard, "name": name, "at": at, "records": 0, "bytes": 0,
+                    file = {"shard": shard, "file": name, "temporary": at, "records": 0, "bytes": 0,
                             "sha1": hashlib.sha1(), "stream": store.open_output_stream(f"{root}/{at}", compression=None)}
                     nth += 1
-                own = [None if pd.isna(x) else int(x) for x in (r.page_id, r.refers_to)]
-                raw = r.member if own[1] is None else record(own[0], r.url, b"", r.n, r.digest, own[1])
+                raw = member if refers_to is None else record(page_id, url, b"", n, digest, refers_to)
                 file["stream"].write(raw)
                 file["sha1"].update(raw)
                 file["records"] += 1
                 file["bytes"] += len(raw)
         close()
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in MANIFEST.split(", ")])
+        yield pa.RecordBatch.from_pylist(rows, arrow_schema(MANIFEST))
 
-    manifest = materialize(dealt.mapInPandas(save, MANIFEST), "manifest")
+    manifest = materialize(dealt.mapInArrow(save, MANIFEST), "manifest")
 
     def commit(frames):
         store, root = fs.FileSystem.from_uri(out)
@@ -219,23 +242,26 @@ def read(spark: SparkSession, out: str) -> DataFrame:
     """The records of an archive, every digest and count checked."""
     files = spark.read.parquet(posixpath.join(out, "_manifest"))
 
-    def load(frames):
+    def load(batches):
         store, root = fs.FileSystem.from_uri(out)
-        for df in frames:
-            for f in df.itertuples():
-                rows = []
-                with store.open_input_stream(f"{root}/{f.file}", compression=None) as stream:
+        for b in batches:
+            for f in b.to_pylist():
+                n, rows = 0, []
+                with store.open_input_stream(f"{root}/{f['file']}", compression=None) as stream:
                     for raw in members(stream):
                         rows.append(_row(*parse(raw)))
-                if len(rows) != f.records:
-                    raise ValueError(f"{f.file} holds {len(rows)} of {f.records} records")
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in RECORD.split(", ")]).astype(
-                    {"page_id": "Int64", "refers_to": "Int64"})
+                        n += 1
+                        if len(rows) == BATCH_ROWS:
+                            yield pa.RecordBatch.from_pylist(rows, arrow_schema(RECORD))
+                            rows = []
+                if n != f["records"]:
+                    raise ValueError(f"{f['file']} holds {n} of {f['records']} records")
+                yield pa.RecordBatch.from_pylist(rows, arrow_schema(RECORD))
 
-    return files.repartition(max(1, files.count()), "file").mapInPandas(load, RECORD)
+    return files.repartition(max(1, files.count()), "file").mapInArrow(load, RECORD)
 
 
-def _row(fields: dict[str, str], block: bytes) -> tuple:
+def _row(fields: dict[str, str], block: bytes) -> dict:
     http, _, payload = block.partition(b"\r\n\r\n")
     digest = digest_hex(fields["warc-payload-digest"])
     if fields["warc-type"] == "response":
@@ -245,5 +271,5 @@ def _row(fields: dict[str, str], block: bytes) -> tuple:
     else:
         n = int(http.decode().lower().partition("content-length:")[2].split()[0])
         refers_to = page_of(fields["warc-refers-to"])
-    return (page_of(fields["warc-record-id"]), n, digest, fields["warc-type"], refers_to,
-            fields["warc-target-uri"])
+    return {"page_id": page_of(fields["warc-record-id"]), "payload_bytes": n, "payload_digest": digest,
+            "record_type": fields["warc-type"], "refers_to": refers_to, "url": fields["warc-target-uri"]}

@@ -58,6 +58,33 @@ def test_shards_do_not_depend_on_the_dealing(spark, monkeypatch):
     assert files[0] == files[1]
 
 
+def test_ranges_of_several_shards_give_the_same_files(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 5_000)
+    files = []
+    for ranges in (1, 3, 1 << 16):
+        monkeypatch.setattr(warc, "RANGES", ranges)
+        out, back = round_trip(spark, ROWS, parts=4)
+        got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back.collect()]
+        assert sorted(got, key=str) == want(ROWS)
+        files.append({p.name: p.read_bytes() for p in Path(out).glob("*.warc.gz")})
+    assert files[0] == files[1] == files[2] and len(files[0]) > 5
+
+
+def test_ids_beyond_doubles_come_back(spark):
+    big = (1 << 62) + 1
+    rows = [(None, "n", "z" * 2000), (big, "m", "z" * 2000), (big - 1, "m", "z" * 2000), (-big, "m", None), (big, "o", "x")]
+    _, back = round_trip(spark, rows)
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back.collect()]
+    assert sorted(got, key=str) == want(rows)
+
+
+def test_a_record_longer_than_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 1_000)
+    rows = [(k, "u", "%d " % k * (9000 if k == 3 else 100)) for k in range(12)]
+    _, back = round_trip(spark, rows)
+    assert sorted(r.page_id for r in back.collect()) == list(range(12))
+
+
 def test_files_are_plain_gzip_of_warc_records(spark):
     out, _ = round_trip(spark, ROWS[:3])
     text = b"".join(gzip.open(p).read() for p in sorted(Path(out).glob("*.warc.gz")))
